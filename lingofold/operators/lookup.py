@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 128 << 20
+ROW_OVERHEAD = 32
 SALTS = 32
 
 
-def small_enough(table: DataFrame, max_rows: int) -> bool:
-    return table.limit(max_rows + 1).count() <= max_rows
+def _width(field: T.StructField) -> Column:
+    column = F.col(field.name)
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column), F.lit(0))
+    if isinstance(field.dataType, T.ArrayType):
+        return F.greatest(F.size(column), F.lit(0)) * 8
+    return F.lit(8)
+
+
+def measured_bytes(table: DataFrame) -> int:
+    """Size of the rows in memory, summed over the table in one pass."""
+    width = reduce(add, [_width(f) for f in table.schema.fields], F.lit(ROW_OVERHEAD))
+    return table.agg(F.sum(width.cast("bigint")).alias("b")).first()["b"] or 0
 
 
 def lookup_join(
@@ -18,21 +34,19 @@ def lookup_join(
     table: DataFrame,
     on: list[str],
     how: str = "left",
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
     salt_by: list[str] | None = None,
 ) -> DataFrame:
     """Join many rows to a table with unique ``on``, e.g. tokens to a lexicon.
 
-    A table of checked size is broadcast. A larger one is replicated ``salts`` times and the
-    rows are spread over the copies, so a token that makes up a third of all rows is joined by
-    ``salts`` tasks instead of one.
+    The table is measured first: below the bound it is broadcast. A larger one is replicated
+    ``salts`` times and the rows are spread over the copies, so a token that makes up a third of
+    all rows is joined by ``salts`` tasks instead of one.
     """
-    if small_enough(table, max_broadcast_rows):
+    if measured_bytes(table) <= max_broadcast_bytes:
         return rows.join(F.broadcast(table), on, how)
     keys = salt_by or [c for c in rows.columns if c not in on]
     salted = rows.withColumn("__salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
-    copies = table.withColumn(
-        "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    copies = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "__salt"], how).drop("__salt")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lingofold.functions.text import BLANKS, char_ngrams, words
-from lingofold.session import stage_table
+from lingofold.functions.text import BLANKS, words
+from lingofold.session import ship_package, stage_table
 
 from .lookup import lookup_join
 
@@ -127,28 +130,32 @@ def chrf_words(text: Column) -> Column:
     return F.flatten(F.transform(words(text), split))
 
 
-def _word_ngrams(tokens: Column, n: int) -> Column:
-    grams = tokens
-    for step in range(1, n):
-        rest = F.slice(tokens, F.lit(1 + step), F.greatest(F.size(tokens) - step, F.lit(0)))
-        grams = F.zip_with(grams, rest, lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.filter(grams, lambda g: g.isNotNull())
+def _chrf_counter(char_order: int, word_order: int):
+    orders = char_order + word_order
+
+    def grams(text: str, tokens: list[str], order: int) -> Counter:
+        if order <= char_order:
+            return Counter(text[i : i + order] for i in range(len(text) - order + 1))
+        n = order - char_order
+        return Counter(zip(*[tokens[i:] for i in range(n)]))
 
+    @F.arrow_udf("array<bigint>")
+    def count(hyp: pa.Array, hyp_words: pa.Array, ref: pa.Array, ref_words: pa.Array) -> pa.Array:
+        out = []
+        columns = (hyp, hyp_words, ref, ref_words)
+        for h, hw, r, rw in zip(*[c.to_pylist() for c in columns]):
+            row = []
+            for order in range(1, orders + 1):
+                left, right = grams(h, hw, order), grams(r, rw, order)
+                row += (left.total(), right.total(), (left & right).total())
+            out.append(row)
+        return pa.array(out, pa.list_(pa.int64()))
 
-def _gram_lists(text: Column, is_hyp: bool, char_order: int, word_order: int) -> list[Column]:
-    """Structs (o, is_hyp, grams), one per order; word orders follow the character orders."""
-    packed = F.regexp_replace(text, f"[{BLANKS}]+", "")
-    lists = [char_ngrams(packed, n) for n in range(1, char_order + 1)]
-    lists += [_word_ngrams(chrf_words(text), n) for n in range(1, word_order + 1)]
-    return [
-        F.struct(F.lit(o).alias("o"), F.lit(is_hyp).alias("is_hyp"), grams.alias("grams"))
-        for o, grams in enumerate(lists, 1)
-    ]
+    return count
 
 
 def chrf_counts(
     df: DataFrame,
-    keys: list[str],
     group_by: list[str] | None = None,
     hyp: str = "hyp",
     ref: str = "ref",
@@ -157,32 +164,36 @@ def chrf_counts(
 ) -> DataFrame:
     """(group, order, hyp, ref, match): n-gram counts summed over the corpus.
 
-    Segments are placed by key before they are exploded, so the shuffle carries the texts; the
-    many n-gram rows are matched where they arise and leave as one row per order.
+    A segment's n-gram multisets are intersected where the row is, in an Arrow function: as rows
+    they would be some 14 per character. One short row per order and task is shuffled.
     """
+    ship_package(df.sparkSession)
     groups = group_by or []
-    placed = df.select(*keys, *groups, hyp, ref).repartition(*keys)
-    lists = [
-        entry
-        for side in (hyp, ref)
-        for entry in _gram_lists(
-            F.coalesce(side, F.lit("")), side == hyp, char_order, word_order
-        )
-    ]
-    grams = placed.select(*keys, *groups, F.explode(F.array(*lists)).alias("x")).select(
-        *keys, *groups, "x.o", "x.is_hyp", F.explode("x.grams").alias("g")
-    )
-    per_gram = grams.groupBy(*keys, *groups, "o", "g").agg(
-        F.count_if("is_hyp").alias("h"), F.count_if(~F.col("is_hyp")).alias("r")
+    orders = char_order + word_order
+    sides = []
+    for side in (hyp, ref):
+        text = F.coalesce(side, F.lit(""))
+        sides += [F.regexp_replace(text, f"[{BLANKS}]+", ""), chrf_words(text)]
+    counts = df.select(*groups, _chrf_counter(char_order, word_order)(*sides).alias("c"))
+    per_order = F.array(
+        *[
+            F.struct(
+                F.lit(o + 1).alias("order"),
+                *[F.get("c", F.lit(3 * o + i)).alias(n) for i, n in enumerate(("h", "r", "m"))],
+            )
+            for o in range(orders)
+        ]
     )
-    return per_gram.groupBy(*groups, F.col("o").alias("order")).agg(
-        F.sum("h").alias("hyp"), F.sum("r").alias("ref"), F.sum(F.least("h", "r")).alias("match")
+    return (
+        counts.select(*groups, F.explode(per_order).alias("x"))
+        .groupBy(*groups, F.col("x.order").alias("order"))
+        .agg(F.sum("x.h").alias("hyp"), F.sum("x.r").alias("ref"), F.sum("x.m").alias("match"))
+        .filter("hyp + ref > 0")
     )
 
 
 def chrf(
     df: DataFrame,
-    keys: list[str],
     group_by: list[str] | None = None,
     hyp: str = "hyp",
     ref: str = "ref",
@@ -191,7 +202,7 @@ def chrf(
     beta: int = 2,
 ) -> DataFrame:
     """Corpus chrF2++ with epsilon smoothing, one reference: (group, score) on 0..100."""
-    counts = chrf_counts(df, keys, group_by, hyp, ref, char_order, word_order)
+    counts = chrf_counts(df, group_by, hyp, ref, char_order, word_order)
     orders = char_order + word_order
     tiny, factor = F.lit(CHRF_EPSILON), float(beta * beta)
 

@@ -569,7 +569,7 @@ def m8_masked_mean(spark, sf_dir):
     )
     means = embed.masked_mean(rows, table, "doc_id", pad=-1)
     return means.select("doc_id", F.posexplode("mean").alias("dim", "x")).select(
-        "doc_id", "dim", F.round("x", 6).alias("value")
+        "doc_id", "dim", _rounded_to("x", 6).alias("value")
     )
 
 
@@ -578,7 +578,13 @@ def m9_l2_normalize(spark, sf_dir):
     rows = _table(spark, sf_dir, "embeddings").select(
         "vec_id", F.posexplode(vectors.l2_normalize(tripled)).alias("dim", "x")
     )
-    return rows.select("vec_id", "dim", F.round("x", 6).alias("value"))
+    return rows.select("vec_id", "dim", _rounded_to("x", 6).alias("value"))
+
+
+def _rounded_to(column, digits: int) -> Column:
+    """Rounded, with one spelling of zero."""
+    value = F.round(column, digits)
+    return F.when(value == 0, 0.0).otherwise(value)
 
 
 def _fingerprint(rows: DataFrame, key: str) -> DataFrame:
@@ -591,7 +597,7 @@ def _fingerprint(rows: DataFrame, key: str) -> DataFrame:
         key,
         F.size("embedding").alias("n_dims"),
         F.size(F.filter("embedding", lambda x: x != 0)).alias("n_nonzero"),
-        F.round(ramp / F.size("embedding"), 5).alias("ramp"),
+        _rounded_to(ramp / F.size("embedding"), 5).alias("ramp"),
         F.col("error.stage").alias("error_stage"),
     )
 
@@ -826,7 +832,7 @@ def a6_chrf(spark, sf_dir):
     rows = _table(spark, sf_dir, "conversations").select(
         "conv_id", "turn", "role", _spoilt().alias("hyp"), F.col("text").alias("ref")
     )
-    return metrics.chrf(rows, ["conv_id", "turn"], ["role"]).select(
+    return metrics.chrf(rows, ["role"]).select(
         "role", F.round("score", 6).alias("score")
     )
 

@@ -270,7 +270,7 @@ def evaluate_translation(
         .join(references, ["batch", "part"])
         .select("doc_id", F.col("src").alias("lang"), F.col("translated_text").alias("hyp"), "ref")
     )
-    scores = metrics.chrf(pairs, ["doc_id"], ["lang"])
+    scores = metrics.chrf(pairs, ["lang"])
     return scores, metrics.mean_over_groups(wanted.select(F.col("src").alias("lang")), scores)
 
 

@@ -24,6 +24,10 @@ def words(text: str) -> str:
     return f"(CASE WHEN {t} = '' THEN [] ELSE regexp_split_to_array({t}, '[ \\t\\n\\r\\f]+') END)"
 
 
+def plain_zero(x: str) -> str:
+    return f"CASE WHEN {x} = 0 THEN 0.0::DOUBLE ELSE {x} END"
+
+
 def n_words(text: str) -> str:
     return f"CAST(len({words(text)}) AS INTEGER)"
 
@@ -192,7 +196,7 @@ def hashed(name: str, source: str, key: str, text: str, dims: int, mean: bool, n
 def fingerprints(name: str, dims: int) -> str:
     return (
         f"SELECT k, {dims} AS n_dims, count(*)::INTEGER AS n_nonzero, "
-        f"round(sum(v * (dim + 1)) / {dims}, 5) AS ramp FROM {name} GROUP BY k"
+        f"{plain_zero(f"round(sum(v * (dim + 1)) / {dims}, 5)")} AS ramp FROM {name} GROUP BY k"
     )
 
 
@@ -426,12 +430,13 @@ SELECT doc_id, CASE WHEN n <= 512 THEN 512 END AS n_mask, CASE WHEN n <= 512 THE
     "m8_masked_mean": f"""WITH {VOCABULARY},
 picked AS (SELECT doc_id, token_id % (SELECT count(*) FROM embeddings) AS vec_id, count(*) AS c FROM ids GROUP BY ALL),
 flat AS (SELECT vec_id, unnest(range(64)) AS dim, unnest(embedding) AS x FROM embeddings)
-SELECT doc_id, dim::INTEGER AS dim, round(sum(c * x::DOUBLE) / sum(c), 6) AS value
+SELECT doc_id, dim::INTEGER AS dim, {plain_zero('round(sum(c * x::DOUBLE) / sum(c), 6)')} AS value
 FROM picked JOIN flat USING (vec_id) GROUP BY doc_id, dim""",
-    "m9_l2_normalize": """WITH t AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x * 3) AS e
-  FROM embeddings)
-SELECT vec_id, unnest(range(64))::INTEGER AS dim,
-  round(unnest(list_transform(e, lambda x: x / sqrt(list_dot_product(e, e)))), 6) AS value FROM t""",
+    "m9_l2_normalize": f"""WITH t AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x * 3) AS e
+  FROM embeddings),
+u AS (SELECT vec_id, unnest(range(64))::INTEGER AS dim,
+  unnest(list_transform(e, lambda x: x / sqrt(list_dot_product(e, e)))) AS x FROM t)
+SELECT vec_id, dim, {plain_zero('round(x, 6)')} AS value FROM u""",
     "m10_embed_default": f"""WITH t AS (SELECT doc_id, source, CASE WHEN source = 'src1' THEN '' ELSE 'query: ' END || text AS t
   FROM documents),
 c AS (SELECT doc_id, t, CASE WHEN {n_words('t')} > 512 THEN 'tokens' WHEN NOT (starts_with(t, 'query: ')
