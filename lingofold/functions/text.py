@@ -102,9 +102,13 @@ def dominant_script(text: Column) -> Column:
     return F.when(best["n"] > 0, best["script"])
 
 
-def char_ngrams(text: Column, n: int) -> Column:
-    """All overlapping runs of ``n`` characters, in one linear pass of a look-ahead match."""
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=({'.' * n}))"), F.lit(1))
+def explode_each(df, keys: list, values: Column, name: str):
+    """Rows (keys, ``name``), one per array element; rows without elements go.
+
+    For arrays that are costly to make: a plain ``explode`` lets the optimizer derive a filter on
+    the array, which makes it two more times, and on the far side of a repartition.
+    """
+    return df.select(*keys, F.explode_outer(values).alias(name)).filter(F.col(name).isNotNull())
 
 
 def words(text: Column) -> Column:

@@ -27,6 +27,7 @@ EDGE = r"(^|[^\p{L}\p{N}])"
 LETTER_PAIR = EDGE + r"(\p{L})\.([ ]?)(\p{L})\."
 INITIAL = EDGE + r"(\p{Lu})\."
 END = r"""([.!?…؟।۔]+["'»”’)\]]*)[ \t\n\r\f]+"""
+NOTHING = r"([^\s\S])([^\s\S])"
 FULL_WIDTH_END = "([。！？]+[」』”]*)"
 
 
@@ -40,12 +41,11 @@ def sentences(text: Column, lang: Column) -> Column:
     Every character of the text is kept except the blanks between sentences.
     """
     held = F.regexp_replace(text, LETTER_PAIR, f"$1$2{HOLD}$3$4{HOLD}")
-    by_language = held
+    pattern = F.lit(NOTHING)
     for code in ABBREVIATIONS:
-        by_language = F.when(
-            lang == code, F.regexp_replace(held, _abbreviation(code), f"$1$2{HOLD}")
-        ).otherwise(by_language)
-    held = F.regexp_replace(by_language, INITIAL, f"$1$2{HOLD}")
+        pattern = F.when(lang == code, _abbreviation(code)).otherwise(pattern)
+    held = F.regexp_replace(held, pattern, f"$1$2{HOLD}")
+    held = F.regexp_replace(held, INITIAL, f"$1$2{HOLD}")
     marked = F.regexp_replace(
         F.regexp_replace(held, END, f"$1{CUT}"), FULL_WIDTH_END, f"$1{CUT}"
     )

@@ -82,10 +82,11 @@ def _lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     English one. A stand-in for a bilingual dictionary, of fixed size."""
 
     def make() -> DataFrame:
-        words = F.explode(txt.words(F.lower(F.col("text"))))
+        words = txt.words(F.lower(F.col("text")))
         counts = (
-            _documents(spark, sf_dir)
-            .select(_three_letter().alias("lang"), words.alias("word"))
+            txt.explode_each(
+                _documents(spark, sf_dir), [_three_letter().alias("lang")], words, "word"
+            )
             .filter(F.col("word").rlike(r"^[\p{L}]+$"))
             .groupBy("lang", "word")
             .agg(F.count(F.lit(1)).alias("n"))
@@ -449,10 +450,10 @@ def d3_redetect_low_confidence(spark, sf_dir):
         F.lit(REDETECT_THRESHOLD).alias("language_id_threshold"),
     )
     routed = routing.route_by_source(rows, model, ["doc_id"], **PER_GRAM)
-    pieces = routing.explode_sentences(
-        routed.withColumn("sentences", sentences(F.col("text"), F.col("iso1"))).drop("text")
+    again = routing.redetect_low_confidence(
+        routed.withColumn("sentences", sentences(F.col("text"), F.col("iso1"))).drop("text"),
+        model, "doc_id",
     )
-    again = routing.redetect_low_confidence(pieces, model, ["doc_id", "chunk_id"])
     return again.select("doc_id", "chunk_id", "lang", "redetected")
 
 

@@ -31,7 +31,6 @@ from lingofold.operators.options import (
 from lingofold.operators.routing import (
     align_by_key,
     dispatch,
-    explode_sentences,
     reassemble,
     redetect_low_confidence,
     route_by_source,
@@ -46,6 +45,7 @@ from lingofold.operators.vector_search import (
     margin_candidates,
     rerank_top1,
 )
+from lingofold.session import stage_table
 
 
 def detect_language_job(
@@ -113,14 +113,12 @@ def translate_job(
     table = iso1_table(df.sparkSession) if iso_table is None else iso_table
     routed = to_iso1(routed, "lang", "iso1", table)
     good = F.col("error").isNull() & F.col("detect_error").isNull()
-    pieces = explode_sentences(
-        routed.select(
-            key, "tgt", "lang", "script", "prob", "language_id_threshold",
-            first_error(F.col("error"), F.col("detect_error")).alias("error"),
-            F.when(good, sentences(F.col("text"), F.col("iso1"))).alias("sentences"),
-        )
+    documents = routed.select(
+        key, "tgt", "lang", "script", "prob", "language_id_threshold",
+        first_error(F.col("error"), F.col("detect_error")).alias("error"),
+        F.when(good, sentences(F.col("text"), F.col("iso1"))).alias("sentences"),
     )
-    pieces = redetect_low_confidence(pieces, model, [key, "chunk_id"], **detect_options)
+    pieces = redetect_low_confidence(documents, model, key, **detect_options)
     pieces = pieces.withColumn("src", fix_chinese(F.col("lang"), F.col("script")))
     checked = validate.require_language(pieces, supported)
     wrong = F.when(F.col("sentence").isNotNull(), F.col("language_error"))
@@ -184,14 +182,15 @@ def semantic_search(
     """(query_id, rank, id, score) for ``queries(query_id, text)`` in ``corpus(id, text)``.
 
     Asymmetric by default (query against passage); give "query" twice for the symmetric form.
-    Texts that the encoder refuses take no part.
+    Texts that the encoder refuses take no part. Vectors are made once and stored.
     """
     templates = {"query": QUERY_PROMPT, "passage": PASSAGE_PROMPT}
 
     def vectors(df: DataFrame, key: str, kind: str) -> DataFrame:
         text = prompt(templates[kind], text=F.col("text"))
         made = embed.embed_with(df.select(key, text.alias("text")), embed.DEFAULT_ENCODER)
-        return made.filter("error is null").select(key, F.col("embedding").alias("vector"))
+        good = made.filter("error is null").select(key, F.col("embedding").alias("vector"))
+        return stage_table(good, "vectors")
 
     left, right = vectors(queries, "query_id", query_kind), vectors(corpus, "id", corpus_kind)
     if n_cells:

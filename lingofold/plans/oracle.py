@@ -70,16 +70,19 @@ def micro(x: str) -> str:
     return f"CAST(round(ln({x}) * 1000000) AS BIGINT)"
 
 
-def trigrams(text: str) -> str:
-    t = f"lower(replace({text}, chr(10), ' '))"
-    runs = [f"regexp_extract_all({t if n == 1 else f'substr({t}, {n})'}, '(?s)...')" for n in (1, 2, 3)]
-    return f"unnest(flatten([{', '.join(runs)}]))"
+def trigrams(source: str, keys: str, text: str) -> str:
+    """Query (keys, gram): trigrams of the words, each with a blank on either side."""
+    pieces = f"regexp_extract_all(lower(replace({text}, chr(10), ' ')), '[^ \\t\\n\\r\\f]{{1,64}}')"
+    return (
+        f"SELECT {keys}, substr(w, i, 3) AS gram FROM (SELECT {keys}, w, unnest(range(1, length(w) - 1)) AS i "
+        f"FROM (SELECT {keys}, ' ' || unnest({pieces}) || ' ' AS w FROM {source}))"
+    )
 
 
 MODEL = f"""
 docs AS (SELECT *, {LABEL3} AS lang3, {LABEL3} || '_Latn' AS label FROM documents),
 counts AS (SELECT label, gram, count(*) AS n
-           FROM (SELECT label, {trigrams('text')} AS gram FROM docs) GROUP BY ALL),
+           FROM ({trigrams('docs', 'label', 'text')}) GROUP BY ALL),
 labels_m AS (
   SELECT s.label, {micro('s.d::DOUBLE / a.d')} AS prior, t.total + v.v AS space,
          {micro('1::DOUBLE / (t.total + v.v)')} AS unseen
@@ -96,7 +99,7 @@ def ranking(name: str, source: str, key: str, text: str, scale: str) -> str:
     return f"""
 {name}_k AS (SELECT {key}, {text} AS txt FROM {source}),
 {name}_g AS (SELECT {key}, gram, count(*) AS c
-             FROM (SELECT {key}, {trigrams('txt')} AS gram FROM {name}_k) GROUP BY ALL),
+             FROM ({trigrams(f'{name}_k', key, 'txt')}) GROUP BY ALL),
 {name}_n AS (SELECT {key}, coalesce(sum(c), 0)::BIGINT AS n_grams
              FROM {name}_k LEFT JOIN {name}_g USING ({key}) GROUP BY {key}),
 {name}_h AS (SELECT {keys}, m.label, sum(c * gain)::BIGINT AS gain
