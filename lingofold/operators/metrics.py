@@ -74,8 +74,10 @@ def topk_accuracy(probs: DataFrame, truth: DataFrame, labels: DataFrame, ks=(1,
     order = labels.select("label").distinct().select(
         "label", (F.row_number().over(Window.orderBy(F.desc("label"))) - 1).alias("n_later")
     )
-    marked = truth.select("query_id", F.col("label").alias("truth")).join(
-        F.broadcast(order.withColumnRenamed("label", "truth")), "truth"
+    marked = lookup_join(
+        truth.select("query_id", F.col("label").alias("truth")),
+        order.withColumnRenamed("label", "truth"),
+        ["truth"], "inner", salt_by=["query_id"],
     )
     rows = marked.join(probs.filter("prob > 0"), "query_id", "left")
     own = F.max(F.when(F.col("label") == F.col("truth"), F.round("prob", 9)))

@@ -222,8 +222,12 @@ def class_vectors(class_map: DataFrame, template: str = CAPTION_PROMPT) -> DataF
 def classify_zero_shot(
     class_map: DataFrame, items: DataFrame, template: str = CAPTION_PROMPT, k: int = 10
 ) -> DataFrame:
-    """(query_id, label, prob): class descriptions take the place of training items."""
-    return knn_classify(class_vectors(class_map, template), items.select("query_id", "vector"), k)
+    """(query_id, label, prob): class descriptions take the place of training items.
+
+    Vectors of both sides are made once and stored, since the search reads them twice.
+    """
+    train = stage_table(class_vectors(class_map, template), "class-vectors")
+    return knn_classify(train, stage_table(items.select("query_id", "vector"), "item-vectors"), k)
 
 
 def classify_image_files(

@@ -59,7 +59,7 @@ GOLDEN_TYPE = "map<string,array<struct<title:string,text:string,target:array<str
 
 def read_golden_segments(spark: SparkSession, path: str) -> DataFrame:
     """``{"en": [{title, text, target}]}`` files -> (lang, case_id, title, text, target)."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     cases = files.select(F.explode(F.from_json("value", GOLDEN_TYPE)).alias("lang", "cases"))
     return cases.select("lang", F.posexplode("cases").alias("case_id", "c")).select(
         "lang", "case_id", "c.title", "c.text", "c.target"

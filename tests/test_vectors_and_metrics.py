@@ -36,8 +36,9 @@ def test_margin_fixture(spark):
     assert accuracy.first().margin_accuracy == pytest.approx(1 / 3)
 
 
-@pytest.mark.parametrize("block_rows", [7, 64, 4096])
+@pytest.mark.parametrize("block_rows", [7, 64, 4096, None])
 def test_knn_equals_brute_force_with_many_equal_rows(spark, block_rows):
+    """Small blocks use the block job, ``None`` the scan with broadcast queries."""
     rng = np.random.default_rng(5)
     corpus = rng.normal(size=(90, 8))
     corpus[30:60] = corpus[0]
@@ -207,7 +208,7 @@ def test_search_finds_the_same_words(spark):
 def test_zero_shot(spark):
     classes = spark.createDataFrame([("n1", "red apple"), ("n2", "green boat")], "label string, description string")
     items = jobs.class_vectors(
-        spark.createDataFrame([("q", "boat green")], "label string, description string")
+        spark.createDataFrame([("q", "big green boat")], "label string, description string")
     ).select(F.lit(1).cast("bigint").alias("query_id"), "vector")
     got = {r.label: r.prob for r in jobs.classify_zero_shot(classes, items, k=2).collect()}
     assert got["n2"] > got["n1"]
