@@ -14,7 +14,8 @@ def read_image_dir(
 ) -> DataFrame:
     """Regular files below class folders -> (path, label, content).
 
-    With ``n_per_class`` the files are chosen by name before their bytes are read.
+    ``n_per_class`` keeps the first files of each class in path order; the choice itself reads
+    names only.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
