@@ -23,7 +23,6 @@ from lingofold.session import shared_path, spread, stage_table
 from lingofold.sources import corpora, requests
 from lingofold.streaming import feeds
 
-LEXICON_SIZE = 2000
 PER_GRAM = {"per_gram": True}
 
 
@@ -78,29 +77,22 @@ def _vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frequency-rank lexicon: the n-th most frequent word of a language stands for the n-th
-    English one. A stand-in for a bilingual dictionary, of fixed size."""
+    """A stand-in for a bilingual dictionary: every word that a language uses at least twice,
+    spelt backwards. It grows with the documents."""
 
     def make() -> DataFrame:
-        words = txt.words(F.lower(F.col("text")))
+        words = txt.explode_each(
+            _documents(spark, sf_dir), [_three_letter().alias("src")],
+            txt.words(F.lower(F.col("text"))), "token",
+        )
         counts = (
-            txt.explode_each(
-                _documents(spark, sf_dir), [_three_letter().alias("lang")], words, "word"
-            )
-            .filter(F.col("word").rlike(r"^[\p{L}]+$"))
-            .groupBy("lang", "word")
+            words.filter(F.col("token").rlike(r"^[\p{L}]+$") & (F.col("src") != "eng"))
+            .groupBy("src", "token")
             .agg(F.count(F.lit(1)).alias("n"))
         )
-        order = F.row_number().over(
-            sampling.Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-        )
-        ranked = counts.withColumn("rank", order).filter(F.col("rank") <= LEXICON_SIZE)
-        english = ranked.filter("lang = 'eng'").select("rank", F.col("word").alias("translation"))
-        other = ranked.filter("lang <> 'eng'")
         return stage_table(
-            other.join(english, "rank").select(
-                F.col("lang").alias("src"), F.lit("eng").alias("tgt"),
-                F.col("word").alias("token"), "translation",
+            counts.filter("n >= 2").select(
+                "src", F.lit("eng").alias("tgt"), "token", F.reverse("token").alias("translation")
             ),
             "lexicon",
         )

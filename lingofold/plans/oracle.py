@@ -137,14 +137,10 @@ routed AS (
   FROM docs d LEFT JOIN ({top_of('dl', 'doc_id')}) t USING (doc_id))"""
 
 LEXICON = f"""
-lex_words AS (SELECT lang, word, count(*) AS n FROM (
+lexicon AS (SELECT lang AS src, 'eng' AS tgt, word AS token, reverse(word) AS translation FROM (
     SELECT {LABEL3} AS lang, unnest({words('lower(text)')}) AS word FROM documents)
-  WHERE regexp_matches(word, '^[\\p{{L}}]+$') GROUP BY ALL),
-lex_rank AS (SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r
-             FROM lex_words),
-lexicon AS (SELECT o.lang AS src, 'eng' AS tgt, o.word AS token, e.word AS translation
-            FROM lex_rank o JOIN lex_rank e ON e.lang = 'eng' AND o.r = e.r AND e.r <= 2000
-            WHERE o.lang <> 'eng')"""
+  WHERE lang <> 'eng' AND regexp_matches(word, '^[\\p{{L}}]+$')
+  GROUP BY lang, word HAVING count(*) >= 2)"""
 
 CORE = r"[^\p{L}\p{N}]"
 
