@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lingofold.operators.lookup import measured_bytes
+from lingofold.session import ship_package
 
 BLANKS = r"[\x20\x09-\x0D]+"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 BROADCAST_BYTES = 64 << 20
 CACHED_WORDS = 400_000
+ROWS_PER_STEP = 1000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -56,3 +63,27 @@ def attach(rows: DataFrame, table: DataFrame, on: list[str], how: str = "left")
     if measured_bytes(table) <= BROADCAST_BYTES:
         table = F.broadcast(table)
     return rows.join(table, on, how)
+
+
+def map_batches(rows: DataFrame, fn, schema: str) -> DataFrame:
+    """Apply ``fn(dict of python lists) -> dict of lists`` to Arrow batches, in place (no shuffle)."""
+    ship_package(rows.sparkSession)
+    target = to_arrow_schema(T._parse_datatype_string(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_PER_STEP):
+                part = batch.slice(start, ROWS_PER_STEP)
+                out = fn(part.to_pydict())
+                arrays = [pa.array(out[f.name], f.type) for f in target]
+                yield pa.RecordBatch.from_arrays(arrays, schema=target)
+
+    return rows.mapInArrow(run, schema)
+
+
+def labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` with a column ``label``; of several labels the smallest holds, null ones do not count."""
+    marks = labels.where(F.col(label).isNotNull()).groupBy(F.col("doc_id").alias(id_col)).agg(
+        F.min(label).alias("label")
+    )
+    return docs.drop("label").join(marks, id_col)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingofold.llm import exact_dedup, mixing, url_filter
+from lingofold.llm import exact_dedup, mixing, quality_model, quality_rules, url_filter
 from lingofold.llm.common import read
 
 
@@ -17,6 +17,15 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("source")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality_model.score_quality(docs, quality_model.fit(docs, read(spark, sf_dir, "labels")))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(url_filter.RULES), "verdict string, host string, path string")
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), rules)
@@ -25,6 +34,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_mix_sources": op5_mix_sources,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_quality_rules": op7_quality_rules,
     "op10_url_filters": op10_url_filters,
 }
 
