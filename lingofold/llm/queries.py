@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lingofold.llm import exact_dedup, mixing, quality_model, quality_rules, url_filter
+from lingofold.llm import (
+    exact_dedup,
+    main_text,
+    mixing,
+    piece_sampling,
+    quality_model,
+    quality_rules,
+    url_filter,
+)
 from lingofold.llm.common import read
 
 
@@ -26,6 +34,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(read(spark, sf_dir, "pages"))
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.encode_and_verify(read(spark, sf_dir, "documents"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(url_filter.RULES), "verdict string, host string, path string")
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), rules)
@@ -36,6 +52,8 @@ QUERIES = {
     "op5_mix_sources": op5_mix_sources,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_quality_rules": op7_quality_rules,
+    "op8_html_main_text": op8_html_main_text,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_url_filters": op10_url_filters,
 }
 
