@@ -9,6 +9,7 @@ from lingofold.llm import (
     exact_dedup,
     main_text,
     mixing,
+    near_dedup,
     piece_sampling,
     quality_model,
     quality_rules,
@@ -17,6 +18,10 @@ from lingofold.llm import (
 from lingofold.llm.common import read
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(read(spark, sf_dir, "documents"), words=4)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_mix_sources": op5_mix_sources,
     "op6_quality_classifier": op6_quality_classifier,
