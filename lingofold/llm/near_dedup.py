@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ COORDINATES = 64
 #: on average and fewer than 26 with probability 5e-11.
 MATCHES = 26
 BLOCK = 4096
+BLOCK_TEXTS = 512
+TASK_TEXTS = 1500
 PRIME = np.uint64(0x100000001B3)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -70,84 +73,58 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFra
 
 
 def prefix_postings(texts: DataFrame, matches: int) -> DataFrame:
-    """(posting, id, n_shingles, centre): the coordinate values under which a text is looked up.
+    """(posting, id, centre): the coordinate values under which a text is looked up.
 
     Values that no other text has cannot match and are dropped. A text left with m values needs
     ``matches`` of them, so two texts that match share one of the rarest m - matches + 1 of each:
     only that prefix is posted, and a text with fewer than ``matches`` values is skipped.
     """
-    postings = texts.select("id", "n_shingles", F.posexplode("signature").alias("at", "value")).select(
-        "id", "n_shingles", F.xxhash64("at", "value").alias("posting")
+    postings = texts.select("id", F.posexplode("signature").alias("at", "value")).select(
+        "id", F.xxhash64("at", "value").alias("posting")
     )
     shared = postings.groupBy("posting").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1")
     held = F.sort_array(F.collect_list(F.struct("texts", "posting")))  # at most one per coordinate
     return (
         postings.join(shared, "posting")
-        .groupBy("id", "n_shingles")
+        .groupBy("id")
         .agg(held.alias("held"))
         .where(F.size("held") >= matches)
         .withColumn("centre", F.aggregate("held", F.lit(0).cast("bigint"), lambda s, h: s + h["texts"]))
         .withColumn("held", F.expr(f"slice(held, 1, size(held) - {matches - 1})"))
-        .select("id", "n_shingles", "centre", F.explode("held.posting").alias("posting"))
+        .select("id", "centre", F.explode("held.posting").alias("posting"))
     )
 
 
-def _lengths_fit(n: str, other: str, percent: int):
-    return (100 * F.least(n, other) >= percent * F.greatest(n, other))
+def head_members(postings: DataFrame) -> DataFrame:
+    """(head, id): each text with the most central text of each of its postings.
 
+    Two texts that share a posting share its head, and there are no more rows than postings.
+    """
+    heads = postings.groupBy("posting").agg(F.max_by("id", F.struct("centre", "id")).alias("head"))
+    return postings.join(heads, "posting").select("head", "id").distinct()
 
-def star_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Each text with the most central text of each of its postings: linear in the postings."""
-    heads = postings.groupBy("posting").agg(
-        F.max_by(F.struct("id", "n_shingles"), F.struct("centre", "id")).alias("head")
-    )
-    return (
-        postings.join(heads, "posting")
-        .where(_lengths_fit("n_shingles", "head.n_shingles", percent) & (F.col("id") != F.col("head.id")))
-        .select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b"))
-        .distinct()
-    )
 
+def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    """(id, shingles) of the documents in ``ids`` (id), from their whole texts."""
+    hashes = WordHashes()
 
-def cross_pairs(postings: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """All pairs under one posting whose texts are not connected yet.
+    def read(batch: dict) -> dict:
+        return {"id": batch[id_col], "shingles": [shingle_set(t, words, hashes).view(np.int64) for t in batch[text_col]]}
 
-    Under each posting the texts outside its largest group are compared with all texts of other
-    groups; pairs inside a group need no look, so a large group of copies costs its size.
-    """
-    rows = attach(postings, groups, ["id"]).withColumn("component", F.coalesce("component", "id"))
-    sizes = rows.groupBy("posting", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("posting").agg(
-        F.max_by("component", F.struct("n", "component")).alias("largest"), F.count(F.lit(1)).alias("groups")
-    ).where("groups > 1").drop("groups")
-    mixed = rows.join(largest, "posting")
-    few = mixed.where("component <> largest").select(
-        "posting", F.col("id").alias("x"), F.col("n_shingles").alias("nx"), F.col("component").alias("cx")
-    )
-    return (
-        few.join(mixed, "posting")
-        .where((F.col("cx") != F.col("component")) & _lengths_fit("nx", "n_shingles", percent))
-        .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b"))
-        .distinct()
-    )
+    kind = docs.schema[id_col].dataType.simpleString()
+    wanted = only_keys(docs.select(id_col, text_col), ids.select(F.col("id").alias(id_col)), [id_col])
+    return map_batches(wanted, read, f"id {kind}, shingles array<long>").dropDuplicates(["id"])
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, matches: int, percent: int) -> DataFrame:
-    """Pairs with enough equal coordinates whose whole shingle sets reach the similarity."""
+    """Pairs (a, b) with enough equal coordinates whose whole shingle sets reach the similarity."""
     signatures = texts.select("id", "signature")
     left = signatures.select(F.col("id").alias("a"), F.col("signature").alias("sa"))
     right = signatures.select(F.col("id").alias("b"), F.col("signature").alias("sb"))
     equal = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda same: same))
     close = stage_table(pairs.join(left, "a").join(right, "b").where(equal >= matches).select("a", "b"), "close-pairs")
-    needed = close.select(F.col("a").alias(id_col)).union(close.select("b")).distinct()
-    hashes = WordHashes()
-
-    def read(batch: dict) -> dict:
-        return {"id": batch[id_col], "shingles": [shingle_set(t, words, hashes).view(np.int64) for t in batch[text_col]]}
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    sets = map_batches(only_keys(docs.select(id_col, text_col), needed, [id_col]), read, f"id {kind}, shingles array<long>")
-    sets = sets.dropDuplicates(["id"])
+    needed = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
+    sets = shingle_sets(docs, needed, id_col, text_col, words)
     both = F.size(F.array_intersect("xa", "xb"))
     return (
         close.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("xa")), "a")
@@ -157,6 +134,72 @@ def confirm(pairs: DataFrame, texts: DataFrame, docs: DataFrame, id_col: str, te
     )
 
 
+def links_between(few: list[np.ndarray], many: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Index pairs of sets that reach the similarity, by one pass over an inverted list."""
+    sizes = np.array([len(s) for s in many])
+    shingles, owner = np.concatenate(many), np.repeat(np.arange(len(many)), sizes)
+    order = np.argsort(shingles, kind="stable")
+    shingles, owner = shingles[order], owner[order]
+    found = []
+    for i, own in enumerate(few):
+        lo, hi = np.searchsorted(shingles, own, "left"), np.searchsorted(shingles, own, "right")
+        counts = hi - lo
+        at = np.repeat(lo - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        both = np.bincount(owner[at], minlength=len(many))
+        good = (both > 0) & (100 * both >= percent * (len(own) + sizes - both))
+        found.extend((i, int(j)) for j in np.flatnonzero(good))
+    return found
+
+
+def cross_links(members: DataFrame, groups: DataFrame, sets_of, percent: int) -> DataFrame:
+    """Links between texts that have a head in common and are not connected yet.
+
+    Under each head the texts outside its largest group meet all texts of other groups; inside a
+    group there is nothing to find, so a large group of copies costs its size. The texts of a head
+    are cut into blocks of ``BLOCK_TEXTS``; a task gets whole pairs of blocks, about
+    ``TASK_TEXTS`` rows, and returns links only.
+    """
+    rows = attach(members, groups, ["id"]).withColumn("component", F.coalesce("component", "id"))
+    sizes = rows.groupBy("head", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = (
+        sizes.groupBy("head")
+        .agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.max("n").alias("most"), F.sum("n").alias("all"))
+        .where(F.col("all") > F.col("most"))
+    )
+    rows = stage_table(rows.join(mixed, "head"), "mixed-heads")
+    blocks = lambda n: F.greatest(F.ceil(n / BLOCK_TEXTS), F.lit(1)).cast("int")
+    many_blocks, few_blocks = blocks(F.col("all")), blocks(F.col("all") - F.col("most"))
+    place = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    copies = rows.select(
+        "head", "id", "component", F.lit(False).alias("few"), place(many_blocks).alias("i"),
+        F.explode(F.sequence(F.lit(0), few_blocks - 1)).alias("j"),
+    ).union(
+        rows.where("component <> largest").select(
+            "head", "id", "component", F.lit(True), F.explode(F.sequence(F.lit(0), many_blocks - 1)), place(few_blocks),
+        )
+    )
+    copies = stage_table(copies, "head-blocks")
+    tasks = max(copies.count() // TASK_TEXTS, 1)
+    kind = copies.schema["id"].dataType.simpleString()
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple] = []
+        for _, block in pdf.groupby(["head", "i", "j"], sort=False):
+            few, many = block[block["few"]], block[~block["few"]]
+            if len(few) and len(many):
+                ids_x, ids_y = few["id"].to_numpy(), many["id"].to_numpy()
+                cx, cy = few["component"].to_numpy(), many["component"].to_numpy()
+                pairs = links_between(few["shingles"].tolist(), many["shingles"].tolist(), percent)
+                out += [(min(ids_x[i], ids_y[j]), max(ids_x[i], ids_y[j])) for i, j in pairs if cx[i] != cy[j]]
+        return pd.DataFrame(sorted(set(out)), columns=["a", "b"])
+
+    sets = sets_of(rows.select("id").distinct())
+    task = F.pmod(F.xxhash64("head", "i", "j"), F.lit(tasks))
+    return (
+        copies.join(sets, "id").withColumn("task", task).groupBy("task").applyInPandas(compare, f"a {kind}, b {kind}").distinct()
+    )
+
+
 def near_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
     percent: int = SIMILAR_PERCENT, matches: int = MATCHES,
@@ -170,19 +213,21 @@ def near_dedup(
     unique; repeated rows get equal results. Other columns are not read; an empty table gives no rows.
 
     Texts with equal sets form a class and only its smallest id goes on. First every text meets the
-    most central text of each posting; what these links connect is then left out, and all pairs
-    that share a posting and are still apart are compared, so no link between components is lost.
+    most central text of each of its postings. What these links connect is then left out, and all
+    texts that share a head and are still apart are compared, so no link between components is lost.
     """
     rows = stage_table(sketches(docs, id_col, text_col, words), "sketches")
     usable = rows.where("set_hash is not null and id is not null")
     classes = stage_table(usable.groupBy("set_hash").agg(F.min("id").alias("class_id")), "classes")
     texts = only_keys(usable, classes.select(F.col("class_id").alias("id")), ["id"])
-    postings = stage_table(prefix_postings(texts, matches), "postings")
-    how = (texts, docs, id_col, text_col, words, matches, percent)
-    first = stage_table(confirm(star_pairs(postings, percent), *how), "star-links")
+    postings = prefix_postings(texts, matches)
+    members = stage_table(head_members(stage_table(postings, "postings")), "heads")
+    stars = members.where("head <> id").select(F.least("head", "id").alias("a"), F.greatest("head", "id").alias("b")).distinct()
+    first = stage_table(confirm(stars, texts, docs, id_col, text_col, words, matches, percent), "star-links")
     groups = stage_table(components(first), "star-groups")
-    # the star pairs that were refused need no second look, but are few enough to take along
-    second = stage_table(confirm(cross_pairs(postings, groups, percent), *how), "cross-links")
+    second = stage_table(
+        cross_links(members, groups, lambda ids: shingle_sets(docs, ids, id_col, text_col, words), percent), "cross-links"
+    )
     merged = stage_table(components(first.union(second)), "groups").withColumnRenamed("id", "class_id")
     placed = attach(attach(rows, classes, ["set_hash"]), merged, ["class_id"])
     component = F.coalesce("component", "class_id", "id")
