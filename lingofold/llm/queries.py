@@ -10,6 +10,7 @@ from lingofold.llm import (
     main_text,
     mixing,
     near_dedup,
+    phrases,
     piece_sampling,
     quality_model,
     quality_rules,
@@ -22,6 +23,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_dedup(read(spark, sf_dir, "documents"), words=4)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.remove_passages(read(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_mix_sources": op5_mix_sources,
     "op6_quality_classifier": op6_quality_classifier,
