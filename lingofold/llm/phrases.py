@@ -30,20 +30,25 @@ ANCHOR = 6
 #: Regions per automaton, and from how many occurrences on an anchor is cut into several shards.
 SHARD_REGIONS = 3000
 ANCHOR_REGIONS = 2000
+SPAN = 1024
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def anchors(codes: np.ndarray, window: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, word positions): of every window the smallest hash of ``width`` words in it.
+    """Of every window the smallest hash of ``width`` words in it: (hashes, spans of windows).
 
     Equal windows have equal anchors at equal places, so a repeated window has a repeated anchor.
+    Windows that follow each other often share their anchor; a span is the number of the first
+    window times ``SPAN`` plus the number of windows.
     """
     if len(codes) < window:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
     hashes = gram_hashes(codes, width)
-    span = window - width + 1
-    places = np.unique(sliding_window_view(hashes, span).argmin(axis=1) + np.arange(len(hashes) - span + 1))
-    return hashes[places], places
+    reach = window - width + 1
+    chosen = sliding_window_view(hashes, reach).argmin(axis=1) + np.arange(len(hashes) - reach + 1)
+    first = np.flatnonzero(np.diff(chosen, prepend=-1))
+    counts = np.diff(np.append(first, len(chosen)))
+    return hashes[chosen[first]], first * SPAN + counts
 
 
 def gram_hashes(codes: np.ndarray, width: int) -> np.ndarray:
@@ -60,42 +65,38 @@ def word_codes(words: list[bytes], hashes: WordHashes) -> np.ndarray:
 
 
 def anchor_rows(docs: DataFrame, id_col: str, text_col: str, window: int, width: int) -> DataFrame:
-    """(id, anchors, places) per document with at least one window."""
+    """(id, anchors, spans) per document with at least one window."""
     hashes = WordHashes()
 
     def read(batch: dict) -> dict:
-        out: dict[str, list] = {"id": [], "anchors": [], "places": []}
+        out: dict[str, list] = {"id": [], "anchors": [], "spans": []}
         for key, text in zip(batch[id_col], batch[text_col], strict=True):
-            found, places = anchors(word_codes(byte_words(text), hashes), window, width)
+            found, spans = anchors(word_codes(byte_words(text), hashes), window, width)
             if len(found):
                 out["id"].append(key)
                 out["anchors"].append(found.view(np.int64))
-                out["places"].append(places.astype(np.int32))
+                out["spans"].append(spans)
         return out
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(id_col, text_col), read, f"id {kind}, anchors array<long>, places array<int>")
+    return map_batches(docs.select(id_col, text_col), read, f"id {kind}, anchors array<long>, spans array<long>")
 
 
-def regions(docs: DataFrame, id_col: str, text_col: str, window: int, width: int) -> DataFrame:
-    """(anchor, texts, id, start, words): for each recurring anchor the words of all windows whose
-    anchor it is. ``docs`` carries ``hits``, an array of (place, anchor, texts)."""
-    hashes = WordHashes()
+def regions(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
+    """(anchor, n, id, start, words): for each recurring anchor the words of all windows whose
+    anchor it is. ``docs`` carries ``hits``, an array of (span, anchor, n)."""
 
     def read(batch: dict) -> dict:
         out: dict[str, list] = {"anchor": [], "n": [], "id": [], "start": [], "words": []}
         for key, text, hits in zip(batch[id_col], batch[text_col], batch["hits"], strict=True):
             words = byte_words(text)
-            grams = gram_hashes(word_codes(words, hashes), width)
-            span = window - width + 1
-            chosen = sliding_window_view(grams, span).argmin(axis=1) + np.arange(len(grams) - span + 1)
             for hit in hits:
-                low, high = np.searchsorted(chosen, [hit["place"], hit["place"] + 1])
+                low, count = divmod(hit["span"], SPAN)
                 out["anchor"].append(hit["anchor"])
                 out["n"].append(hit["n"])
                 out["id"].append(key)
-                out["start"].append(int(low))
-                out["words"].append(b" ".join(words[low : high - 1 + window]))
+                out["start"].append(low)
+                out["words"].append(b" ".join(words[low : low + count - 1 + window]))
         return out
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -105,43 +106,42 @@ def regions(docs: DataFrame, id_col: str, text_col: str, window: int, width: int
 def locate(shard: pd.DataFrame, window: int, hot: int) -> list[tuple]:
     """Occurrences to remove in one shard: (phrase, id, start, stop).
 
-    Recurring windows of the shard are compiled into an automaton, and the regions are streamed
-    through it. Occurrences after the first are complete (no phrase); where an anchor has several
-    shards, the first occurrence here is returned with its phrase to be compared with theirs.
+    Recurring windows of the shard are compiled into an automaton over word numbers, and the regions
+    are streamed through it. Occurrences after the first are complete (no phrase); where an anchor
+    has several shards, the first occurrence here is returned with its phrase to be compared with theirs.
     """
-    texts = [w.decode("latin-1") for w in shard["words"]]
-    hot_rows = (shard["n"] > hot).to_numpy()
-    counts: dict[str, int] = {}
+    numbers: dict[bytes, int] = {}
+    texts = [tuple([numbers.setdefault(w, len(numbers)) for w in t.split(b" ")]) for t in shard["words"]]
+    hot_rows = (shard["n"] > hot).tolist()
+    counts: dict[tuple, int] = {}
     for text, is_hot in zip(texts, hot_rows, strict=True):
-        words = text.split(" ")
-        for i in range(len(words) - window + 1):
-            phrase = " ".join(words[i : i + window])
+        for i in range(len(text) - window + 1):
+            phrase = text[i : i + window]
             counts[phrase] = counts.get(phrase, 0) + (2 if is_hot else 1)
     phrases = [p for p, n in counts.items() if n > 1]
-    del counts
     if not phrases:
         return []
-    automaton = ahocorasick.Automaton()
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
     for number, phrase in enumerate(phrases):
-        automaton.add_word(f" {phrase} ", number)
+        automaton.add_word(phrase, number)
     automaton.make_automaton()
-    sizes = [len(p) + 2 for p in phrases]
     ids, starts = shard["id"].tolist(), shard["start"].tolist()
     places: list[list[tuple]] = [[] for _ in phrases]
-    spread = np.zeros(len(phrases), dtype=bool)
+    spread = bytearray(len(phrases))
     for row, text in enumerate(texts):
-        padded = f" {text} "
-        at = {p: k for k, p in enumerate(i for i, c in enumerate(padded) if c == " ")}
-        for end, number in automaton.iter(padded):
-            places[number].append((ids[row], starts[row] + at[end - sizes[number] + 1]))
-            spread[number] |= hot_rows[row]
+        key, base = ids[row], starts[row] - window + 1
+        for end, number in automaton.iter(text):
+            places[number].append((key, base + end))
+            if hot_rows[row]:
+                spread[number] = 1
+    words = list(numbers)
     out = []
     for number, found in enumerate(places):
         first = min(found)
-        gone = {f for f in found if f != first}
-        out.extend((None, key, start, start + window) for key, start in gone)
+        out.extend((None, key, start, start + window) for key, start in found if (key, start) != first)
         if spread[number]:
-            out.append((xxhash.xxh3_128_digest(phrases[number].encode("latin-1")), *first, first[1] + window))
+            text = b" ".join(words[w] for w in phrases[number])
+            out.append((xxhash.xxh3_128_digest(text), *first, first[1] + window))
     return merge(out)
 
 
@@ -165,16 +165,16 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, window: int = WINDOW, w
         "recurring-anchors",
     )
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    places = found.select("id", F.explode(F.arrays_zip("places", "anchors")).alias("x")).select(
-        "id", F.col("x.places").alias("place"), F.col("x.anchors").alias("anchor")
+    places = found.select("id", F.explode(F.arrays_zip("spans", "anchors")).alias("x")).select(
+        "id", F.col("x.spans").alias("span"), F.col("x.anchors").alias("anchor")
     )
     hits = (
-        places.join(counts, "anchor").groupBy("id").agg(F.collect_list(F.struct("place", "anchor", "n")).alias("hits"))
+        places.join(counts, "anchor").groupBy("id").agg(F.collect_list(F.struct("span", "anchor", "n")).alias("hits"))
     )
     hits = stage_table(hits.withColumnRenamed("id", id_col), "anchor-hits")  # per document, at most its words
     held = only_keys(docs.select(id_col, text_col), hits, [id_col]).join(hits, id_col)
     parts = F.greatest(F.ceil(F.col("n") / hot), F.lit(1))
-    shards = regions(held, id_col, text_col, window, width).withColumn(
+    shards = regions(held, id_col, text_col, window).withColumn(
         "shard", F.pmod(F.xxhash64("anchor", F.pmod(F.xxhash64("id"), parts)), F.lit(max(total // SHARD_REGIONS, 1)))
     )
     kind = docs.schema[id_col].dataType.simpleString()
