@@ -14,6 +14,7 @@ from lingofold.llm import (
     piece_sampling,
     quality_model,
     quality_rules,
+    suffix_dedup,
     url_filter,
 )
 from lingofold.llm.common import read
@@ -31,6 +32,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("source")
 
@@ -61,6 +66,7 @@ QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_mix_sources": op5_mix_sources,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_quality_rules": op7_quality_rules,
