@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -87,3 +88,9 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_
         F.min(label).alias("label")
     )
     return docs.drop("label").join(marks, id_col)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop shuffle files of frames that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

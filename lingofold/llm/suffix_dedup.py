@@ -17,7 +17,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lingofold.llm.common import attach, map_batches, only_keys, text_or_empty
+from lingofold.llm.common import attach, map_batches, only_keys, release, text_or_empty
 from lingofold.session import stage_table
 
 WINDOW = 50
@@ -220,7 +220,10 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, window: int, bits: int,
     hits = attach(places, counts, ["anchor"], "inner").groupBy("id").agg(
         F.collect_list(F.struct("span", "anchor", "n")).alias("hits")
     )
-    held = docs.select(F.col(id_col), F.col(text_col)).join(hits.withColumnRenamed("id", id_col), id_col)
+    release(docs.sparkSession)  # the shuffle of the counts
+    hits = stage_table(hits.withColumnRenamed("id", id_col), "anchor-hits")
+    release(docs.sparkSession)  # those of the places
+    held = docs.select(F.col(id_col), F.col(text_col)).join(hits, id_col)
     parts = F.greatest(F.ceil(F.col("n") / hot), F.lit(1))
     shards = regions(held, id_col, text_col, window).withColumn(
         "shard", F.pmod(F.xxhash64("anchor", F.pmod(F.xxhash64("id"), parts)), F.lit(max(total // SHARD_REGIONS, 1)))
