@@ -230,7 +230,7 @@ def near_dedup(
     )
     merged = stage_table(components(first.union(second)), "groups").withColumnRenamed("id", "class_id")
     placed = attach(attach(rows, classes, ["set_hash"]), merged, ["class_id"])
-    component = F.coalesce("component", "class_id", "id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "class_id", "id"))
     return placed.select(
         F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
