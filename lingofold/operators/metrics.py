@@ -149,7 +149,8 @@ def _chrf_counter(char_order: int, word_order: int):
             row = []
             for order in range(1, orders + 1):
                 left, right = grams(h, hw, order), grams(r, rw, order)
-                row += (left.total(), right.total(), (left & right).total())
+                # n-grams of an order that the segment's reference does not have are not counted
+                row += (left.total() if right else 0, right.total(), (left & right).total())
             out.append(row)
         return pa.array(out, pa.list_(pa.int64()))
 

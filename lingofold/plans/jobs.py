@@ -92,11 +92,16 @@ def translate_job(
 ) -> DataFrame:
     """(key, translated_text, error) for documents with optional src_lang, tgt_lang, params.
 
+    Source and target are request parameters of these names; columns of the same names hold where
+    a row has no such parameter.
+
     Detect (only without a source), split, detect unsure sentences again, translate, rejoin.
     """
     for name in ("src_lang", "tgt_lang"):
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast("string"))
+        if "params" in df.columns:
+            df = df.withColumn(name, F.coalesce(F.try_element_at("params", F.lit(name)), F.col(name)))
     rows = with_options(df, TRANSLATE_DEFAULTS)
     rows = rows.withColumn(
         "error",

@@ -275,8 +275,9 @@ grams AS ({chars}
             lambda i: ws[i] || ' ' || ws[i + 1])) FROM packed),
 per AS (SELECT {keys}, {group}, o, g, count(*) FILTER (h) AS a, count(*) FILTER (NOT h) AS b
         FROM grams GROUP BY ALL),
-tot AS (SELECT {group}, o, sum(a)::DOUBLE AS a, sum(b)::DOUBLE AS b, sum(least(a, b))::DOUBLE AS m
-        FROM per GROUP BY ALL),
+seg AS (SELECT *, sum(b) OVER (PARTITION BY {keys}, {group}, o) AS held FROM per),
+tot AS (SELECT {group}, o, sum(CASE WHEN held > 0 THEN a ELSE 0 END)::DOUBLE AS a, sum(b)::DOUBLE AS b,
+               sum(least(a, b))::DOUBLE AS m FROM seg GROUP BY ALL),
 pr AS (SELECT {group}, CASE WHEN a > 0 THEN m / a ELSE 1e-16 END AS p,
               CASE WHEN b > 0 THEN m / b ELSE 1e-16 END AS r FROM tot)
 SELECT {group}, round(100 * (sum(CASE WHEN 4 * p + r > 0 THEN 5 * p * r / (4 * p + r) ELSE 1e-16 END)

@@ -212,3 +212,18 @@ def test_zero_shot(spark):
     ).select(F.lit(1).cast("bigint").alias("query_id"), "vector")
     got = {r.label: r.prob for r in jobs.classify_zero_shot(classes, items, k=2).collect()}
     assert got["n2"] > got["n1"]
+
+
+def test_chrf_leaves_out_orders_the_reference_does_not_have(spark):
+    df = spark.createDataFrame([("Hi there", "Hi")], "hyp string, ref string")
+    got = {r.order: (r.hyp, r.ref, r.match) for r in metrics.chrf_counts(df).collect()}
+    assert got == {1: (7, 2, 2), 2: (6, 1, 1), 7: (2, 1, 1)}
+
+
+def test_search_skips_null_and_odd_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0]), (4, [1.0])]
+    corpus = spark.createDataFrame(rows, "id long, vector array<double>")
+    queries = corpus.withColumnRenamed("id", "query_id")
+    for block_rows in (None, 2):
+        got = vs.knn(queries, corpus, 2, block_rows).collect()
+        assert {(r.query_id, r.id) for r in got} == {(1, 1), (1, 3), (3, 1), (3, 3)}
