@@ -18,7 +18,7 @@ from lingofold.session import ship_package
 BLANKS = r"[\x20\x09-\x0D]+"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 BROADCAST_BYTES = 64 << 20
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 ROWS_PER_STEP = 1000
 
 
