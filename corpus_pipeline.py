@@ -15,6 +15,9 @@ from lingofold.llm import exact_dedup, mixing, near_dedup, piece_sampling, quali
 from lingofold.llm.common import read
 from lingofold.session import stage_table
 
+#: Lattice edges per worker: small, as workers still hold memory of earlier stages.
+KEPT_EDGES = 2_000_000
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
@@ -40,7 +43,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of every document: doc_id, sample, ids, log_prob, log_inclusion."""
-    return piece_sampling.encode_samples(docs)
+    return piece_sampling.encode_samples(docs, kept_edges=KEPT_EDGES)
 
 
 STAGES = [
