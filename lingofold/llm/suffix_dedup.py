@@ -13,7 +13,6 @@ import hashlib
 import numpy as np
 import pandas as pd
 import xxhash
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +22,7 @@ from lingofold.session import stage_table
 WINDOW = 50
 ANCHOR = 16
 SPAN = 1024
+RUN = SPAN // 2
 SHARD_REGIONS = 6000
 ANCHOR_REGIONS = 3000
 #: Hash bits per anchor beyond the logarithm of the corpus size; a chance collision only costs time.
@@ -45,18 +45,30 @@ def encoded(text: str | None) -> bytes:
 
 
 def anchors(raw: bytes, window: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and spans (first window * SPAN + windows) of the anchors of all windows."""
+    """Hashes and spans (first window * SPAN + windows) of the anchors of all windows.
+
+    The smallest hash of each window comes from minima over doubled widths. Windows in a row with
+    the same smallest hash make one span, cut after ``RUN`` windows.
+    """
     if len(raw) < window:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     words = packed(np.frombuffer(raw, dtype=np.uint8).astype(np.uint64))
     hashes = (words[:-8] * MIX ^ (words[8:] >> np.uint64(7))) * MIX
     hashes ^= hashes >> np.uint64(32)
-    hashes = (hashes * MIX) >> np.uint64(64 - bits)
-    reach = window - ANCHOR + 1
-    chosen = sliding_window_view(hashes, reach).argmin(axis=1) + np.arange(len(hashes) - reach + 1)
-    first = np.flatnonzero(np.diff(chosen, prepend=-1))
-    counts = np.diff(np.append(first, len(chosen)))
-    return hashes[chosen[first]].astype(np.int64), first * SPAN + counts
+    least = (hashes * MIX) >> np.uint64(64 - bits)
+    width, reach = 1, window - ANCHOR + 1
+    while width < reach:
+        step = min(width, reach - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    first = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
+    counts = np.diff(np.append(first, len(least)))
+    if counts.max() > RUN:
+        parts = -(-counts // RUN)
+        stop = np.repeat(first + counts, parts)
+        first = np.repeat(first, parts) + RUN * (np.arange(len(stop)) - np.repeat(np.cumsum(parts) - parts, parts))
+        counts = np.minimum(stop - first, RUN)
+    return least[first].astype(np.int64), first * SPAN + counts
 
 
 def anchor_rows(docs: DataFrame, id_col: str, text_col: str, window: int, bits: int) -> DataFrame:
@@ -73,24 +85,23 @@ def regions(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFra
 
     def read(batch: dict) -> dict:
         out: dict[str, list] = {"anchor": [], "n": [], "id": [], "start": [], "body": []}
-        for key, text, hits in zip(batch[id_col], batch[text_col], batch["hits"], strict=True):
+        found = (batch[c] for c in (id_col, text_col, "anchors", "counts", "spans"))
+        for key, text, hit, counts, spans in zip(*found, strict=True):
             raw = encoded(text)
-            for hit in hits:
-                low, count = divmod(hit["span"], SPAN)
-                out["anchor"].append(hit["anchor"])
-                out["n"].append(hit["n"])
-                out["id"].append(key)
-                out["start"].append(low)
-                out["body"].append(raw[low : low + count - 1 + window])
+            starts = [span // SPAN for span in spans]
+            out["anchor"] += hit
+            out["n"] += counts
+            out["id"] += [key] * len(hit)
+            out["start"] += starts
+            out["body"] += [raw[low : low + span % SPAN - 1 + window] for low, span in zip(starts, spans, strict=True)]
         return out
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(id_col, text_col, "hits"), read, f"anchor long, n long, id {kind}, start int, body binary")
+    return map_batches(docs.select(id_col, text_col, "anchors", "counts", "spans"), read, f"anchor long, n long, id {kind}, start int, body binary")
 
 
-def _names(*keys: np.ndarray) -> np.ndarray:
-    """Dense ranks of key tuples (the first key leads)."""
-    order = np.lexsort(keys[::-1])
+def _dense(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """Dense ranks from 1, given an order that sorts the keys."""
     new = np.zeros(len(order), dtype=bool)
     for key in keys:
         new[1:] |= np.diff(key[order]) != 0
@@ -99,6 +110,17 @@ def _names(*keys: np.ndarray) -> np.ndarray:
     return names
 
 
+def _names(*keys: np.ndarray) -> np.ndarray:
+    """Dense ranks of tuples of ranks (the first key leads), sorted as one number where they fit."""
+    bits = max(int(key.max(initial=0)) for key in keys).bit_length()
+    if bits * len(keys) > 63:
+        return _dense(np.lexsort(keys[::-1]), *keys)
+    whole = keys[0]
+    for key in keys[1:]:
+        whole = (whole << bits) | key
+    return _dense(np.argsort(whole), whole)
+
+
 def suffix_order(raw: np.ndarray, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """``starts`` in the order of their suffixes, right for the first 72 bytes.
 
@@ -110,7 +132,8 @@ def suffix_order(raw: np.ndarray, words: np.ndarray, starts: np.ndarray) -> np.n
     n = len(raw) - PAD
     sample = np.flatnonzero(np.arange(n + 60) % 3 != 0)
     names = np.zeros(len(raw), dtype=np.int64)
-    names[sample] = _names(words[sample], words[sample + 8], words[sample + 16])
+    eights = _dense(np.argsort(words), words)
+    names[sample] = _names(eights[sample], eights[sample + 8], eights[sample + 16])
     wanted = np.zeros(n + 3, dtype=bool)
     for step in range(3):
         wanted[starts + step] = True
@@ -164,21 +187,37 @@ def locate(shard: pd.DataFrame, window: int, hot: int) -> list[tuple]:
     first = np.minimum.reduceat(least[owner_at[order]], heads)
     first_at = np.zeros(len(raw), dtype=np.int64)
     first_at[order] = np.repeat(first, np.diff(np.append(heads, len(order))))
-    out: list[tuple] = []
+    earlier = first_at[starts] < least[owner]
+    joined = earlier[1:] & earlier[:-1] & (np.diff(starts) == 1)
+    head = np.flatnonzero(earlier & ~np.concatenate([[False], joined]))
+    tail = np.flatnonzero(earlier & ~np.concatenate([joined, [False]]))
+    run = owner[head]
+    low, high = starts[head] - offset[run], starts[tail] - offset[run] + window
+    body_of = np.empty(len(ids), dtype=np.int64)
     for number, body in enumerate(bodies):
-        lo = int(offset[number])
-        earlier = first_at[lo : lo + int(windows[number])] < least[number]
-        for row in rows_of[body]:
-            key, base = ids[row], begin[row]
-            if codes[key] > least[number]:
-                out.append((None, key, base, base + len(body)))
-                continue
-            out.extend((None, key, base + i, base + i + window) for i in np.flatnonzero(earlier).tolist())
-            if is_hot[row]:
-                out.extend(
-                    (xxhash.xxh3_128_digest(body[i : i + window]), key, base + i, base + i + window)
-                    for i in np.flatnonzero(~earlier).tolist()
-                )
+        body_of[rows_of[body]] = number
+    copy = np.array([codes[i] for i in ids]) > least[body_of]
+    copies, kept = np.flatnonzero(copy), np.flatnonzero(~copy)
+    kept = kept[np.argsort(body_of[kept], kind="stable")]
+    per_body = np.bincount(body_of[kept], minlength=len(bodies))
+    times = per_body[run]  # every run once for each place of the body that is no copy
+    which = np.repeat(np.arange(len(run)), times)
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+    row = kept[np.repeat((np.cumsum(per_body) - per_body)[run], times) + nth]
+    base = np.array(begin, dtype=np.int64)
+    rows = np.concatenate([copies, row]).tolist()
+    start = np.concatenate([base[copies], base[row] + low[which]]).tolist()
+    stop = np.concatenate([base[copies] + sizes[body_of[copies]], base[row] + high[which]]).tolist()
+    out: list[tuple] = [(None, ids[r], lo, hi) for r, lo, hi in zip(rows, start, stop, strict=True)]
+    window_at = np.cumsum(windows) - windows
+    for r in kept.tolist():
+        if is_hot[r]:
+            number, key, at = int(body_of[r]), ids[r], begin[r]
+            body, lo = bodies[number], int(window_at[number])
+            out.extend(
+                (xxhash.xxh3_128_digest(body[i : i + window]), key, at + i, at + i + window)
+                for i in np.flatnonzero(~earlier[lo : lo + int(windows[number])]).tolist()
+            )
     return out
 
 
@@ -193,15 +232,6 @@ def merged(spans: list[tuple]) -> list[tuple]:
     return [tuple(s) for s in out]
 
 
-def compact(found: list[tuple]) -> list[tuple]:
-    by_id: dict = {}
-    for prefix, key, start, stop in found:
-        if prefix is None:
-            by_id.setdefault(key, []).append((start, stop))
-    whole = [(None, key, *span) for key, spans in by_id.items() for span in merged(spans)]
-    return [f for f in found if f[0] is not None] + whole
-
-
 def repeats(docs: DataFrame, id_col: str, text_col: str, window: int, bits: int, hot: int) -> DataFrame:
     """(id, start, stop) in bytes of windows that also start in a document with a smaller id."""
     found = anchor_rows(docs, id_col, text_col, window, bits)
@@ -221,7 +251,13 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, window: int, bits: int,
         F.collect_list(F.struct("span", "anchor", "n")).alias("hits")
     )
     release(docs.sparkSession)  # the shuffle of the counts
-    hits = stage_table(hits.withColumnRenamed("id", id_col), "anchor-hits")
+    hits = stage_table(
+        hits.select(
+            F.col("id").alias(id_col), F.col("hits.anchor").alias("anchors"),
+            F.col("hits.n").alias("counts"), F.col("hits.span").alias("spans"),
+        ),
+        "anchor-hits",
+    )
     release(docs.sparkSession)  # those of the places
     held = docs.select(F.col(id_col), F.col(text_col)).join(hits, id_col)
     parts = F.greatest(F.ceil(F.col("n") / hot), F.lit(1))
@@ -231,7 +267,7 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, window: int, bits: int,
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(shard: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(compact(locate(shard, window, hot)), columns=["prefix", "id", "start", "stop"])
+        return pd.DataFrame(locate(shard, window, hot), columns=["prefix", "id", "start", "stop"])
 
     located = stage_table(
         shards.groupBy("shard").applyInPandas(run, f"prefix binary, id {kind}, start int, stop int"), "located"
