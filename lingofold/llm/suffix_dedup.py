@@ -272,6 +272,7 @@ def repeats(docs: DataFrame, id_col: str, text_col: str, window: int, bits: int,
     located = stage_table(
         shards.groupBy("shard").applyInPandas(run, f"prefix binary, id {kind}, start int, stop int"), "located"
     )
+    release(docs.sparkSession)  # those of the regions
     firsts = located.where("prefix is not null")
     earliest = firsts.groupBy("prefix").agg(F.min("id").alias("earliest"))
     later = firsts.join(earliest, "prefix").where("id > earliest")
@@ -300,6 +301,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.collect_list(F.struct("start", "stop")).alias("spans")
     )
     spans = stage_table(spans.withColumnRenamed("id", id_col), "byte-spans")
+    release(docs.sparkSession)
 
     def cut(batch: dict) -> dict:
         out: dict[str, list] = {id_col: batch[id_col], "n_removed": [], "n_spans": [], "cut_sha": []}
