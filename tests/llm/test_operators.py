@@ -176,6 +176,18 @@ def test_byte_repeats_equal_brute_force(make_docs, odd_rows, hot):
     assert suffix_dedup.remove_repeats(make_docs([])).count() == 0
 
 
+def test_anchor_spans_cover_every_window_once():
+    random = np.random.default_rng(5)
+    raw = bytes(random.integers(97, 100, 400).astype(np.uint8)) + b"a" * 5000 + bytes(random.integers(97, 123, 700).astype(np.uint8))
+    hashes, spans = suffix_dedup.anchors(raw, 50, 40)
+    starts, counts = np.divmod(spans, suffix_dedup.SPAN)
+    assert starts[0] == 0 and (starts[1:] == starts[:-1] + counts[:-1]).all()
+    assert starts[-1] + counts[-1] == len(raw) - 49 and counts.max() == suffix_dedup.RUN
+    moved, _ = suffix_dedup.anchors(b"xyz" + raw[:600], 50, 40)
+    assert set(suffix_dedup.anchors(raw[:600], 50, 40)[0].tolist()) <= set(moved.tolist())
+    assert len(suffix_dedup.anchors(raw[:49], 50, 40)[0]) == 0 and len(suffix_dedup.anchors(raw[:50], 50, 40)[0]) == 1
+
+
 def test_suffix_order_is_right_for_the_window():
     random = np.random.default_rng(3)
     raw = np.concatenate([random.integers(97, 99, 900), np.full(300, 97), np.zeros(suffix_dedup.PAD)]).astype(np.uint8)
