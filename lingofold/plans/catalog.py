@@ -489,10 +489,14 @@ def d6_dispatch(spark, sf_dir):
 
 def m1_train_lid(spark, sf_dir):
     model = _model(spark, sf_dir)
-    names = F.array(*[F.lit(x) for x in model.labels])
-    return model.grams.select(
-        "gram", F.explode(F.arrays_zip(names.alias("label"), F.col("logp").alias("logp"))).alias("e")
-    ).select("gram", F.col("e.label").alias("label"), F.col("e.logp").alias("logp"))
+    unseen = F.array(*[
+        F.struct(F.lit(i).alias("at"), F.lit(x).alias("label"), F.lit(u).cast("bigint").alias("logp"))
+        for i, (x, u) in enumerate(zip(model.labels, model.unseen, strict=True))
+    ])
+    gains = F.map_from_arrays("at", "gain").alias("gains")
+    rows = model.grams.select("gram", gains, F.explode(unseen).alias("u"))
+    logp = F.col("u.logp") + F.coalesce(F.try_element_at("gains", F.col("u.at")), F.lit(0))
+    return rows.select("gram", "u.label", logp.alias("logp"))
 
 
 def m2_detect_language(spark, sf_dir):

@@ -72,7 +72,7 @@ def micro(x: str) -> str:
 
 def trigrams(source: str, keys: str, text: str) -> str:
     """Query (keys, gram): trigrams of the words, each with a blank on either side."""
-    pieces = f"regexp_extract_all(lower(replace({text}, chr(10), ' ')), '[^ \\t\\n\\r\\f]{{1,64}}')"
+    pieces = f"regexp_extract_all(lower(replace({text}, chr(10), ' ')), '[^ \\t\\n\\r\\f]+')"
     return (
         f"SELECT {keys}, substr(w, i, 3) AS gram FROM (SELECT {keys}, w, unnest(range(1, length(w) - 1)) AS i "
         f"FROM (SELECT {keys}, ' ' || unnest({pieces}) || ' ' AS w FROM {source}))"
