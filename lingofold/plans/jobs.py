@@ -184,23 +184,30 @@ def semantic_search(
     queries: DataFrame, corpus: DataFrame, k: int, query_kind: str = "query",
     corpus_kind: str = "passage", probes: int = 0, n_cells: int = 0,
 ) -> DataFrame:
-    """(query_id, rank, id, score) for ``queries(query_id, text)`` in ``corpus(id, text)``.
+    """(query_id, rank, id, score, error) for ``queries(query_id, text)`` in ``corpus(id, text)``.
 
     Asymmetric by default (query against passage); give "query" twice for the symmetric form.
-    Texts that the encoder refuses take no part. Vectors are made once and stored.
+    A text over the encoder's limit is cut into passages, and the best pair of passages counts.
+    A query without a text gives one row with an ``error``. Vectors are made once and stored.
     """
     templates = {"query": QUERY_PROMPT, "passage": PASSAGE_PROMPT}
+    encoder = embed.DEFAULT_ENCODER
 
     def vectors(df: DataFrame, key: str, kind: str) -> DataFrame:
-        text = prompt(templates[kind], text=F.col("text"))
-        made = embed.embed_with(df.select(key, text.alias("text")), embed.DEFAULT_ENCODER)
-        good = made.filter("error is null").select(key, F.col("embedding").alias("vector"))
-        return stage_table(good, "vectors")
+        room = encoder.max_tokens - len(templates[kind].format(text="").split())
+        parts = df.select(key, F.explode_outer(embed.passages(F.col("text"), room)).alias("part"))
+        text = prompt(templates[kind], text=F.col("part"))
+        made = embed.embed_with(parts.select(key, text.alias("text")), encoder)
+        return stage_table(made.select(key, F.col("embedding").alias("vector"), "error"), "vectors")
 
     left, right = vectors(queries, "query_id", query_kind), vectors(corpus, "id", corpus_kind)
+    sides = left.drop("error"), right.drop("error")
     if n_cells:
-        return ann_knn(left, right, k, probes or n_cells, n_cells)
-    return knn(left, right, k)
+        found = ann_knn(*sides, k, probes or n_cells, n_cells, repeated=True)
+    else:
+        found = knn(*sides, k, repeated=True)
+    refused = left.filter("error is not null").select("query_id", "error")
+    return found.unionByName(refused, allowMissingColumns=True)
 
 
 def classify_few_shot(

@@ -192,6 +192,14 @@ def hashed(name: str, source: str, key: str, text: str, dims: int, mean: bool, n
 {name} AS (SELECT k, dim, ({value})::FLOAT::DOUBLE AS v FROM {name}_d)"""
 
 
+def parts_of(name: str, table: str, key: str, prefix: str) -> str:
+    """CTE ``name(k, id, t)``: the texts in runs of 511 words behind a prefix."""
+    return f"""{name} AS (SELECT {key} || ':' || p AS k, {key} AS id,
+  '{prefix}' || array_to_string(ws[p * 511 + 1:p * 511 + 511], ' ') AS t
+  FROM (SELECT {key}, ws, unnest(range(greatest((len(ws) + 510) // 511, 1))) AS p
+        FROM (SELECT {key}, {words('text')} AS ws FROM {table})))"""
+
+
 def fingerprints(name: str, dims: int) -> str:
     return (
         f"SELECT k, {dims} AS n_dims, count(*)::INTEGER AS n_nonzero, "
@@ -482,15 +490,14 @@ SELECT query_id, label, round(prob, 6) AS prob FROM probs""",
   ORDER BY md5('3:' || label), label LIMIT 4)
 SELECT id, label FROM (SELECT vec_id AS id, label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS n
   FROM embeddings WHERE label IN (SELECT label FROM c)) WHERE n <= 10""",
-    "k10_semantic_search": f"""WITH qs AS (SELECT item_id, 'query: ' || text AS t FROM benchmark WHERE {n_words("'query: ' || text")} <= 512),
-cs AS (SELECT doc_id, 'passage: ' || text AS t FROM documents WHERE {n_words("'passage: ' || text")} <= 512),
-{hashed('hq', 'qs', 'item_id', 't', 1024, True, True)},
-{hashed('hc', 'cs', 'doc_id', 't', 1024, True, True)},
-pairs AS (SELECT item_id AS query_id, doc_id AS id FROM qs, cs),
-dots AS (SELECT hq.k AS query_id, hc.k AS id, sum(hq.v * hc.v) AS s FROM hq JOIN hc USING (dim) GROUP BY ALL),
-near AS (SELECT query_id, id, round(coalesce(s, 0), 9) AS score,
-           row_number() OVER (PARTITION BY query_id ORDER BY round(coalesce(s, 0), 9) DESC, id)::INTEGER AS rank
-         FROM pairs LEFT JOIN dots USING (query_id, id))
+    "k10_semantic_search": f"""WITH {parts_of('qs', 'benchmark', 'item_id', 'query: ')},
+{parts_of('cs', 'documents', 'doc_id', 'passage: ')},
+{hashed('hq', 'qs', 'k', 't', 1024, True, True)},
+{hashed('hc', 'cs', 'k', 't', 1024, True, True)},
+pairs AS (SELECT qs.k AS qk, cs.k AS ck, qs.id AS query_id, cs.id AS id FROM qs, cs),
+dots AS (SELECT hq.k AS qk, hc.k AS ck, sum(hq.v * hc.v) AS s FROM hq JOIN hc USING (dim) GROUP BY ALL),
+best AS (SELECT query_id, id, max(round(coalesce(s, 0), 9)) AS score FROM pairs LEFT JOIN dots USING (qk, ck) GROUP BY ALL),
+near AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id)::INTEGER AS rank FROM best)
 SELECT query_id, rank, id, round(score, 6) AS score FROM near WHERE rank <= 5""",
     "a1_lid_f1": f"""WITH {MODEL},
 pg AS (SELECT page_id, regexp_extract(html, 'lang="([a-z]+)"', 1) AS code,

@@ -205,6 +205,33 @@ def test_search_finds_the_same_words(spark):
     assert jobs.semantic_search(queries, corpus, 1).first().id == 2
 
 
+def test_long_texts_are_searched_by_passages(spark):
+    filler = " ".join(f"w{i}" for i in range(511))
+    corpus = spark.createDataFrame(
+        [(1, filler + " green boats sail " + filler), (2, "red apples"), (3, filler), (4, None), (5, "green boats sail")],
+        "id bigint, text string")
+    queries = spark.createDataFrame(
+        [(7, "green boats sail"), (8, filler + " red apples"), (9, None)], "query_id bigint, text string")
+    rows = jobs.semantic_search(queries, corpus, 4).collect()
+    got = {(r.query_id, r.id): r.score for r in rows}
+    assert {(q, d) for q, d in got if q == 7} == {(7, d) for d in (1, 2, 3, 5)}
+    assert len(rows) == 9 and max((s, -d) for (q, d), s in got.items() if q == 7)[1] == -5
+    assert got[8, 3] > 0.9 and got[8, 2] > got[7, 2]
+    assert [r.error.code for r in rows if r.query_id == 9] == ["INVALID_ARG"]
+
+
+@pytest.mark.parametrize("block_rows", [None, 2, 100])
+def test_repeated_ids_count_with_their_best_score(spark, block_rows):
+    rng = np.random.default_rng(5)
+    left, right = rng.integers(-3, 4, (9, 4)), rng.integers(-3, 4, (30, 4))
+    side = lambda m, n, key: spark.createDataFrame(
+        [(i % n, [float(x) for x in row]) for i, row in enumerate(m)], f"{key} bigint, vector array<double>")
+    found = vs.knn(side(left, 3, "query_id"), side(right, 7, "id"), 4, block_rows, repeated=True).collect()
+    for q in range(3):
+        best = sorted((-max((left[q::3] @ right[d::7].T).ravel()), d) for d in range(7))[:4]
+        assert [(-r.score, r.id) for r in sorted(found, key=lambda r: r.rank) if r.query_id == q] == best
+
+
 def test_zero_shot(spark):
     classes = spark.createDataFrame([("n1", "red apple"), ("n2", "green boat")], "label string, description string")
     items = jobs.class_vectors(
