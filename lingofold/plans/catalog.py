@@ -673,12 +673,12 @@ def _rounded(found: DataFrame) -> DataFrame:
 
 def d7_cross_corpus(spark, sf_dir):
     one, two = _sides(spark, sf_dir)
-    return _rounded(vs.knn(_queries(two), one, 1)).drop("rank")
+    return _rounded(vs.knn(_queries(two), one, 1, errors=True)).drop("rank", "error")
 
 
 def k2_knn(spark, sf_dir):
     one, two = _sides(spark, sf_dir)
-    return _rounded(vs.knn(_queries(one), two, 4))
+    return _rounded(vs.knn(_queries(one), two, 4, errors=True)).drop("error")
 
 
 def k3_ann_knn(spark, sf_dir):

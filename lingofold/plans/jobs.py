@@ -40,10 +40,13 @@ from lingofold.operators.translate import translate_sentences
 from lingofold.operators.vector_search import (
     ann_knn,
     bitext_accuracy,
+    common_length,
     knn,
     knn_classify,
     margin_candidates,
+    refused,
     rerank_top1,
+    usable,
 )
 from lingofold.session import stage_table
 
@@ -169,15 +172,23 @@ def mine_bitext(
 ) -> tuple[DataFrame, DataFrame]:
     """(picks, accuracy) for two sides ``(id, vector)`` of unit vectors.
 
-    ``search(queries, corpus, k)`` may be the exact or the approximate search.
+    ``search(queries, corpus, k)`` may be the exact or the approximate search. A row without a
+    vector of the common length is a pick with an ``error``: of side 1 with its id as ``query_id``,
+    of side 2 as ``id``. Those of side 1 count as misses in the accuracy.
     """
     def as_queries(df: DataFrame) -> DataFrame:
         return df.withColumnRenamed("id", "query_id")
 
-    forward = search(as_queries(side1), side2, k)
-    backward = search(as_queries(side2), side1, k)
+    dims = common_length(side2, side1)
+    good1, good2 = usable(side1, dims), usable(side2, dims)
+    bad1 = as_queries(refused(side1, dims)).select("query_id", "error")
+    bad2 = refused(side2, dims).select("id", "error")
+    forward = search(as_queries(good1), good2, k)
+    backward = search(as_queries(good2), good1, k)
     picks = rerank_top1(margin_candidates(forward, backward, k))
-    return picks, bitext_accuracy(forward, backward, k)
+    for bad in (bad1, bad2):
+        picks = picks.unionByName(bad, allowMissingColumns=True)
+    return picks, bitext_accuracy(forward, backward, k, bad1)
 
 
 def semantic_search(
@@ -206,8 +217,8 @@ def semantic_search(
         found = ann_knn(*sides, k, probes or n_cells, n_cells, repeated=True)
     else:
         found = knn(*sides, k, repeated=True)
-    refused = left.filter("error is not null").select("query_id", "error")
-    return found.unionByName(refused, allowMissingColumns=True)
+    without = left.filter("error is not null").select("query_id", "error")
+    return found.unionByName(without, allowMissingColumns=True)
 
 
 def classify_few_shot(

@@ -254,3 +254,36 @@ def test_search_skips_null_and_odd_vectors(spark):
     for block_rows in (None, 2):
         got = vs.knn(queries, corpus, 2, block_rows).collect()
         assert {(r.query_id, r.id) for r in got} == {(1, 1), (1, 3), (3, 1), (3, 3)}
+
+
+@pytest.mark.parametrize("block_rows", [None, 2])
+def test_one_over_long_query_does_not_empty_the_search(spark, block_rows):
+    rows = [(1, [1.0, 0.0]), (2, [0.0, 1.0])]
+    corpus = spark.createDataFrame([*rows, (3, None)], "id long, vector array<double>")
+    queries = spark.createDataFrame(
+        [*rows, (4, [1.0, 0.0, 0.0]), (5, None), (6, [])], "query_id long, vector array<double>")
+    got = vs.knn(queries, corpus, 1, block_rows, errors=True).collect()
+    assert {(r.query_id, r.id) for r in got if not r.error} == {(1, 1), (2, 2)}
+    assert {r.query_id: r.error.message for r in got if r.error} == {
+        4: "the vector has 3 numbers, 2 are expected", 5: "missing vector", 6: "missing vector"}
+    assert len(got) == 5
+    approximate = vs.ann_knn(queries, corpus, 1, probes=2, n_cells=2, errors=True).collect()
+    assert {(r.query_id, r.id) for r in approximate} == {(r.query_id, r.id) for r in got}
+
+
+def test_refused_vectors_are_rows_of_classification_and_mining(spark):
+    train = spark.createDataFrame(
+        [(1, [1.0, 0.0], "x"), (2, [0.0, 1.0], "y"), (3, [1.0], "z")], "id long, vector array<double>, label string")
+    items = spark.createDataFrame(
+        [(7, [1.0, 0.1]), (8, None), (9, [1.0, 0.0, 0.0])], "query_id long, vector array<double>")
+    got = vs.knn_classify(train, items, 2).collect()
+    assert {r.query_id for r in got if r.prob is not None} == {7}
+    assert {(r.query_id, r.label) for r in got if r.error} == {(8, None), (9, None), (None, "z")}
+    side1 = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0] * 3)], "id long, vector array<double>")
+    side2 = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (4, None)], "id long, vector array<double>")
+    picks, accuracy = jobs.mine_bitext(side1, side2, 2)
+    picks = picks.collect()
+    assert {(r.query_id, r.id) for r in picks if not r.error} == {(1, 1), (2, 2)}
+    assert {(r.query_id, r.id) for r in picks if r.error} == {(3, None), (None, 4)}
+    row = accuracy.first()
+    assert row.n == 3 and row.margin_accuracy == pytest.approx(2 / 3)
