@@ -31,6 +31,32 @@ INLINE = frozenset(
 CONTENT = frozenset(["article", "main"])
 WORD_PLACES = frozenset("p h1 h2 h3 h4 h5 h6 li td th dd dt div section blockquote pre figcaption article main body".split())
 
+#: Fixed values of HTML: start tags that end an open element without its end tag, as (elements
+#: ended, elements in which the search for them stays).
+ENDS_P = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form "
+    "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table ul".split()
+)
+CELLS = frozenset("td th caption colgroup".split())
+GROUPS = frozenset("tbody thead tfoot".split())
+P_SCOPE = frozenset("table td th caption button object template".split())
+LISTS = frozenset("ul ol menu dir table td th".split())
+ENDED_BY = {
+    "li": (frozenset(["li"]), LISTS),
+    "dd": (frozenset(["dd", "dt"]), frozenset("dl table td th".split())),
+    "dt": (frozenset(["dd", "dt"]), frozenset("dl table td th".split())),
+    "tr": (CELLS | {"tr"}, frozenset(["table"])),
+    "td": (CELLS, frozenset(["table", "tr"])),
+    "th": (CELLS, frozenset(["table", "tr"])),
+    **{name: (CELLS | GROUPS | {"tr"}, frozenset(["table"])) for name in GROUPS},
+    "option": (frozenset(["option"]), frozenset(["select", "datalist"])),
+    "optgroup": (frozenset(["option", "optgroup"]), frozenset(["select"])),
+}
+OPTIONAL_SCOPE = {"p": P_SCOPE, "li": LISTS, "dd": ENDED_BY["dd"][1], "dt": ENDED_BY["dt"][1]} | {
+    name: frozenset(["table"]) for name in CELLS | GROUPS | {"tr"}
+}
+IN_HEAD = frozenset("base link meta title style script noscript template".split())
+
 #: Words of class, id and role attributes that mark what is not main text.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promoted promotion sidebar "
@@ -66,6 +92,96 @@ def is_marked(name: str, attrs: str) -> bool:
     return False
 
 
+class OpenElements:
+    """Names of the open elements, the outermost first, by the rules of HTML for missing end tags."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.counts: Counter = Counter()
+
+    def find(self, wanted: frozenset | set, scope: frozenset = frozenset()) -> int:
+        """Place of the innermost of ``wanted`` that no element of ``scope`` hides, or -1."""
+        if any(self.counts[name] for name in wanted):
+            for i in range(len(self.names) - 1, -1, -1):
+                if self.names[i] in wanted:
+                    return i
+                if self.names[i] in scope:
+                    break
+        return -1
+
+    def cut(self, at: int) -> None:
+        self.counts.subtract(self.names[at:])
+        del self.names[at:]
+
+    def before_start(self, name: str) -> None:
+        """End what the start tag ``name`` ends by itself."""
+        if self.counts["head"] and name not in IN_HEAD and name != "head":
+            self.cut(self.find({"head"}))
+        if name in ENDS_P and (at := self.find({"p"}, P_SCOPE)) >= 0:
+            self.cut(at)
+        wanted, scope = ENDED_BY.get(name, (frozenset(), frozenset()))
+        while wanted and (at := self.find(wanted, scope)) >= 0:
+            self.cut(at)
+
+    def start(self, name: str) -> None:
+        self.names.append(name)
+        self.counts[name] += 1
+
+    def end(self, name: str, keep: int) -> int:
+        """Close the element ``name`` and all in it; its place, or -1 if none is open.
+
+        The end tag of an inline element does not close blocks opened in it, unless the element is
+        the one at ``keep``.
+        """
+        at = -1 if name in ("html", "body") else self.find({name}, OPTIONAL_SCOPE.get(name, frozenset()))
+        if at < 0:
+            return -1
+        if name in INLINE and at != keep and any(n not in INLINE for n in self.names[at + 1 :]):
+            del self.names[at]
+            self.counts[name] -= 1
+        else:
+            self.cut(at)
+        return at
+
+
+def is_empty(name: str, attrs: str) -> bool:
+    """Whether a start tag has no content: void, or foreign or embedded and closed by itself."""
+    return name in VOID or (name in RAW and attrs.rstrip().endswith("/"))
+
+
+def closed_starts(page: str) -> set[int]:
+    """Places of the start tags whose elements are closed by their own end tags."""
+    found: set[int] = set()
+    elements, places, raw, at = OpenElements(), [], "", 0
+    while at < len(page):
+        if raw:
+            end = re.compile(rf"</{re.escape(raw)}(?=[\s/>])", re.I).search(page, at)
+            at, raw = (end.start() if end else len(page)), ""
+            continue
+        match = TOKEN.match(page, at)
+        start, at = at, match.end()
+        if match["name"] is None:
+            continue
+        name = match["name"].lower()
+        if match["end"]:
+            size = len(elements.names)
+            place = elements.end(name, -1)
+            if place >= 0:
+                found.add(places[place])
+                if len(elements.names) == size - 1:
+                    del places[place]
+                else:
+                    del places[place:]
+        else:
+            elements.before_start(name)
+            del places[len(elements.names) :]
+            if not is_empty(name, match["attrs"]):
+                elements.start(name)
+                places.append(start)
+                raw = name if name in RAW else ""
+    return found
+
+
 def tokens(page: str) -> list[tuple]:
     """(feature, words, text, opens a block, left out) in page order.
 
@@ -74,7 +190,8 @@ def tokens(page: str) -> list[tuple]:
     """
     out: list[tuple] = []
     places: list[str] = []
-    skip, skip_depth, inside, raw, at = "", 0, 0, "", 0
+    elements, contents, closed = OpenElements(), [], None
+    skip, skip_start, raw, at = -1, 0, "", 0  # places of the element left out: among the open ones, in the page
     size = len(page)
     while at < size:
         if raw:  # text up to the end tag of a script, style and so on
@@ -82,7 +199,7 @@ def tokens(page: str) -> list[tuple]:
             at, raw = (found.start() if found else size), ""
             continue
         match = TOKEN.match(page, at)
-        at = match.end()
+        start, at = at, match.end()
         name = match["name"]
         if name is None:
             piece = match[0]
@@ -91,28 +208,42 @@ def tokens(page: str) -> list[tuple]:
             text = html.unescape(piece)
             if count := len(text.split()):
                 place = places[-1] if places else "body"
-                mark = "!" if skip else "@" if inside else ""
-                out.append((f"w:{place}{mark}", count, text, False, bool(skip)))
+                mark = "!" if skip >= 0 else "@" if contents else ""
+                out.append((f"w:{place}{mark}", count, text, False, skip >= 0))
             elif text:
-                out.append(("", 0, " ", False, bool(skip)))
+                out.append(("", 0, " ", False, skip >= 0))
             continue
         name = name.lower()
         attrs = match["attrs"]
         closing = bool(match["end"])
-        if not closing and name in RAW and not attrs.rstrip().endswith("/"):
-            raw = name
-        if skip:
-            if name in CONTENT and not closing and not is_marked(name, attrs):
-                skip = ""  # a content element ends whatever was not closed before it
-            elif name == skip:
-                skip_depth += -1 if closing else 1
-                if skip_depth == 0:
-                    skip = ""
-        elif not closing and name not in VOID and (name in LEFT_OUT or is_marked(name, attrs)):
-            skip, skip_depth = name, 1
+        empty = is_empty(name, attrs)
+        if closing:
+            place = elements.end(name, skip)
+            if 0 <= place < len(elements.names):  # an inline element around open blocks
+                skip -= skip > place
+                contents = [c - (c > place) for c in contents]
+        else:
+            elements.before_start(name)
+            if name in RAW and not empty:
+                raw = name
+        open_now = len(elements.names)
+        while contents and contents[-1] >= open_now:
+            contents.pop()
+        if skip >= open_now:
+            skip = -1
+        if not closing and not empty:
+            if skip >= 0 and name in CONTENT and not is_marked(name, attrs):
+                closed = closed_starts(page) if closed is None else closed
+                if skip_start not in closed:  # a content element ends what is never closed
+                    elements.cut(skip)
+                    skip = -1
+            elements.start(name)
+            if skip < 0:
+                if name in LEFT_OUT or is_marked(name, attrs):
+                    skip, skip_start = len(elements.names) - 1, start
+                elif name in CONTENT:
+                    contents.append(len(elements.names) - 1)
         block = name not in INLINE
-        if name in CONTENT and not skip:
-            inside = max(0, inside - 1) if closing else inside + 1
         if block and name in WORD_PLACES:
             if closing:
                 if name in places:
@@ -122,7 +253,7 @@ def tokens(page: str) -> list[tuple]:
                     places.pop()
                 places.append(name)
         known = name if name in WORD_PLACES or name in INLINE or name in LEFT_OUT or name in VOID else "other"
-        out.append((f"t:{'/' if closing else ''}{known}{'!' if skip else ''}", 0, " " if name in VOID else "", block, bool(skip)))
+        out.append((f"t:{'/' if closing else ''}{known}{'!' if skip >= 0 else ''}", 0, " " if name in VOID else "", block, skip >= 0))
     return out
 
 

@@ -249,6 +249,32 @@ def test_main_text(spark):
     assert main_text.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("inner, want", [
+    ('<p>one <svg class="i"/>two</p><p>three</p><svg><text>x</text></svg><p>four</p>', "one two three four"),
+    ('<p>one</p><p class="notice">n<p>two<p>three', "one two three"),
+    ('<ul><li class="ad">n<li>one</ul><p>two</p>', "one two"),
+    ('<ul><li>one<li class="ad">n</ul><p>two</p>', "one two"),
+    ('<table><tr><td class="ad">n<td>one<tr><td>two</table><p>three</p>', "one two three"),
+    ('<dl><dt>one<dd class="ad">n<dt>two</dl><p>three</p>', "one two three"),
+    ('<div><p class="ad">n</div><p>one</p>', "one"),
+    ('<p>one</p><aside><article><p>n</p></article></aside><p>two</p>', "one two"),
+    ('<p>one</p><section class="comments"><article>n</article><article>n</article></section><p>two</p>', "one two"),
+    ('<p>one</p><b><div class="ad">n</b> n</div><p>two</p>', "one two"),
+])
+def test_left_out_elements_end_where_html_ends_them(inner, want):
+    page = f"<html><body><article>{inner}</article></body></html>"
+    assert main_text.main_text(page, {}).split() == want.split()
+
+
+def test_an_element_that_is_never_closed_ends_at_the_article():
+    page = "<body><nav><ul><li>n</ul><article><p>one two three</p></article><nav>m</nav></body>"
+    assert main_text.main_text(page, {}) == "one two three"
+    page = "<head><title>n</title><body><p>one two</p></body>"
+    assert main_text.main_text(page, {}) == "one two"
+    page = "<body><article class=comment><p>n</p></article><main><p>one</p></main></body>"
+    assert [t[0] for t in main_text.tokens(page) if t[1]] == ["w:p!", "w:p@"]
+
+
 def all_segmentations(text, vocabulary):
     text, weight = " " + text, {p: math.exp(vocabulary.log_weight[i]) for p, i in vocabulary.ids.items()}
 
