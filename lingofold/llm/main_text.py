@@ -66,6 +66,20 @@ MARKS = frozenset(
     "toolbar pagination pager legal copyright complementary form dialog".split()
 )
 
+#: Words that an article may well have in its own names; they are no marks inside it.
+TOPICS = frozenset("header discussion legal search form".split())
+#: Words that may stand beside marks in a name that is made of nothing else (related-posts).
+FILLERS = frozenset(
+    "area articles bar block box buttons container content inner item items left links list outer panel posts right "
+    "section top bottom unit wrap wrapper".split()
+)
+#: Whole role values that mark what is not main text.
+ROLES = frozenset(
+    "navigation banner complementary contentinfo search form dialog alertdialog alert menu menubar toolbar".split()
+)
+TITLED = frozenset("h1 h2 h3 h4 h5 h6 p".split())
+BOXES = frozenset("div ul ol table iframe".split())
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+)>"
@@ -78,16 +92,37 @@ HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true
 NAME_PARTS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
-def is_marked(name: str, attrs: str) -> bool:
-    """Whether the attributes of an element say that it is no main text."""
+def is_known(token: str) -> bool:
+    """Whether a whole name is made of marks, and of words that may stand beside them."""
+    parts = {p.lower() for p in NAME_PARTS.findall(token)}
+    rest = "".join(NAME_PARTS.sub("", token)).strip("-_0123456789")
+    return not rest and bool(parts & MARKS - TOPICS) and parts <= (MARKS - TOPICS) | FILLERS
+
+
+def is_marked(name: str, attrs: str, inside: bool = False) -> bool:
+    """Whether the attributes of an element say that it is no main text.
+
+    Outside a content element any word of a name may say so. ``inside`` one only whole class names
+    and roles do, and whole ids of boxes. Ids of headings and paragraphs are made from their text
+    and never count; those of sections count whole and outside only.
+    """
     if not attrs or name in ("html", "body", "main"):
         return False
     if HIDDEN.search(attrs):
         return True
     for match in ATTRIBUTE.finditer(attrs):
-        value = match[2] or match[3] or match[4] or ""
-        parts = {p.lower() for p in NAME_PARTS.findall(value)}
-        if parts & MARKS and (name != "article" or parts & {"comment", "comments", "reply"}):
+        kind, value = match[1].lower(), match[2] or match[3] or match[4] or ""
+        if kind == "id" and (name in TITLED or (inside and name not in BOXES)):
+            continue
+        if inside and kind == "role":
+            found = any(token in ROLES for token in value.lower().split())
+        elif inside or (kind == "id" and name == "section"):
+            found = any(is_known(token) for token in value.split())
+        else:
+            found = not MARKS.isdisjoint(p.lower() for p in NAME_PARTS.findall(value))
+        if found and (
+            name != "article" or {"comment", "comments", "reply"} & {p.lower() for p in NAME_PARTS.findall(value)}
+        ):
             return True
     return False
 
@@ -239,7 +274,7 @@ def tokens(page: str) -> list[tuple]:
                     skip = -1
             elements.start(name)
             if skip < 0:
-                if name in LEFT_OUT or is_marked(name, attrs):
+                if name in LEFT_OUT or is_marked(name, attrs, bool(contents)):
                     skip, skip_start = len(elements.names) - 1, start
                 elif name in CONTENT:
                     contents.append(len(elements.names) - 1)

@@ -275,6 +275,28 @@ def test_an_element_that_is_never_closed_ends_at_the_article():
     assert [t[0] for t in main_text.tokens(page) if t[1]] == ["w:p!", "w:p@"]
 
 
+@pytest.mark.parametrize("element", [
+    'section id="related-work"', 'h2 id="discussion"', 'h2 id="legal-basis"', 'p id="ad-hoc-networks"',
+    'div class="search-theory"', 'li id="comments"', 'p class="social-contract"', 'article id="ad"',
+])
+def test_names_made_from_titles_do_not_drop_parts_of_an_article(element):
+    name = element.split()[0]
+    page = f"<body><article><p>one</p><{element}>two</{name}><p>three</p></article></body>"
+    assert main_text.main_text(page, {}).split() == ["one", "two", "three"]
+    if name in ("h2", "p", "section"):
+        page = f"<body><p>one</p><{element.replace('class', 'id')}>two</{name}><p>three</p></body>"
+        assert main_text.main_text(page, {}).split() == ["one", "two", "three"]
+
+
+@pytest.mark.parametrize("element", [
+    'div class="x comments"', 'div class="ad"', 'ul class="related-posts"', 'div role="navigation"', 'div id="comments"',
+    'section class="shareButtons"', 'article class="comment"', 'div hidden',
+])
+def test_whole_marks_are_left_out_of_an_article(element):
+    page = f"<body><article><p>one</p><{element}>n</{element.split()[0]}><p>two</p></article></body>"
+    assert main_text.main_text(page, {}).split() == ["one", "two"]
+
+
 def all_segmentations(text, vocabulary):
     text, weight = " " + text, {p: math.exp(vocabulary.log_weight[i]) for p, i in vocabulary.ids.items()}
 
