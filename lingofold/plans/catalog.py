@@ -555,21 +555,34 @@ def m7_attention_mask(spark, sf_dir):
     )
 
 
-def m8_masked_mean(spark, sf_dir):
+def _masked_means(spark, sf_dir) -> DataFrame:
     """Token vectors come from the vectors table: token id modulo its size."""
     table = _table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("token_id"), F.col("embedding").alias("vector")
     )
     size = table.count()
-    rows = _ids(spark, sf_dir).filter("error is null").select(
-        "doc_id", F.transform("ids", lambda x: F.when(x == 1, -1).otherwise(x % size)).alias("ids")
+    rows = _ids(spark, sf_dir).select(
+        "doc_id", F.transform("ids", lambda x: F.when(x == 1, -1).otherwise(x % size)).alias("ids"), "error"
     )
-    means = embed.masked_mean(rows, table, "doc_id", pad=-1)
+    return embed.masked_mean(rows, table, "doc_id", pad=-1)
+
+
+def m8_masked_mean(spark, sf_dir):
+    """The means alone, as the SQL gives them; ``m8_masked_mean_all`` has every document."""
+    means = _masked_means(spark, sf_dir).filter("error is null")
     return means.select("doc_id", F.posexplode("mean").alias("dim", "x")).select(
         "doc_id", "dim", _rounded_to("x", 6).alias("value")
     )
 
 
+def m8_masked_mean_all(spark, sf_dir):
+    """Every document: its mean by dimension, or one row with the code of its error."""
+    means = _masked_means(spark, sf_dir)
+    return means.select("doc_id", "error", F.posexplode_outer("mean").alias("dim", "x")).select(
+        "doc_id", "dim", _rounded_to("x", 6).alias("value"), _code()
+    )
+
+
 def m9_l2_normalize(spark, sf_dir):
     tripled = F.transform("embedding", lambda x: x.cast("double") * 3)
     rows = _table(spark, sf_dir, "embeddings").select(

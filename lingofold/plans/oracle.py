@@ -440,6 +440,13 @@ picked AS (SELECT doc_id, token_id % (SELECT count(*) FROM embeddings) AS vec_id
 flat AS (SELECT vec_id, unnest(range(64)) AS dim, unnest(embedding) AS x FROM embeddings)
 SELECT doc_id, dim::INTEGER AS dim, {plain_zero('round(sum(c * x::DOUBLE) / sum(c), 6)')} AS value
 FROM picked JOIN flat USING (vec_id) GROUP BY doc_id, dim""",
+    "m8_masked_mean_all": f"""WITH {VOCABULARY},
+picked AS (SELECT doc_id, token_id % (SELECT count(*) FROM embeddings) AS vec_id, count(*) AS c FROM ids GROUP BY ALL),
+flat AS (SELECT vec_id, unnest(range(64)) AS dim, unnest(embedding) AS x FROM embeddings),
+means AS (SELECT doc_id, dim::INTEGER AS dim, {plain_zero('round(sum(c * x::DOUBLE) / sum(c), 6)')} AS value
+  FROM picked JOIN flat USING (vec_id) GROUP BY doc_id, dim)
+SELECT t.doc_id, dim, value, CASE WHEN dim IS NULL THEN 'INVALID_ARG' END AS error_code
+FROM toks t LEFT JOIN means USING (doc_id)""",
     "m9_l2_normalize": f"""WITH t AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x * 3) AS e
   FROM embeddings),
 u AS (SELECT vec_id, unnest(range(64))::INTEGER AS dim,

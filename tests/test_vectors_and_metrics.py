@@ -287,3 +287,14 @@ def test_refused_vectors_are_rows_of_classification_and_mining(spark):
     assert {(r.query_id, r.id) for r in picks if r.error} == {(3, None), (None, 4)}
     row = accuracy.first()
     assert row.n == 3 and row.margin_accuracy == pytest.approx(2 / 3)
+
+
+def test_masked_mean_keeps_refused_rows(spark):
+    table = spark.createDataFrame([(4, [1.0, 0.0]), (5, [0.0, 1.0])], "token_id bigint, vector array<double>")
+    df = spark.createDataFrame([(1, "a b"), (2, "a b a b a b"), (3, None), (4, "")], "doc_id int, text string")
+    vocab = spark.createDataFrame([("a", 4), ("b", 5)], "token string, token_id bigint")
+    ids = embed.tokenize(df, vocab, "doc_id", max_len=5)
+    got = {r.doc_id: r for r in embed.masked_mean(ids, table, "doc_id").collect()}
+    assert len(got) == 4 and got[1].mean == [0.5, 0.5] and got[1].error is None
+    assert [got[i].error.message for i in (2, 3, 4)] == [
+        "text has 6 tokens, the maximum is 5", "missing text", "no token besides padding"]
