@@ -64,13 +64,19 @@ def golden_fraction(df: DataFrame, pred: str = "sentences", target: str = "targe
     )
 
 
-def topk_accuracy(probs: DataFrame, truth: DataFrame, labels: DataFrame, ks=(1, 5)) -> DataFrame:
+def topk_accuracy(
+    probs: DataFrame, truth: DataFrame, labels: DataFrame, ks=(1, 5), refused: DataFrame | None = None
+) -> DataFrame:
     """One row with ``n`` and ``top<k>``: is the true label among the k most probable.
 
     ``probs(query_id, label, prob)`` needs only classes with a positive probability; the others
     count as 0. Equal probabilities rank the later label first. ``labels(label)`` is the class
-    list; it is ranked once, and no row per query and class is made.
+    list; it is ranked once, and no row per query and class is made. Rows ``refused(query_id)`` were
+    not classified: they are misses and have no rank.
     """
+    if refused is not None:
+        missed = truth.join(refused.select("query_id"), "query_id", "left_semi")
+        truth = truth.join(refused.select("query_id"), "query_id", "left_anti")
     order = labels.select("label").distinct().select(
         "label", (F.row_number().over(Window.orderBy(F.desc("label"))) - 1).alias("n_later")
     )
@@ -98,9 +104,12 @@ def topk_accuracy(probs: DataFrame, truth: DataFrame, labels: DataFrame, ks=(1,
     ranked = per_query.withColumn(
         "rank", F.when(F.col("own").isNotNull(), ahead + 1).otherwise(unlisted_rank)
     )
-    return ranked.agg(
+    ranks = ranked.select("rank")
+    if refused is not None:
+        ranks = ranks.unionByName(missed.select(F.lit(None).cast("int").alias("rank")))
+    return ranks.agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.avg((F.col("rank") <= k).cast("int")).alias(f"top{k}") for k in ks],
+        *[F.avg(F.coalesce(F.col("rank") <= k, F.lit(False)).cast("int")).alias(f"top{k}") for k in ks],
     )
 
 

@@ -757,7 +757,7 @@ def k8_zero_shot(spark, sf_dir):
     items = embed.embed_with(
         parts.select(F.col("p_partkey").alias("query_id"), text.alias("text")),
         embed.CAPTION_ENCODER,
-    ).select("query_id", F.col("embedding").alias("vector"))
+    ).select("query_id", F.col("embedding").alias("vector"), "error")
     return jobs.classify_zero_shot(class_map, items, k=3).select(
         "query_id", "label", F.round("prob", 6).alias("prob")
     )

@@ -17,7 +17,7 @@ from lingofold.functions.codes import (
     to_iso1,
 )
 from lingofold.functions.errors import first_error
-from lingofold.functions.text import CAPTION_PROMPT, PASSAGE_PROMPT, QUERY_PROMPT, prompt
+from lingofold.functions.text import CAPTION_PROMPT, PASSAGE_PROMPT, QUERY_PROMPT, prompt, words
 from lingofold.operators import embed, metrics, validate
 from lingofold.operators.images import embed_image_files, embed_images, pillow_decoder
 from lingofold.operators.language_id import LanguageModel, detect_languages
@@ -222,46 +222,71 @@ def semantic_search(
 
 
 def classify_few_shot(
-    train: DataFrame, items: DataFrame, k: int = 10
+    train: DataFrame, items: DataFrame, k: int = 10, count_refused: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """(class probabilities, accuracy): ``train(id, vector, label)``,
-    ``items(query_id, vector, label)``."""
-    probs = knn_classify(train, items.select("query_id", "vector"), k)
+    ``items(query_id, vector, label)``, both with an optional ``error``.
+
+    Rows without a fitting vector are rows with an ``error`` (see ``knn_classify``); such items are
+    misses in the accuracy, or not part of it without ``count_refused``.
+    """
+    dims = common_length(train, items)
+    probs = knn_classify(train, items.drop("label"), k, dims=dims)
     labels = train.select("label").unionByName(items.select("label")).distinct()
-    return probs, metrics.topk_accuracy(probs, items.select("query_id", "label"), labels)
+    if not count_refused:
+        good = usable(items, dims).select("query_id", "label")
+        return probs, metrics.topk_accuracy(probs, good, labels)
+    truth = items.select("query_id", "label")
+    return probs, metrics.topk_accuracy(probs, truth, labels, refused=refused(items, dims))
 
 
 def class_vectors(class_map: DataFrame, template: str = CAPTION_PROMPT) -> DataFrame:
-    """``class_map(label, description)`` -> (id, label, vector) by the caption encoder."""
-    text = prompt(template, text=F.col("description"), label=F.col("label"))
-    made = embed.embed_with(class_map.withColumn("text", text), embed.CAPTION_ENCODER)
-    return made.filter("error is null").select(
+    """``class_map(label, description)`` -> (id, label, vector, error) by the caption encoder.
+
+    A description over the encoder's limit is cut into passages, one row each with the same id.
+    """
+    encoder = embed.CAPTION_ENCODER
+    around = F.size(words(prompt(template, text=F.lit("x"), label=F.col("label")))) - 1
+    room = F.greatest(F.lit(encoder.max_tokens) - around, F.lit(1))
+    parts = class_map.select("label", F.explode_outer(embed.passages(F.col("description"), room)).alias("part"))
+    text = prompt(template, text=F.col("part"), label=F.col("label"))
+    made = embed.embed_with(parts.withColumn("text", text), encoder)
+    return made.select(
         F.conv(F.substr(F.md5("label"), F.lit(1), F.lit(15)), 16, 10).cast("bigint").alias("id"),
         "label",
         F.col("embedding").alias("vector"),
+        "error",
     )
 
 
 def classify_zero_shot(
     class_map: DataFrame, items: DataFrame, template: str = CAPTION_PROMPT, k: int = 10
 ) -> DataFrame:
-    """(query_id, label, prob): class descriptions take the place of training items.
+    """(query_id, label, prob, error): class descriptions take the place of training items.
 
-    Vectors of both sides are made once and stored, since the search reads them twice.
+    The best passage of a long description counts. An item without a vector is a row with an
+    ``error`` (its own, if ``items`` has the column), and so is a class that cannot be embedded.
+    Vectors of both sides are made once and stored, since the search reads them several times.
     """
     train = stage_table(class_vectors(class_map, template), "class-vectors")
-    return knn_classify(train, stage_table(items.select("query_id", "vector"), "item-vectors"), k)
+    kept = [c for c in ("query_id", "vector", "error") if c in items.columns]
+    return knn_classify(train, stage_table(items.select(*kept), "item-vectors"), k, repeated=True)
 
 
 def classify_image_files(
     spark: SparkSession, train_path: str, valid_path: str, k: int = 10
 ) -> tuple[DataFrame, DataFrame]:
-    """Few-shot classification of image folders, labels taken from the file names."""
+    """Few-shot classification of image folders, labels taken from the file names.
+
+    Files that are no images are rows with an ``error``; the accuracy is over the images.
+    """
     def vectors(path: str, key: str) -> DataFrame:
-        made = embed_image_files(spark, path).filter("error is null")
-        return made.select(F.xxhash64("path").alias(key), F.col("embedding").alias("vector"), "label")
+        made = embed_image_files(spark, path)
+        return made.select(
+            F.xxhash64("path").alias(key), F.col("embedding").alias("vector"), "label", "error"
+        )
 
-    return classify_few_shot(vectors(train_path, "id"), vectors(valid_path, "query_id"), k)
+    return classify_few_shot(vectors(train_path, "id"), vectors(valid_path, "query_id"), k, count_refused=False)
 
 
 def evaluate_translation(

@@ -99,6 +99,13 @@ def test_few_shot_images(spark, image_dir):
     assert got.n == 6 and got.top1 == 1.0
 
 
+def test_files_that_are_no_images_are_rows(spark, image_dir):
+    probs, _ = jobs.classify_image_files(spark, str(image_dir), str(image_dir), k=3)
+    bad = [r for r in probs.collect() if r.error]
+    assert len(bad) == 2 and {(r.query_id is None, r.label) for r in bad} == {(True, "n02"), (False, None)}
+    assert all("not an image" in r.error.message for r in bad)
+
+
 def test_image_columns(spark):
     def decode(content):
         if content == b"boom":

@@ -298,3 +298,28 @@ def test_masked_mean_keeps_refused_rows(spark):
     assert len(got) == 4 and got[1].mean == [0.5, 0.5] and got[1].error is None
     assert [got[i].error.message for i in (2, 3, 4)] == [
         "text has 6 tokens, the maximum is 5", "missing text", "no token besides padding"]
+
+
+def test_long_captions_and_refused_items_of_zero_shot(spark):
+    filler = " ".join(f"w{i}" for i in range(70))
+    classes = spark.createDataFrame(
+        [("n1", "red apple"), ("n2", filler + " green boat"), ("n3", None)], "label string, description string")
+    encoded = embed.embed_with(spark.createDataFrame(
+        [(1, "A photo of a w3 w4 w5"), (2, "w " * 65)], "query_id long, text string"), embed.CAPTION_ENCODER)
+    items = encoded.select("query_id", F.col("embedding").alias("vector"), "error")
+    got = jobs.classify_zero_shot(classes, items, k=3).collect()
+    probs = {r.label: r.prob for r in got if r.query_id == 1}
+    assert set(probs) == {"n1", "n2"} and sum(probs.values()) == pytest.approx(1)
+    errors = {(r.query_id, r.label): r.error.message for r in got if r.error}
+    assert set(errors) == {(2, None), (None, "n3")}
+    assert errors[2, None] == "text has 65 tokens, the maximum is 64" and "missing text" in errors[None, "n3"]
+
+
+def test_refused_items_are_misses_of_few_shot(spark):
+    train = spark.createDataFrame([(1, [1.0, 0.0], "x"), (2, [0.0, 1.0], "y")], "id long, vector array<double>, label string")
+    items = spark.createDataFrame(
+        [(7, [1.0, 0.1], "x"), (8, None, "y"), (9, [1.0], "y")], "query_id long, vector array<double>, label string")
+    probs, accuracy = jobs.classify_few_shot(train, items, 2)
+    assert {r.query_id for r in probs.collect() if r.error} == {8, 9}
+    row = accuracy.first()
+    assert row.n == 3 and row.top1 == row.top5 == pytest.approx(1 / 3)
