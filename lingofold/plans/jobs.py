@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lingofold.functions.codes import (
     DEFAULT_TARGETS,
+    DEFAULT_TRANSLATOR,
     corpus_code,
     default_target,
     fix_chinese,
@@ -25,6 +26,8 @@ from lingofold.operators.options import (
     DETECT_DEFAULTS,
     EMBED_IMAGE_DEFAULTS,
     EMBED_TEXT_DEFAULTS,
+    LANGUAGE_ID_MODELS,
+    SENTENCE_SEGMENTERS,
     TRANSLATE_DEFAULTS,
     with_options,
 )
@@ -96,10 +99,13 @@ def translate_job(
     """(key, translated_text, error) for documents with optional src_lang, tgt_lang, params.
 
     Source and target are request parameters of these names; columns of the same names hold where
-    a row has no such parameter.
+    a row has no such parameter. An unknown model, detector or segmenter is a row error.
+    ``translator`` serves every translation model, or is a dict from model name to translator; a row
+    whose model has none is an error.
 
     Detect (only without a source), split, detect unsure sentences again, translate, rejoin.
     """
+    translators = translator if isinstance(translator, dict) else dict.fromkeys(DEFAULT_TARGETS, translator)
     for name in ("src_lang", "tgt_lang"):
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast("string"))
@@ -112,6 +118,9 @@ def translate_job(
             validate.require("text"),
             F.col("option_error"),
             validate.require_model(F.col("translation_model"), tuple(DEFAULT_TARGETS)),
+            validate.require_model(F.col("translation_model"), tuple(translators)),
+            validate.require_model(F.col("language_id_model"), LANGUAGE_ID_MODELS),
+            validate.require_model(F.col("sentence_segmenter"), SENTENCE_SEGMENTERS),
         ),
     ).select(
         key, "text", "src_lang", "error", "language_id_threshold", "translation_model",
@@ -122,19 +131,32 @@ def translate_job(
     routed = to_iso1(routed, "lang", "iso1", table)
     good = F.col("error").isNull() & F.col("detect_error").isNull()
     documents = routed.select(
-        key, "tgt", "lang", "script", "prob", "language_id_threshold",
+        key, "tgt", "lang", "script", "prob", "language_id_threshold", "translation_model",
         first_error(F.col("error"), F.col("detect_error")).alias("error"),
         F.when(good, sentences(F.col("text"), F.col("iso1"))).alias("sentences"),
     )
     pieces = redetect_low_confidence(documents, model, key, **detect_options)
-    pieces = pieces.withColumn("src", fix_chinese(F.col("lang"), F.col("script")))
+    fixed = F.col("translation_model") == DEFAULT_TRANSLATOR
+    src = F.when(fixed, fix_chinese(F.col("lang"), F.col("script"))).otherwise(F.col("lang"))
+    pieces = pieces.withColumn("src", src)
     checked = validate.require_language(pieces, supported)
     wrong = F.when(F.col("sentence").isNotNull(), F.col("language_error"))
     ready = checked.select(
         key, "chunk_id", "sentence", "src", "tgt",
-        first_error(F.col("error"), wrong).alias("error"),
+        first_error(F.col("error"), wrong).alias("error"), "translation_model",
     )
-    return reassemble(translate_sentences(ready, translator, [key, "chunk_id"]), key)
+    if not isinstance(translator, dict):
+        done = translate_sentences(ready.drop("translation_model"), translator, [key, "chunk_id"])
+        return reassemble(done, key)
+    first = next(iter(translators))
+    known = F.col("translation_model").isin(*translators)
+    ready = ready.withColumn("translation_model", F.when(known, F.col("translation_model")).otherwise(first))
+    parts = {
+        name: (lambda part, t=each: translate_sentences(part.drop("translation_model"), t, [key, "chunk_id"])
+               .select(key, "chunk_id", "translation", "error"))
+        for name, each in translators.items()
+    }
+    return reassemble(dispatch(ready, "translation_model", parts), key)
 
 
 def embed_text_job(df: DataFrame, key: str = "doc_id") -> DataFrame:
