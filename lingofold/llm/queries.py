@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 
 from lingofold.llm import (
     exact_dedup,
+    filter_audit,
     main_text,
     mixing,
     near_dedup,
+    periodic_runs,
     phrases,
     piece_sampling,
     quality_model,
     quality_rules,
     suffix_dedup,
     url_filter,
+    vector_topk,
 )
 from lingofold.llm.common import read
 
@@ -62,6 +65,20 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), rules)
 
 
+def op11_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return vector_topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.planted(read(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -73,6 +90,9 @@ QUERIES = {
     "op8_html_main_text": op8_html_main_text,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_url_filters": op10_url_filters,
+    "op11_exact_topk": op11_exact_topk,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL = {
@@ -122,4 +142,50 @@ ORACLE_SQL = {
                  row_number() OVER (PARTITION BY page_id ORDER BY length(r.host || r.path) DESC NULLS LAST) AS n
           FROM p LEFT JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE n = 1""",
+    "op11_exact_topk": r"""
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+          FROM v q JOIN v c ON q.vec_id % 100 = 0 AND len(q.v) = len(c.v) AND q.vec_id IS DISTINCT FROM c.vec_id),
+        r AS (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST)::INT AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op13_filter_audit": r"""
+        WITH d AS (
+          SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d),
+        g AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+        f AS (
+          SELECT part, coalesce(good, false) AS good, coalesce(g.toxic, false) AS toxic,
+                 len(words) < 100 AS a, 100 * list_unique(words) < 80 * len(words) AS b,
+                 100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text) AS c,
+                 regexp_matches(text, '[#$%&*|]') AS d,
+                 coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY text), false) AS e
+          FROM w LEFT JOIN g ON w.doc_id = g.doc_id),
+        m AS (
+          SELECT part, a::INT + 2 * b::INT + 4 * c::INT + 8 * d::INT + 16 * e::INT AS mask, count(*) AS n,
+                 count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+          FROM f GROUP BY ALL),
+        l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        o AS (
+          SELECT p.x || q.x || r.x || s.x || t.x AS o FROM l p, l q, l r, l s, l t
+          WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+        k AS (
+          SELECT m.*, o.o, i.step, (m.mask >> (ascii(o.o[i.step]) - 65)) & 1 AS fails,
+                 coalesce(list_min([j FOR j IN [1, 2, 3, 4, 5] IF (m.mask >> (ascii(o.o[j]) - 65)) & 1 = 1]), 6) AS gone
+          FROM m, o, (SELECT unnest([1, 2, 3, 4, 5]) AS step) i),
+        c AS (
+          SELECT part, o AS filter_order, step, o[step] AS letter,
+                 coalesce(sum(n) FILTER (gone > step), 0)::BIGINT AS kept,
+                 coalesce(sum(n) FILTER (gone = step), 0)::BIGINT AS removed,
+                 coalesce(sum(n) FILTER (fails = 1 AND gone < step), 0)::BIGINT AS redundant,
+                 coalesce(sum(n) FILTER (fails = 1 AND bit_count(mask) = 1), 0)::BIGINT AS unique_fails,
+                 coalesce(sum(good) FILTER (gone = step), 0)::BIGINT AS good_lost,
+                 coalesce(sum(toxic) FILTER (gone = step), 0)::BIGINT AS toxic_lost
+          FROM k GROUP BY ALL)
+        SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
+        FROM c""",
 }
