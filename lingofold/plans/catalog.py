@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lingofold.functions import codes, vectors
 from lingofold.functions import text as txt
 from lingofold.functions.errors import INTERNAL, error_if, first_error
-from lingofold.operators import embed, metrics, options, routing, sampling, validate
+from lingofold.operators import alignment, embed, metrics, options, routing, sampling, validate
 from lingofold.operators import language_id as lid
 from lingofold.operators import translate as tr
 from lingofold.operators import vector_search as vs
@@ -76,28 +76,26 @@ def _vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stand-in for a bilingual dictionary: every word that a language uses at least twice,
-    spelt backwards. It grows with the documents."""
+def _foreign(text: Column) -> Column:
+    """Made-up English side of a sentence: other vowels, and the first word comes last."""
+    found = txt.words(F.translate(F.lower(text), "aeiou", "eioua"))
+    return F.array_join(F.concat(F.slice(found, F.lit(2), F.size(found)), F.slice(found, 1, 1)), " ")
 
-    def make() -> DataFrame:
-        words = txt.explode_each(
-            _documents(spark, sf_dir), [_three_letter().alias("src")],
-            txt.words(F.lower(F.col("text"))), "token",
-        )
-        counts = (
-            words.filter(F.col("token").rlike(r"^[\p{L}]+$") & (F.col("src") != "eng"))
-            .groupBy("src", "token")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        return stage_table(
-            counts.filter("n >= 2").select(
-                "src", F.lit("eng").alias("tgt"), "token", F.reverse("token").alias("translation")
-            ),
-            "lexicon",
-        )
 
-    return _once(spark, sf_dir, "lexicon", make)
+def _parallel_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned pairs: every sentence that is not English, with its English side."""
+    rows = _sentence_rows(spark, sf_dir).where(_three_letter() != "eng")
+    return rows.select(
+        _three_letter().alias("src"), F.lit("eng").alias("tgt"),
+        F.col("sentence").alias("source"), _foreign(F.col("sentence")).alias("target"),
+    )
+
+
+def _lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the parallel sentences; it grows with the documents."""
+    return _once(
+        spark, sf_dir, "lexicon", lambda: alignment.train_lexicon(_parallel_sentences(spark, sf_dir))
+    )
 
 
 def _code(error: str = "error") -> Column:
@@ -523,6 +521,12 @@ def m4_segment(spark, sf_dir):
     )
 
 
+def m5_train_lexicon(spark, sf_dir):
+    return _lexicon(spark, sf_dir).select(
+        "src", "tgt", "token", "translation", F.round("prob", 6).alias("prob")
+    )
+
+
 def m5_translate_sentences(spark, sf_dir):
     rows = _sentence_rows(spark, sf_dir).select(
         "doc_id", "chunk_id", "sentence",
@@ -973,31 +977,59 @@ def q7_classify_few_shot(spark, sf_dir):
     return best.select("query_id", F.col("b.label").alias("label"), F.col("b.p").alias("prob"))
 
 
-def _parallel_turns(spark, sf_dir) -> DataFrame:
-    """A parallel corpus of the conversation turns: English, and two altered copies."""
-    turns = _table(spark, sf_dir, "conversations").select(
+#: Code of the translator, code of the corpus, and what is altered in the English turn.
+TURN_LANGS = (("fra", "fra", "en", "an"), ("cmn_Hant", "zho_Hant", "er", "or"), ("tlh", "tlh", "the", "tha"))
+
+
+def _turns(spark, sf_dir) -> DataFrame:
+    return _table(spark, sf_dir, "conversations").select(
         (F.col("conv_id") * 20 + F.col("turn")).alias("idx"), "text"
     )
-    altered = {
-        "eng": F.col("text"),
-        "fra": F.regexp_replace("text", "en", "an"),
-        "zho_Hant": F.regexp_replace("text", "er", "or"),
-    }
-    entries = F.array(*[
-        F.struct(F.lit(lang).alias("lang"), text.alias("sentence")) for lang, text in altered.items()
-    ])
-    return turns.select("idx", F.explode(entries).alias("e")).select("idx", "e.lang", "e.sentence")
+
+
+def _parallel_turns(spark, sf_dir) -> DataFrame:
+    """A parallel corpus of the conversation turns: English, and altered copies."""
+    entries = [F.struct(F.lit("eng").alias("lang"), F.col("text").alias("sentence"))] + [
+        F.struct(F.lit(code).alias("lang"), F.regexp_replace("text", old, new).alias("sentence"))
+        for _, code, old, new in TURN_LANGS
+    ]
+    return _turns(spark, sf_dir).select("idx", F.explode(F.array(*entries)).alias("e")).select(
+        "idx", "e.lang", "e.sentence"
+    )
+
+
+def _turn_lexicon(spark, sf_dir) -> DataFrame:
+    """Learned from the turns of the first two languages; the third has no lexicon."""
+
+    def make() -> DataFrame:
+        sides = [
+            F.struct(F.lit(src).alias("src"), F.regexp_replace("text", old, new).alias("source"))
+            for src, _, old, new in TURN_LANGS[:2]
+        ]
+        pairs = _turns(spark, sf_dir).select(
+            F.col("text").alias("target"), F.explode(F.array(*sides)).alias("s")
+        ).select("s.src", F.lit("eng").alias("tgt"), "s.source", "target")
+        return alignment.train_lexicon(pairs)
+
+    return _once(spark, sf_dir, "turn-lexicon", make)
 
 
 def q8_evaluate_translation(spark, sf_dir):
-    """A stand-in translator that only flattens newlines and fails for unknown sources."""
-    corpus = _parallel_turns(spark, sf_dir)
+    """Translates with a learned lexicon, with and without the source language; Klingon fails."""
+    translator = tr.LexiconTranslator(_turn_lexicon(spark, sf_dir))
+    supported = spark.createDataFrame([("eng",), ("fra",), ("spa",), ("deu",), ("cmn_Hant",)], "lang string")
+    model = _model(spark, sf_dir)
 
     def translate(docs: DataFrame) -> DataFrame:
-        return docs.select("doc_id", txt.flatten_newlines(F.col("text")).alias("translated_text"))
+        return jobs.translate_job(docs, model, translator, supported, **PER_GRAM)
 
-    scores, _ = jobs.evaluate_translation(corpus, translate, ["fra", "cmn_Hant"], "eng")
-    return scores.select("lang", F.round("score", 6).alias("score"))
+    found = jobs.compare_sources(
+        _parallel_turns(spark, sf_dir), translate, [src for src, *_ in TURN_LANGS], "eng"
+    )
+    return found.select(
+        F.coalesce("lang", F.lit("mean")).alias("lang"),
+        *[F.round(c, 6).alias(c) for c in ("with_src", "without_src", "difference")], "failed",
+    )
 
 
 def q9_evaluate_lid(spark, sf_dir):

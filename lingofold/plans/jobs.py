@@ -321,14 +321,15 @@ def evaluate_translation(
     """(scores per language, one-row mean with the failed languages).
 
     ``corpus(idx, lang, sentence)`` holds every language of a parallel corpus under corpus codes,
-    ``translate`` is a job from (doc_id, text, src_lang, tgt_lang) to (doc_id, translated_text).
-    A block whose translation failed counts as an empty hypothesis.
+    ``translate`` is a job from (doc_id, text, src_lang, tgt_lang) to (doc_id, translated_text) and
+    an optional ``error``. A language with a failed block, or without any block, has no score and is
+    listed as failed. Blocks and their translations are made once and stored.
     """
     spark = corpus.sparkSession
     wanted = spark.createDataFrame([(s,) for s in src_langs], "src string").select(
         "src", corpus_code(F.col("src")).alias("lang")
     )
-    blocks = metrics.make_blocks(corpus, group_by=["lang"])
+    blocks = stage_table(metrics.make_blocks(corpus, group_by=["lang"]), "blocks")
     doc_id = F.concat_ws(":", "src", "batch", "part")
     sources = F.broadcast(wanted).join(blocks, "lang").select(
         doc_id.alias("doc_id"), "src", "batch", "part", "text",
@@ -338,15 +339,46 @@ def evaluate_translation(
         "batch", "part", F.col("text").alias("ref")
     )
     results = translate(sources.select("doc_id", "text", "src_lang", "tgt_lang"))
-    pairs = (
-        align_by_key(sources, results.select("doc_id", "translated_text"), ["doc_id"])
-        .join(references, ["batch", "part"])
-        .select("doc_id", F.col("src").alias("lang"), F.col("translated_text").alias("hyp"), "ref")
+    kept = [c for c in ("doc_id", "translated_text", "error") if c in results.columns]
+    aligned = align_by_key(sources.drop("text"), results.select(*kept), ["doc_id"])
+    pairs = stage_table(
+        aligned.join(references, ["batch", "part"]).select(
+            "doc_id", F.col("src").alias("lang"), F.col("translated_text").alias("hyp"), "ref",
+            F.col("error").isNotNull().alias("failed"),
+        ),
+        "translated-blocks",
     )
-    scores = metrics.chrf(pairs, ["lang"])
+    failed = pairs.where("failed").select("lang").distinct()  # at most the given languages
+    scores = metrics.chrf(pairs.join(F.broadcast(failed), "lang", "left_anti"), ["lang"])
     return scores, metrics.mean_over_groups(wanted.select(F.col("src").alias("lang")), scores)
 
 
+def compare_sources(
+    corpus: DataFrame, translate: Callable[[DataFrame], DataFrame], src_langs: list[str], tgt_lang: str
+) -> DataFrame:
+    """(lang, with_src, without_src, difference, failed) with and without a given source language.
+
+    One row per language with a score in either run, and a row without ``lang`` that has the mean
+    scores and, as ``failed``, the languages that failed in either run.
+    """
+    parts, means = [], []
+    for use_src in (True, False):
+        scores, mean = evaluate_translation(corpus, translate, src_langs, tgt_lang, use_src)
+        parts.append(scores.select("lang", F.lit(use_src).alias("use_src"), "score"))
+        means.append(mean.select(F.lit(use_src).alias("use_src"), "mean_score", "failed"))
+    effect = metrics.src_effect(parts[0].unionByName(parts[1]))
+    both = means[0].unionByName(means[1])
+    overall = both.agg(
+        F.max(F.when(F.col("use_src"), F.col("mean_score"))).alias("with_src"),
+        F.max(F.when(~F.col("use_src"), F.col("mean_score"))).alias("without_src"),
+        F.concat(
+            F.lit("with: "), F.max(F.when(F.col("use_src"), F.col("failed"))),
+            F.lit("; without: "), F.max(F.when(~F.col("use_src"), F.col("failed"))),
+        ).alias("failed"),
+    ).withColumn("difference", F.col("with_src") - F.col("without_src"))
+    return effect.unionByName(overall, allowMissingColumns=True)
+
+
 def evaluate_lid(df: DataFrame, model: LanguageModel, key: str = "doc_id") -> DataFrame:
     """Per-language report for rows (key, text, truth); only the language part is compared."""
     found = detect_language_job(df.select(key, "text"), model, key)

@@ -136,16 +136,61 @@ routed AS (
          CASE WHEN t.lang IS NULL THEN 1.0::DOUBLE ELSE t.prob END AS prob
   FROM docs d LEFT JOIN ({top_of('dl', 'doc_id')}) t USING (doc_id))"""
 
-LEXICON = f"""
-lexicon AS (SELECT lang AS src, 'eng' AS tgt, word AS token, reverse(word) AS translation FROM (
-    SELECT {LABEL3} AS lang, unnest({words('lower(text)')}) AS word FROM documents)
-  WHERE lang <> 'eng' AND regexp_matches(word, '^[\\p{{L}}]+$')
-  GROUP BY lang, word HAVING count(*) >= 2)"""
-
 CORE = r"[^\p{L}\p{N}]"
 
 
-def lexicon_sentences(name: str, source: str, keys: str) -> str:
+def lexicon(name: str, pairs: str, rounds: int = 4) -> str:
+    """CTEs ending in ``name(src, tgt, token, translation, prob)`` of query ``pairs(src, source, target)``
+    into English: rounds of expectation maximisation over the words of a sentence."""
+    core = f"lower(regexp_replace(w, '^{CORE}+|{CORE}+$', '', 'g'))"
+
+    def cores(text: str) -> str:
+        return f"list_filter(list_transform({words(text)}, lambda w: {core}), lambda w: w <> '')"
+
+    def cut(side: str) -> str:
+        return f"{side}[part * len({side}) // parts + 1:(part + 1) * len({side}) // parts]"
+
+    ctes = [f"""{name}_p AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, src, weight, s, t, ceil(greatest(len(s), len(t)) / 32)::BIGINT AS parts
+  FROM (SELECT src, count(*) AS weight, {cores('source')} AS s, {cores('target')} AS t
+        FROM ({pairs}) WHERE source IS NOT NULL AND target IS NOT NULL GROUP BY src, source, target)
+  WHERE len(s) > 0 AND len(t) > 0),
+{name}_c AS (SELECT id, src, weight, part, {cut('s')} AS s, {cut('t')} AS t
+             FROM (SELECT *, unnest(range(parts)) AS part FROM {name}_p)),
+{name}_l AS MATERIALIZED (
+  SELECT id, part, place, src, weight, t[place] AS translation, len(s) AS n, unnest(s) AS token
+  FROM (SELECT *, unnest(range(1, len(t) + 1)) AS place FROM {name}_c) WHERE len(s) > 0)"""]
+    ctes.append(f"""{name}_n AS (
+  SELECT *, n::DOUBLE * n / sum(n) OVER (PARTITION BY src, translation) AS strength FROM (
+    SELECT src, token, translation, sum(weight / n::DOUBLE) AS e, sum(weight)::BIGINT AS n FROM {name}_l GROUP BY ALL
+    HAVING sum(weight) >= 2)),
+{name}_t0 AS MATERIALIZED (SELECT src, token, translation, p FROM (
+  SELECT *, e / sum(e) OVER (PARTITION BY src, token) AS p, max(strength) OVER (PARTITION BY src, token) AS strongest
+  FROM {name}_n) WHERE strength >= 0.1::DOUBLE * strongest AND round(p, 12) >= 0.001)""")
+    for i in range(1, rounds):
+        shares = (
+            f"SELECT src, token, translation, weight * p / sum(p) OVER (PARTITION BY id, part, place) AS share "
+            f"FROM {name}_l JOIN {name}_t{i - 1} USING (src, token, translation)"
+        )
+        ctes.append(f"""{name}_t{i} AS MATERIALIZED (SELECT * FROM (
+  SELECT src, token, translation, e / sum(e) OVER (PARTITION BY src, token) AS p
+  FROM (SELECT src, token, translation, sum(share) AS e FROM ({shares}) GROUP BY ALL)) WHERE round(p, 12) >= 0.001)""")
+    ctes.append(f"""{name} AS MATERIALIZED (SELECT src, 'eng' AS tgt, token, translation, p AS prob FROM (
+  SELECT *, row_number() OVER (PARTITION BY src, token ORDER BY round(p, 10) DESC, translation) AS n
+  FROM {name}_t{rounds - 1}) WHERE n = 1)""")
+    return ",\n".join(ctes)
+
+
+def vowels_moved(text: str) -> str:
+    found = words(f"translate(lower({text}), 'aeiou', 'eioua')")
+    return f"array_to_string(list_concat({found}[2:], {found}[1:1]), ' ')"
+
+
+LEXICON = lexicon("lexicon", f"""SELECT src, source, {vowels_moved('source')} AS target FROM (
+    SELECT {LABEL3} AS src, unnest({sentences('text', 'lang')}) AS source FROM documents WHERE {LABEL3} <> 'eng')""")
+
+
+def lexicon_sentences(name: str, source: str, keys: str, table: str = "lexicon") -> str:
     """CTE ``name(keys, translation)`` of ``source(keys, sentence, src, tgt)``."""
     core = f"lower(regexp_replace(raw, '^{CORE}+|{CORE}+$', '', 'g'))"
     word = (
@@ -159,7 +204,7 @@ def lexicon_sentences(name: str, source: str, keys: str) -> str:
 {name} AS (SELECT {', '.join('w.' + k.strip() for k in keys.split(','))},
                   string_agg({word}, ' ' ORDER BY pos) AS translation
            FROM (SELECT *, {core} AS core FROM {name}_w) w
-           LEFT JOIN lexicon l ON l.src = w.src AND l.tgt = w.tgt AND l.token = w.core
+           LEFT JOIN {table} l ON l.src = w.src AND l.tgt = w.tgt AND l.token = w.core
            GROUP BY ALL)"""
 
 
@@ -259,7 +304,7 @@ near AS (SELECT nn.query_id, t.label, nn.score FROM nn JOIN train t USING (id)),
 {vote('near')}"""
 
 
-def chrf(pairs: str, keys: str, group: str) -> str:
+def chrf(pairs: str, keys: str, group: str, digits: int = 6) -> str:
     """Query (group, score) over CTE ``pairs(keys, group, hyp, ref)``."""
     punct = quote(CHRF_PUNCTUATION)
     split = (
@@ -289,7 +334,7 @@ tot AS (SELECT {group}, o, sum(CASE WHEN held > 0 THEN a ELSE 0 END)::DOUBLE AS
 pr AS (SELECT {group}, CASE WHEN a > 0 THEN m / a ELSE 1e-16 END AS p,
               CASE WHEN b > 0 THEN m / b ELSE 1e-16 END AS r FROM tot)
 SELECT {group}, round(100 * (sum(CASE WHEN 4 * p + r > 0 THEN 5 * p * r / (4 * p + r) ELSE 1e-16 END)
-       + (8 - count(*)) * 1e-16) / 8, 6) AS score FROM pr GROUP BY {group}"""
+       + (8 - count(*)) * 1e-16) / 8, {digits}) AS score FROM pr GROUP BY {group}"""
 
 
 def report(rows: str) -> str:
@@ -324,6 +369,51 @@ SELECT count(*) AS n, count(*) FILTER (o = 'size') AS n_size, count(*) FILTER (o
        count(*) FILTER (o = 'exact') AS n_exact, round(avg((o = 'exact')::INTEGER), 6) AS fraction FROM o"""
 
 
+def translated(name: str, source: str, threshold: float, table: str, refused: str) -> str:
+    """CTEs ending in ``name(doc_id, t, message)`` of ``source(doc_id, text, given, tgt)``; ``refused``
+    is the message for a sentence with languages ``src`` and ``tgt``, or null."""
+    return f"""
+{name}_asked AS (SELECT doc_id, text FROM {source} WHERE coalesce(given, '') = ''),
+{ranking(f'{name}_dl', f'{name}_asked', 'doc_id', 'text', PER_GRAM)},
+{name}_routed AS (
+  SELECT d.doc_id, d.text, d.tgt, coalesce(t.lang, given) AS lang, CASE WHEN t.lang IS NULL THEN 1.0::DOUBLE ELSE t.prob END AS prob
+  FROM {source} d LEFT JOIN ({top_of(f'{name}_dl', 'doc_id')}) t USING (doc_id)),
+{name}_iso AS (SELECT *, {ISO_OF.format('lang')} AS iso1 FROM {name}_routed),
+{name}_c AS (SELECT *, {sentences('text', 'iso1')} AS s FROM {name}_iso),
+{name}_p AS (SELECT doc_id, tgt, lang, prob, (i - 1)::INTEGER AS chunk_id, s[i] AS sentence
+             FROM (SELECT *, unnest(range(1, len(s) + 1)) AS i FROM {name}_c)),
+{name}_low AS (SELECT doc_id, chunk_id, sentence FROM {name}_p WHERE prob < {threshold}),
+{ranking(f'{name}_sl', f'{name}_low', 'doc_id, chunk_id', 'sentence', PER_GRAM)},
+{name}_ready AS (SELECT p.doc_id, p.chunk_id, p.sentence, coalesce(t.lang, p.lang) AS src, p.tgt
+  FROM {name}_p p LEFT JOIN ({top_of(f'{name}_sl', 'doc_id, chunk_id')}) t USING (doc_id, chunk_id)),
+{name}_checked AS (SELECT *, {refused} AS message FROM {name}_ready),
+{lexicon_sentences(f'{name}_done', f'(SELECT * FROM {name}_checked WHERE message IS NULL)', 'doc_id, chunk_id', table)},
+{name} AS (SELECT c.doc_id, string_agg(translation, ' ' ORDER BY c.chunk_id) AS t,
+             arg_min(message, c.chunk_id) FILTER (message IS NOT NULL) AS message
+           FROM {name}_checked c LEFT JOIN {name}_done USING (doc_id, chunk_id) GROUP BY c.doc_id)"""
+
+
+TURNS = "SELECT conv_id * 20 + turn AS idx, text FROM conversations"
+TURN_SIDES = (
+    "SELECT 'fra' AS src, replace(text, 'en', 'an') AS source, text AS target FROM turns "
+    "UNION ALL SELECT 'cmn_Hant', replace(text, 'er', 'or'), text FROM turns"
+)
+
+
+def q8_run(name: str, given: str) -> str:
+    """CTE ``name(lang, score)``: languages without a failed block."""
+    refused = "CASE WHEN src NOT IN ('eng', 'fra', 'spa', 'deu', 'cmn_Hant') THEN 'no' END"
+    return f"""
+{name}_src AS (SELECT lang || ':' || batch || ':' || part AS doc_id, lang, batch, part, t AS text, {given} AS given, 'eng' AS tgt
+               FROM blk WHERE lang <> 'eng'),
+{translated(f'{name}_tr', f'{name}_src', 0.3, 'turn_lexicon', refused)},
+{name}_bad AS (SELECT DISTINCT lang FROM {name}_src JOIN {name}_tr USING (doc_id) WHERE message IS NOT NULL),
+{name}_pairs AS (SELECT s.batch, s.part, s.lang, coalesce(t.t, '') AS hyp, r.t AS ref
+  FROM {name}_src s JOIN blk r ON r.lang = 'eng' AND r.batch = s.batch AND r.part = s.part
+  LEFT JOIN {name}_tr t USING (doc_id) WHERE s.lang NOT IN (SELECT lang FROM {name}_bad)),
+{name} AS (WITH {chrf(f"{name}_pairs", "batch, part", "lang", 12)})"""
+
+
 Q1_SOURCE = (
     "CASE WHEN source = 'src9' THEN 'missing text' WHEN source = 'src5' THEN "
     "'unknown model unknown, known: nllb, seamlessm4t_text2text' END"
@@ -423,6 +513,8 @@ SELECT doc_id, (pos - 1)::INTEGER AS rank, split_part(label, '_', 1) AS lang,
        split_part(label, '_', 2) AS script, round(prob, 6) AS prob FROM r WHERE pos <= 3 AND prob >= 0.02""",
     "m4_segment": f"""SELECT doc_id, len(s)::INTEGER AS n_sentences, md5(array_to_string(s, chr(2))) AS sentences_md5
   FROM (SELECT doc_id, {sentences('text', 'lang')} AS s FROM documents)""",
+    "m5_train_lexicon": f"""WITH {LEXICON}
+SELECT src, tgt, token, translation, round(prob, 6) AS prob FROM lexicon""",
     "m5_translate_sentences": f"""WITH {PIECES}, {LEXICON},
 jobs AS (SELECT doc_id, chunk_id, sentence, {LABEL3} AS src, 'eng' AS tgt FROM pieces),
 {lexicon_sentences('done', 'jobs', 'doc_id, chunk_id')}
@@ -551,26 +643,11 @@ SELECT lang, round(avg(score) FILTER (use_src), 6) AS with_src, round(avg(score)
   round(avg(score) FILTER (use_src) - avg(score) FILTER (NOT use_src), 6) AS difference FROM scores GROUP BY lang""",
     "q1_translate": f"""WITH {MODEL}, {LEXICON},
 early AS (SELECT *, {Q1_SOURCE} AS early FROM docs),
-asked AS (SELECT doc_id, text FROM early WHERE early IS NULL AND coalesce({GIVEN}, '') = ''),
-{ranking('dl', 'asked', 'doc_id', 'text', PER_GRAM)},
-routed AS (SELECT d.doc_id, d.text, d.source, coalesce(t.lang, {GIVEN}) AS lang,
-             CASE WHEN t.lang IS NULL THEN 1.0::DOUBLE ELSE t.prob END AS prob
-           FROM early d LEFT JOIN ({top_of('dl', 'doc_id')}) t USING (doc_id) WHERE early IS NULL),
-iso AS (SELECT *, {ISO_OF.format('lang')} AS iso1 FROM routed),
-rows_c AS (SELECT *, {sentences('text', 'iso1')} AS s FROM iso),
-rows_p AS (SELECT doc_id, source, lang, prob, (i - 1)::INTEGER AS chunk_id, s[i] AS sentence
-           FROM (SELECT *, unnest(range(1, len(s) + 1)) AS i FROM rows_c)),
-low AS (SELECT doc_id, chunk_id, sentence FROM rows_p WHERE prob < 0.95),
-{ranking('sl', 'low', 'doc_id, chunk_id', 'sentence', PER_GRAM)},
-ready AS (SELECT p.doc_id, p.chunk_id, p.sentence, coalesce(t.lang, p.lang) AS src,
-            CASE WHEN p.source = 'src4' THEN 'tlh' ELSE 'eng' END AS tgt
-          FROM rows_p p LEFT JOIN ({top_of('sl', 'doc_id, chunk_id')}) t USING (doc_id, chunk_id)),
-checked AS (SELECT *, CASE WHEN src = 'deu' THEN '{TRANSLATED.format('source', 'src')}'
-                           WHEN tgt = 'tlh' THEN '{TRANSLATED.format('target', 'tgt')}' END AS message FROM ready),
-{lexicon_sentences('done', '(SELECT * FROM checked WHERE message IS NULL)', 'doc_id, chunk_id')},
-whole AS (SELECT c.doc_id, string_agg(translation, ' ' ORDER BY c.chunk_id) AS t,
-            arg_min(message, c.chunk_id) FILTER (message IS NOT NULL) AS message
-          FROM checked c LEFT JOIN done USING (doc_id, chunk_id) GROUP BY c.doc_id)
+wanted AS (SELECT doc_id, text, {GIVEN} AS given, CASE WHEN source = 'src4' THEN 'tlh' ELSE 'eng' END AS tgt
+           FROM early WHERE early IS NULL),
+{translated('whole', 'wanted', 0.95, 'lexicon', f"""CASE
+  WHEN src = 'deu' THEN '{TRANSLATED.format('source', 'src')}'
+  WHEN tgt = 'tlh' THEN '{TRANSLATED.format('target', 'tgt')}' END""")}
 SELECT e.doc_id, coalesce(early, message) AS message,
   CASE WHEN early IS NULL AND message IS NULL THEN md5(coalesce(t, '')) END AS text_md5
 FROM early e LEFT JOIN whole USING (doc_id)""",
@@ -603,14 +680,21 @@ SELECT doc_id, CASE WHEN source <> 'src1' THEN len(s)::INTEGER END AS n_sentence
     "q7_classify_few_shot": f"""WITH {FEW_SHOT}
 SELECT query_id, label, round(prob, 6) AS prob FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(prob, 6) DESC, label DESC) AS n FROM probs) WHERE n = 1""",
-    "q8_evaluate_translation": """WITH turns AS (SELECT conv_id * 20 + turn AS idx, text FROM conversations),
+    "q8_evaluate_translation": f"""WITH {MODEL}, turns AS ({TURNS}),
+{lexicon('turn_lexicon', TURN_SIDES)},
 par AS (SELECT idx, 'eng' AS lang, text AS s FROM turns UNION ALL SELECT idx, 'fra', replace(text, 'en', 'an') FROM turns
-  UNION ALL SELECT idx, 'cmn_Hant', replace(text, 'er', 'or') FROM turns),
+  UNION ALL SELECT idx, 'cmn_Hant', replace(text, 'er', 'or') FROM turns
+  UNION ALL SELECT idx, 'tlh', replace(text, 'the', 'tha') FROM turns),
 b AS (SELECT *, idx // 60 AS batch, ntile(3) OVER (PARTITION BY lang, idx // 60 ORDER BY idx) AS part FROM par),
 blk AS (SELECT lang, batch, part, string_agg(s, ' ' ORDER BY idx) AS t FROM b GROUP BY ALL),
-pairs AS (SELECT h.batch, h.part, h.lang, replace(h.t, chr(10), ' ') AS hyp, r.t AS ref
-          FROM blk h JOIN blk r ON r.lang = 'eng' AND r.batch = h.batch AND r.part = h.part WHERE h.lang <> 'eng'), """
-    + chrf("pairs", "batch, part", "lang"),
+{q8_run('yes', 'lang')}, {q8_run('no', "''")},
+langs AS (SELECT DISTINCT lang FROM blk WHERE lang <> 'eng'),
+both_runs AS (SELECT lang, y.score AS y, n.score AS n FROM langs LEFT JOIN yes y USING (lang) LEFT JOIN no n USING (lang))
+SELECT lang, round(y, 6) AS with_src, round(n, 6) AS without_src, round(y - n, 6) AS difference, CAST(NULL AS VARCHAR) AS failed
+FROM both_runs WHERE y IS NOT NULL OR n IS NOT NULL UNION ALL
+SELECT 'mean', round(avg(y), 6), round(avg(n), 6), round(avg(y) - avg(n), 6),
+  'with: ' || coalesce(string_agg(lang, ',' ORDER BY lang) FILTER (y IS NULL), '') || '; without: '
+  || coalesce(string_agg(lang, ',' ORDER BY lang) FILTER (n IS NULL), '') FROM both_runs""",
     "q9_evaluate_lid": f"""WITH {MODEL}, {ranking('r', 'docs', 'doc_id', 'text', PLAIN)},
 rows_r AS (SELECT d.lang3 AS truth, t.lang AS pred FROM docs d LEFT JOIN ({top_of('r', 'doc_id')}) t USING (doc_id))
 {report('rows_r')}""",

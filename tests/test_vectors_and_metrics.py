@@ -141,15 +141,46 @@ def test_exact_percentiles_of_a_skewed_group(spark):
         assert got["one", p] == 5.0
 
 
-def test_lookup_join_salted_equals_broadcast(spark):
-    rows = spark.range(500).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(
-        F.concat(F.lit("t"), (F.col("id") % 7).cast("string"))).alias("t"))
-    table = spark.createDataFrame([("hot", 1), ("t1", 2), ("t2", 3)], "t string, v int")
-    wide = lookup.lookup_join(rows, table, ["t"])
-    salted = lookup.lookup_join(rows, table, ["t"], max_broadcast_bytes=0, salts=4)
-    key = ["id", "t", "v"]
-    assert sorted(map(tuple, wide.select(key).collect()), key=str) == sorted(
-        map(tuple, salted.select(key).collect()), key=str)
+def skewed_tokens(spark):
+    """A third of the rows has one token, another third has no entry, some have none."""
+    token = (
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, "lost")
+        .when(F.col("id") % 100 == 2, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("t"), F.col("id").cast("string")))
+    )
+    rows = spark.range(3000).select("id", token.alias("t"), F.lit("x").alias("v2"))
+    table = spark.range(3000).select(
+        F.concat(F.lit("t"), F.col("id").cast("string")).alias("t"), F.col("id").alias("v"),
+        F.when(F.col("id") % 2 == 0, "even").alias("w"),
+    ).unionByName(spark.createDataFrame([("hot", None, "x"), ("unused", 2, "y")], "t string, v long, w string"))
+    return rows, table
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_skew_join_equals_plain_join(spark, how):
+    rows, table = skewed_tokens(spark)
+    plain = rows.join(table, ["t"], how)
+    for found in (lookup.skew_join(rows, table, ["t"], how), lookup.skew_join(rows, table, ["t"], how, max_hot_bytes=0),
+                  lookup.lookup_join(rows, table, ["t"], how, max_broadcast_bytes=0), lookup.lookup_join(rows, table, ["t"], how)):
+        assert found.columns == plain.columns
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_skew_join_deals_hot_keys_and_copies_no_row(spark):
+    rows, table = skewed_tokens(spark)
+    hot = lookup.hot_hashes(rows, ["t"])
+    want = {r.h for r in spark.createDataFrame([("hot",), ("lost",)], "t string").select(F.xxhash64("t").alias("h")).collect()}
+    assert set(hot) == want
+    plan = lookup.skew_join(rows, table, ["t"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("Join") == 2 and plan.count("broadcast") == 1
+    even = spark.range(3000).select("id", F.col("id").cast("string").alias("t"))
+    assert lookup.hot_hashes(even, ["t"]) == [] and lookup.hot_hashes(even.limit(0), ["t"]) == []
+    plan = lookup.skew_join(even, table, ["t"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "broadcast" not in plan
+    # no task gets more than its share of a hot key
+    spread = F.pmod(F.xxhash64("id", "v2"), F.lit(4)) + 1
+    dealt = rows.where("t = 'hot'").groupBy(spread.alias("s")).count().collect()
+    assert len(dealt) == 4 and max(r["count"] for r in dealt) < 300
 
 
 def test_vocabulary_and_tokens(spark):
