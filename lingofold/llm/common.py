@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -88,13 +87,3 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_
         F.min(label).alias("label")
     )
     return docs.drop("label").join(marks, id_col)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop shuffle files of frames that nothing refers to any more.
-
-    The driver holds on to the plan of the latest query, so a query without shuffles runs before.
-    """
-    spark.range(1).tail(1)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

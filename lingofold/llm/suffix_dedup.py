@@ -9,18 +9,24 @@ modulo 3.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from lingofold.llm.common import attach, map_batches, only_keys, release, text_or_empty
-from lingofold.session import stage_table
+from lingofold.llm.common import ROWS_PER_STEP, attach, map_batches, only_keys, text_or_empty
+from lingofold.session import ship_package, stage_table
 
 WINDOW = 50
-ANCHOR = 16
+ANCHOR = 24
+#: Rows of a batch with one anchor from which on they are not searched for partners.
+HEAVY_ROWS = 64
 SPAN = 1024
 RUN = SPAN // 2
 SHARD_REGIONS = 6000
@@ -53,7 +59,10 @@ def anchors(raw: bytes, window: int, bits: int) -> tuple[np.ndarray, np.ndarray]
     if len(raw) < window:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     words = packed(np.frombuffer(raw, dtype=np.uint8).astype(np.uint64))
-    hashes = (words[:-8] * MIX ^ (words[8:] >> np.uint64(7))) * MIX
+    hashes = words[: len(words) - ANCHOR + 8] * MIX
+    for k in range(8, ANCHOR, 8):
+        hashes ^= hashes >> np.uint64(32)
+        hashes = (hashes ^ words[k : k + len(hashes)]) * MIX
     hashes ^= hashes >> np.uint64(32)
     least = (hashes * MIX) >> np.uint64(64 - bits)
     width, reach = 1, window - ANCHOR + 1
@@ -71,33 +80,157 @@ def anchors(raw: bytes, window: int, bits: int) -> tuple[np.ndarray, np.ndarray]
     return least[first].astype(np.int64), first * SPAN + counts
 
 
-def anchor_rows(docs: DataFrame, id_col: str, text_col: str, window: int, bits: int) -> DataFrame:
-    def read(batch: dict) -> dict:
-        found = [anchors(encoded(t), window, bits) for t in batch[text_col]]
-        return {"id": batch[id_col], "anchors": [f[0] for f in found], "spans": [f[1] for f in found]}
+def anchor_rows(docs: DataFrame, id_col: str, text_col: str, window: int, bits: int, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """(anchor, salt, kind, id, span) of every anchor of every document.
 
+    An anchor that many rows of a batch have, in several documents, would make one long group. Its
+    rows get a ``salt`` of their own, which takes them past the search for partners, and a marker
+    (kind 0) tells the remaining rows with this anchor that there are others.
+    """
+    ship_package(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(id_col, text_col), read, f"id {kind}, anchors array<long>, spans array<long>")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_PER_STEP):
+                batch = whole.slice(at, ROWS_PER_STEP)
+                found = [anchors(encoded(t), window, bits) for t in batch.column(1).to_pylist()]
+                hashes = np.concatenate([f[0] for f in found])
+                spans = np.concatenate([f[1] for f in found])
+                owner = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+                salt, heavy = _salts(hashes, owner, xxhash.xxh32_intdigest(str(batch.column(0)[0])), heavy_rows)
+                more = np.zeros(len(heavy), dtype=np.int64)
+                ids = batch.column(0).take(pa.array(np.concatenate([owner, more])))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([hashes, heavy])), pa.array(np.concatenate([salt, more])),
+                     pa.array(np.concatenate([np.ones(len(hashes), dtype=np.int32), more.astype(np.int32)])),
+                     ids, pa.array(np.concatenate([spans, more]))],
+                    names=["anchor", "salt", "kind", "id", "span"],
+                )
+
+    return docs.select(id_col, text_col).mapInArrow(read, f"anchor long, salt long, kind int, id {kind}, span long")
+
+
+def _salts(hashes: np.ndarray, owner: np.ndarray, seed: int, heavy_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """(salt per row, heavy anchors): 0, but one number for all rows of the batch with a heavy anchor."""
+    salt = np.zeros(len(hashes), dtype=np.int64)
+    order = np.argsort(hashes, kind="stable")
+    sorted_hashes, owners = hashes[order], owner[order]
+    heads = np.flatnonzero(np.diff(sorted_hashes, prepend=sorted_hashes[:1] - 1))
+    counts = np.diff(np.append(heads, len(order)))
+    tails = heads + counts - 1
+    heavy = (counts >= heavy_rows) & (owners[heads] != owners[tails])
+    salt[order[np.repeat(heavy, counts)]] = 1 + seed % (1 << 31)
+    return salt, sorted_hashes[heads[heavy]]
+
+
+def recurring(rows: DataFrame, hot: int) -> DataFrame:
+    """(id, anchor, sub, span): rows whose anchor another document has too.
+
+    One shuffle sorts the rows by anchor, and each task passes over its rows once. It holds the rows
+    of one anchor until a second document turns up; of an anchor with more than ``hot`` rows they
+    are handed on in runs of that length. ``sub`` numbers the runs from 1, and is 0 where all rows of
+    the anchor stay together.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = _Recurring(hot)
+        names = ["id", "anchor", "sub", "span"]
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            for out in state.add(*columns):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
+        for out in state.end():
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=names)
+
+    schema = f"id {kind}, anchor long, sub long, span long"
+    types = [f.type for f in to_arrow_schema(T._parse_datatype_string(schema))]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartition(parts, "anchor", "salt").sortWithinPartitions("anchor", "salt", "kind")
+    return ordered.select("id", "anchor", "salt", "kind", "span").mapInArrow(find, schema)
+
+
+class _Recurring:
+    """Groups of equal (anchor, salt) in sorted rows that come in batches."""
+
+    def __init__(self, hot: int):
+        self.hot, self.held, self.runs = hot, None, 0  # runs handed on of the group that is open
+
+    def add(self, *columns: np.ndarray) -> Iterator[tuple]:
+        if not len(columns[0]):
+            return
+        if self.held is not None:
+            new_group = columns[1][0] != self.held[1][0] or columns[2][0] != self.held[2][0]
+            if new_group:
+                yield from self._groups(self.held, self.runs)
+                self.held, self.runs = None, 0
+            else:
+                columns = tuple(np.concatenate(x) for x in zip(self.held, columns, strict=True))
+        anchor, salt = columns[1], columns[2]
+        last = int(np.flatnonzero((anchor != anchor[-1]) | (salt != salt[-1]))[-1]) + 1 if (
+            anchor[0] != anchor[-1] or salt[0] != salt[-1]) else 0
+        if last:
+            yield from self._groups(tuple(c[:last] for c in columns), self.runs)
+            self.runs = 0
+        open_rows = tuple(c[last:] for c in columns)
+        if len(open_rows[0]) > self.hot and self._found(open_rows, self.runs):
+            yield from self._groups(open_rows, max(self.runs, 1))
+            self.runs = max(self.runs, 1) + len(open_rows[0]) // self.hot + 1
+            open_rows = tuple(c[-1:].copy() for c in open_rows)  # the last row tells the group, and is out already
+            open_rows[3][:] = -1
+        self.held = open_rows
+
+    def end(self) -> Iterator[tuple]:
+        if self.held is not None:
+            yield from self._groups(self.held, self.runs)
+            self.held = None
+
+    @staticmethod
+    def _found(rows: tuple, runs: int) -> bool:
+        ids, _, salt, kind, _ = rows
+        return bool(runs or salt[0] or kind[0] == 0 or (ids != ids[0]).any())
+
+    def _groups(self, rows: tuple, runs: int) -> Iterator[tuple]:
+        """Hand on the rows of groups that recur; ``runs`` belongs to the first group."""
+        ids, anchor, salt, kind, span = rows
+        if not len(ids):
+            return
+        heads = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (salt[1:] != salt[:-1])]))
+        counts = np.diff(np.append(heads, len(ids)))
+        of = np.repeat(np.arange(len(heads)), counts)
+        marked = (kind[heads] == 0) | (salt[heads] != 0)
+        if runs:
+            marked[0] = True
+        found = marked | np.logical_or.reduceat(ids != ids[heads][of], heads)
+        split = marked | (counts > self.hot)
+        nth = np.arange(len(ids)) - heads[of]
+        sub = np.where(split[of], np.where(salt != 0, salt, 0) + nth // self.hot + 1, 0)
+        if runs:
+            sub[of == 0] += runs
+        keep = found[of] & (kind == 1)
+        if keep.any():
+            yield ids[keep], anchor[keep], sub[keep], span[keep]
 
 
 def regions(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
-    """(anchor, n, id, start, body): the bytes of all windows of each recurring anchor."""
+    """(anchor, sub, id, start, body): the bytes of all windows of each recurring anchor."""
 
     def read(batch: dict) -> dict:
-        out: dict[str, list] = {"anchor": [], "n": [], "id": [], "start": [], "body": []}
-        found = (batch[c] for c in (id_col, text_col, "anchors", "counts", "spans"))
-        for key, text, hit, counts, spans in zip(*found, strict=True):
+        out: dict[str, list] = {"anchor": [], "sub": [], "id": [], "start": [], "body": []}
+        found = (batch[c] for c in (id_col, text_col, "anchors", "subs", "spans"))
+        for key, text, hit, subs, spans in zip(*found, strict=True):
             raw = encoded(text)
             starts = [span // SPAN for span in spans]
             out["anchor"] += hit
-            out["n"] += counts
+            out["sub"] += subs
             out["id"] += [key] * len(hit)
             out["start"] += starts
             out["body"] += [raw[low : low + span % SPAN - 1 + window] for low, span in zip(starts, spans, strict=True)]
         return out
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(id_col, text_col, "anchors", "counts", "spans"), read, f"anchor long, n long, id {kind}, start int, body binary")
+    return map_batches(docs.select(id_col, text_col, "anchors", "subs", "spans"), read, f"anchor long, sub long, id {kind}, start int, body binary")
 
 
 def _dense(order: np.ndarray, *keys: np.ndarray) -> np.ndarray:
@@ -159,13 +292,13 @@ def suffix_order(raw: np.ndarray, words: np.ndarray, starts: np.ndarray) -> np.n
     return np.concatenate([rest, both])[np.argsort(place, kind="stable")]
 
 
-def locate(shard: pd.DataFrame, window: int, hot: int) -> list[tuple]:
+def locate(shard: pd.DataFrame, window: int) -> list[tuple]:
     """Spans to remove in one shard: (prefix, id, start, stop); see ``phrases.locate``."""
     rows_of: dict[bytes, list[int]] = {}
     for row, body in enumerate(shard["body"]):
         rows_of.setdefault(body, []).append(row)
     ids, begin = shard["id"].tolist(), shard["start"].tolist()
-    is_hot = (shard["n"] > hot).tolist()
+    is_hot = (shard["sub"] > 0).tolist()
     codes = {key: i for i, key in enumerate(sorted(set(ids)))}
     bodies = list(rows_of)
     sizes = np.array([len(b) for b in bodies])
@@ -232,54 +365,41 @@ def merged(spans: list[tuple]) -> list[tuple]:
     return [tuple(s) for s in out]
 
 
-def repeats(docs: DataFrame, id_col: str, text_col: str, window: int, bits: int, hot: int) -> DataFrame:
+def repeats(
+    docs: DataFrame, id_col: str, text_col: str, window: int, bits: int, hot: int, heavy_rows: int = HEAVY_ROWS
+) -> DataFrame:
     """(id, start, stop) in bytes of windows that also start in a document with a smaller id."""
-    found = anchor_rows(docs, id_col, text_col, window, bits)
-    counts = stage_table(
-        found.select("id", F.explode("anchors").alias("anchor"))
-        .groupBy("anchor")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
-        .where("low < high")
-        .select("anchor", "n"),
-        "recurring-anchors",
-    )
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    places = found.select("id", F.explode(F.arrays_zip("spans", "anchors")).alias("x")).select(
-        "id", F.col("x.spans").alias("span"), F.col("x.anchors").alias("anchor")
-    )
-    hits = attach(places, counts, ["anchor"], "inner").groupBy("id").agg(
-        F.collect_list(F.struct("span", "anchor", "n")).alias("hits")
-    )
-    release(docs.sparkSession)  # the shuffle of the counts
+    found = recurring(anchor_rows(docs, id_col, text_col, window, bits, heavy_rows), hot)
     hits = stage_table(
-        hits.select(
-            F.col("id").alias(id_col), F.col("hits.anchor").alias("anchors"),
-            F.col("hits.n").alias("counts"), F.col("hits.span").alias("spans"),
+        found.groupBy("id").agg(F.collect_list(F.struct("span", "anchor", "sub")).alias("hits")).select(
+            F.col("id").alias(id_col), F.size("hits").alias("n"), F.col("hits.anchor").alias("anchors"),
+            F.col("hits.sub").alias("subs"), F.col("hits.span").alias("spans"),
         ),
         "anchor-hits",
     )
-    release(docs.sparkSession)  # those of the places
-    held = docs.select(F.col(id_col), F.col(text_col)).join(hits, id_col)
-    parts = F.greatest(F.ceil(F.col("n") / hot), F.lit(1))
+    total = hits.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    held = docs.select(F.col(id_col), F.col(text_col)).join(hits.drop("n"), id_col)
     shards = regions(held, id_col, text_col, window).withColumn(
-        "shard", F.pmod(F.xxhash64("anchor", F.pmod(F.xxhash64("id"), parts)), F.lit(max(total // SHARD_REGIONS, 1)))
+        "shard", F.pmod(F.xxhash64("anchor", "sub"), F.lit(max(total // SHARD_REGIONS, 1)))
     )
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(shard: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(locate(shard, window, hot), columns=["prefix", "id", "start", "stop"])
+        return pd.DataFrame(locate(shard, window), columns=["prefix", "id", "start", "stop"])
 
     located = stage_table(
         shards.groupBy("shard").applyInPandas(run, f"prefix binary, id {kind}, start int, stop int"), "located"
     )
-    release(docs.sparkSession)  # those of the regions
     firsts = located.where("prefix is not null")
     earliest = firsts.groupBy("prefix").agg(F.min("id").alias("earliest"))
     later = firsts.join(earliest, "prefix").where("id > earliest")
     return located.where("prefix is null").select("id", "start", "stop").union(later.select("id", "start", "stop"))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, hot: int = ANCHOR_REGIONS) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+    hot: int = ANCHOR_REGIONS, heavy_rows: int = HEAVY_ROWS,
+) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256.
 
     A byte of the UTF-8 text goes when a ``window``-byte string covers it that also starts in a
@@ -297,11 +417,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     size = usable.agg(F.coalesce(F.sum("n_bytes"), F.lit(1)).alias("n")).first()["n"]
     bits = min(int(size).bit_length() + SPARE_BITS, 63)
     distinct = only_keys(docs, firsts.select(F.col("first_id").alias(id_col)), [id_col])
-    spans = repeats(distinct, id_col, text_col, window, bits, hot).groupBy("id").agg(
+    spans = repeats(distinct, id_col, text_col, window, bits, hot, heavy_rows).groupBy("id").agg(
         F.collect_list(F.struct("start", "stop")).alias("spans")
     )
     spans = stage_table(spans.withColumnRenamed("id", id_col), "byte-spans")
-    release(docs.sparkSession)
 
     def cut(batch: dict) -> dict:
         out: dict[str, list] = {id_col: batch[id_col], "n_removed": [], "n_spans": [], "cut_sha": []}

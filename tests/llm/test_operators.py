@@ -155,8 +155,8 @@ def test_passages_equal_brute_force(make_docs, odd_rows, hot):
     assert phrases.remove_passages(make_docs([])).count() == 0
 
 
-@pytest.mark.parametrize("hot", [2, 3000])
-def test_byte_repeats_equal_brute_force(make_docs, odd_rows, hot):
+@pytest.mark.parametrize("hot, heavy", [(2, 64), (3000, 64), (3, 2), (3000, 3)])
+def test_byte_repeats_equal_brute_force(make_docs, odd_rows, hot, heavy):
     rows = odd_rows + [(i + 100, t, s) for i, t, s in near_rows(9)]
     first, want = {}, {}
     for i, text in sorted(set(text_rows(rows))):
@@ -168,7 +168,7 @@ def test_byte_repeats_equal_brute_force(make_docs, odd_rows, hot):
         kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
         spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
         want[i] = (len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest())
-    got = suffix_dedup.remove_repeats(make_docs(rows), hot=hot).collect()
+    got = suffix_dedup.remove_repeats(make_docs(rows), hot=hot, heavy_rows=heavy).collect()
     assert len(got) == len(rows)
     for r in got:
         if r.doc_id is not None:
@@ -176,6 +176,35 @@ def test_byte_repeats_equal_brute_force(make_docs, odd_rows, hot):
     assert suffix_dedup.remove_repeats(make_docs([])).count() == 0
 
 
+@pytest.mark.parametrize("hot", [1, 3, 50])
+def test_rows_of_recurring_anchors_pass_once(hot):
+    random = np.random.default_rng(hot)
+    groups = []
+    for anchor in range(120):
+        for salt in [0] + [10**6] * int(random.random() < 0.1):
+            size, spread = int(random.choice([1, 2, 3, 40, 200])), int(random.choice([1, 2, 30]))
+            marked = salt == 0 and random.random() < 0.1
+            rows = [(5, anchor, salt, 0, 0)] * marked
+            groups.append(rows + [(int(random.integers(0, spread)), anchor, salt, 1, int(random.integers(1e6))) for _ in range(size)])
+    rows = [r for g in groups for r in g]
+    state, got, at = suffix_dedup._Recurring(hot), [], 0
+    while at < len(rows):
+        step = int(random.integers(1, 90))
+        part = [np.array(c, dtype=np.int64) for c in zip(*rows[at : at + step])]
+        got += [r for out in state.add(*part) for r in zip(*(c.tolist() for c in out))]
+        at += step
+    got += [r for out in state.end() for r in zip(*(c.tolist() for c in out))]
+    want = Counter()
+    for g in groups:
+        if g[0][3] == 0 or g[0][2] or len({r[0] for r in g}) > 1:
+            want.update((r[0], r[1], r[4]) for r in g if r[3] == 1)
+    assert Counter((i, a, s) for i, a, _, s in got) == want
+    runs = Counter((a, sub) for _, a, sub, _ in got if sub)
+    assert max(runs.values()) <= hot
+    whole = Counter(a for _, a, sub, _ in got if not sub)
+    assert max(whole.values(), default=0) <= hot and not {a for a, _ in runs} & set(whole)
+
+
 def test_anchor_spans_cover_every_window_once():
     random = np.random.default_rng(5)
     raw = bytes(random.integers(97, 100, 400).astype(np.uint8)) + b"a" * 5000 + bytes(random.integers(97, 123, 700).astype(np.uint8))
