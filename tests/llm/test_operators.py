@@ -181,9 +181,10 @@ def test_rows_of_recurring_anchors_pass_once(hot):
     random = np.random.default_rng(hot)
     groups = []
     for anchor in range(120):
-        for salt in [0] + [10**6] * int(random.random() < 0.1):
+        salts = [0] + [10**6] * int(random.random() < 0.1)
+        for salt in salts:
             size, spread = int(random.choice([1, 2, 3, 40, 200])), int(random.choice([1, 2, 30]))
-            marked = salt == 0 and random.random() < 0.1
+            marked = salt == 0 and (len(salts) > 1 or random.random() < 0.1)
             rows = [(5, anchor, salt, 0, 0)] * marked
             groups.append(rows + [(int(random.integers(0, spread)), anchor, salt, 1, int(random.integers(1e6))) for _ in range(size)])
     rows = [r for g in groups for r in g]
@@ -359,6 +360,46 @@ def test_samples_follow_the_lattice_distribution():
         assert abs(sums[segmentation] / n - p) < 0.02  # inclusion scores make the estimate unbiased
 
 
+def test_nearly_certain_pieces_keep_their_alternatives():
+    lattices = piece_sampling.Lattices(piece_sampling.Vocabulary(piece_sampling.DEFAULT_MODEL))
+    texts = ["a", "t", "s", "w", "c", "d"]
+    want = [all_segmentations(t, lattices.vocabulary) for t in texts]
+    assert all(len(w) > 1 and max(w.values()) > 1 - 1e-6 for w in want)
+    found, thresholds = piece_sampling.sample_batch(texts, [3] * len(texts), lattices, 9)
+    for paths, threshold, all_of in zip(found, thresholds, want, strict=True):
+        got = {tuple(piece_sampling.pieces_in_order(p, lattices).tolist()): p.log_prob for p in paths}
+        assert got.keys() == all_of.keys() and threshold == -math.inf
+        assert all(abs(got[i] - math.log(p)) < 1e-5 for i, p in all_of.items())
+
+
+def test_chunk_tables_do_not_depend_on_other_chunks():
+    vocabulary = piece_sampling.Vocabulary(piece_sampling.DEFAULT_MODEL)
+    random = np.random.default_rng(8)
+    chunks = [" " + "".join(random.choice(list("abehinortsü的"), int(random.integers(1, 14)))) for _ in range(300)]
+    chunks = list(dict.fromkeys(chunks))
+
+    def tables(order):
+        lat = piece_sampling.Lattices(vocabulary)
+        for part in order:
+            lat.ends(part)
+        out = {}
+        for chunk, last in lat.base.items():
+            begin = last - len(chunk)
+            low, high = lat.first[begin], lat.first[last + 1]
+            out[chunk] = [(lat.start[low:high] - begin).tolist(), lat.piece[low:high].tolist(),
+                          lat.log_share[low:high].tobytes(), lat.above[low:high].tobytes()]
+        return out
+
+    whole = tables([chunks])
+    assert whole == tables([chunks[::-1]]) == tables([[c] for c in chunks])
+    for chunk in chunks[:40]:
+        _, _, shares, above = whole[chunk]
+        shares, above = np.exp(np.frombuffer(shares, np.float32)), np.frombuffer(above, np.float32)
+        last = np.flatnonzero(above == 0)
+        sums = np.add.reduceat(shares, np.concatenate([[0], last[:-1] + 1]))
+        assert np.allclose(sums, 1, atol=1e-5)
+
+
 def test_encoding_round_trip(make_docs, odd_rows):
     docs = make_docs(odd_rows)
     encoded = piece_sampling.encode_samples(docs)
