@@ -1,10 +1,17 @@
-"""Main text of HTML pages: the best-scoring run of words and tags."""
+"""Main text of HTML pages: the best-scoring run of words and tags.
+
+Every word has a weight, by the block it stands in and by the names and classes of the elements
+around it; every tag costs a little. The weights are learned from pages that mark their article, and
+lists of usual names only say what to expect of a name that was not seen there. One scan finds the
+contiguous run with the largest sum, and of this run the words with a positive weight are the text.
+"""
 
 from __future__ import annotations
 
 import html
 import re
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -14,9 +21,17 @@ from lingofold.llm.common import map_batches
 
 #: Weights are learned from about so many labelled pages (a hash of the page picks them).
 LABELLED_PAGES = 4_000
-SMOOTHING = 20.0
+#: Shares of words and numbers of tags that the expectations below count for.
+SMOOTHING_SHARE = 1e-3
+SMOOTHING_TAGS = 20.0
 MOST_WEIGHT = 4.0
-BOILERPLATE_WEIGHT = -0.05
+#: Cost of a word, and of a tag, that a run may pass over.
+PASSED_WORD = -0.05
+PASSED_TAG = -0.01
+#: Content elements say something about the rest of a page that has this share of its words in them.
+CONTENT_SHARE = 0.25
+#: A learned class weight below this says nothing.
+LEAST_WEIGHT = 0.5
 
 #: Element names of HTML by their role.
 RAW = frozenset("script style noscript template iframe object svg math canvas audio video".split())
@@ -99,32 +114,39 @@ def is_known(token: str) -> bool:
     return not rest and bool(parts & MARKS - TOPICS) and parts <= (MARKS - TOPICS) | FILLERS
 
 
-def is_marked(name: str, attrs: str, inside: bool = False) -> bool:
-    """Whether the attributes of an element say that it is no main text.
+def names_of(attrs: str) -> list[tuple[str, str]]:
+    return [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attrs)]
+
+
+def name_parts(value: str) -> set[str]:
+    return {p.lower() for p in NAME_PARTS.findall(value)}
+
+
+def marks(name: str, attrs: str, inside: bool = False) -> set[str]:
+    """Words in the attributes of an element that may say that it is no main text.
 
-    Outside a content element any word of a name may say so. ``inside`` one only whole class names
+    Outside a content element any known word of a name counts. ``inside`` one only whole class names
     and roles do, and whole ids of boxes. Ids of headings and paragraphs are made from their text
     and never count; those of sections count whole and outside only.
     """
+    found: set[str] = set()
     if not attrs or name in ("html", "body", "main"):
-        return False
+        return found
     if HIDDEN.search(attrs):
-        return True
-    for match in ATTRIBUTE.finditer(attrs):
-        kind, value = match[1].lower(), match[2] or match[3] or match[4] or ""
+        found.add("hidden")
+    for kind, value in names_of(attrs):
+        parts = name_parts(value)
         if kind == "id" and (name in TITLED or (inside and name not in BOXES)):
             continue
+        if name == "article" and not {"comment", "comments", "reply"} & parts:
+            continue
         if inside and kind == "role":
-            found = any(token in ROLES for token in value.lower().split())
+            found.update(token for token in value.lower().split() if token in ROLES)
         elif inside or (kind == "id" and name == "section"):
-            found = any(is_known(token) for token in value.split())
+            found.update(*(name_parts(token) & MARKS for token in value.split() if is_known(token)))
         else:
-            found = not MARKS.isdisjoint(p.lower() for p in NAME_PARTS.findall(value))
-        if found and (
-            name != "article" or {"comment", "comments", "reply"} & {p.lower() for p in NAME_PARTS.findall(value)}
-        ):
-            return True
-    return False
+            found.update(parts & MARKS)
+    return found
 
 
 class OpenElements:
@@ -184,49 +206,35 @@ def is_empty(name: str, attrs: str) -> bool:
     return name in VOID or (name in RAW and attrs.rstrip().endswith("/"))
 
 
-def closed_starts(page: str) -> set[int]:
-    """Places of the start tags whose elements are closed by their own end tags."""
-    found: set[int] = set()
-    elements, places, raw, at = OpenElements(), [], "", 0
-    while at < len(page):
-        if raw:
-            end = re.compile(rf"</{re.escape(raw)}(?=[\s/>])", re.I).search(page, at)
-            at, raw = (end.start() if end else len(page)), ""
-            continue
-        match = TOKEN.match(page, at)
-        start, at = at, match.end()
-        if match["name"] is None:
-            continue
-        name = match["name"].lower()
-        if match["end"]:
-            size = len(elements.names)
-            place = elements.end(name, -1)
-            if place >= 0:
-                found.add(places[place])
-                if len(elements.names) == size - 1:
-                    del places[place]
-                else:
-                    del places[place:]
-        else:
-            elements.before_start(name)
-            del places[len(elements.names) :]
-            if not is_empty(name, match["attrs"]):
-                elements.start(name)
-                places.append(start)
-                raw = name if name in RAW else ""
-    return found
+class Box:
+    """An element whose name or classes speak about the words in it, or a content element."""
 
+    __slots__ = ("features", "by_name", "around", "words", "content", "ignored")
 
-def tokens(page: str) -> list[tuple]:
-    """(feature, words, text, opens a block, left out) in page order.
+    def __init__(self, features: tuple[str, ...], by_name: bool, around: tuple, content: bool):
+        self.features, self.by_name, self.around, self.content = features, by_name, around, content
+        self.words, self.ignored = 0, False
 
-    A feature names a tag, or the nearest block element of a run of text; ``@`` marks what lies in
-    a content element, ``!`` what lies in an element that is left out.
-    """
-    out: list[tuple] = []
+
+@dataclass(slots=True)
+class Token:
+    """A run of text or a tag: ``feature`` names the tag, or the nearest block element of the text."""
+
+    feature: str
+    words: int
+    text: str
+    block: bool
+    boxes: tuple[Box, ...]
+
+
+def tokens(page: str, known: dict[str, float] | None) -> tuple[list[Token], list[Box]]:
+    """Tokens and boxes in page order. Class words other than the usual marks make a box if they
+    are ``known`` (all of them, with None)."""
+    out: list[Token] = []
+    boxes: list[Box] = []
     places: list[str] = []
-    elements, contents, closed = OpenElements(), [], None
-    skip, skip_start, raw, at = -1, 0, "", 0  # places of the element left out: among the open ones, in the page
+    elements, opened, raw, at = OpenElements(), [], "", 0  # opened: (place among the open elements, box)
+    around: tuple[Box, ...] = ()
     size = len(page)
     while at < size:
         if raw:  # text up to the end tag of a script, style and so on
@@ -234,7 +242,7 @@ def tokens(page: str) -> list[tuple]:
             at, raw = (found.start() if found else size), ""
             continue
         match = TOKEN.match(page, at)
-        start, at = at, match.end()
+        at = match.end()
         name = match["name"]
         if name is None:
             piece = match[0]
@@ -242,42 +250,44 @@ def tokens(page: str) -> list[tuple]:
                 continue
             text = html.unescape(piece)
             if count := len(text.split()):
-                place = places[-1] if places else "body"
-                mark = "!" if skip >= 0 else "@" if contents else ""
-                out.append((f"w:{place}{mark}", count, text, False, skip >= 0))
+                for box in around:
+                    box.words += count
+                out.append(Token(f"w:{places[-1] if places else 'body'}", count, text, False, around))
             elif text:
-                out.append(("", 0, " ", False, skip >= 0))
+                out.append(Token("", 0, " ", False, around))
             continue
         name = name.lower()
         attrs = match["attrs"]
         closing = bool(match["end"])
         empty = is_empty(name, attrs)
         if closing:
-            place = elements.end(name, skip)
+            place = elements.end(name, opened[-1][0] if opened else -1)
             if 0 <= place < len(elements.names):  # an inline element around open blocks
-                skip -= skip > place
-                contents = [c - (c > place) for c in contents]
+                opened = [(i - (i > place), box) for i, box in opened]
         else:
             elements.before_start(name)
             if name in RAW and not empty:
                 raw = name
-        open_now = len(elements.names)
-        while contents and contents[-1] >= open_now:
-            contents.pop()
-        if skip >= open_now:
-            skip = -1
+        while opened and opened[-1][0] >= len(elements.names):
+            opened.pop()
+            around = tuple(box for _, box in opened)
+        if not closing and not empty and name not in RAW:
+            inside = any(box.content for box in around)
+            features = [f"c:{m}" for m in sorted(marks(name, attrs, inside))]
+            if attrs and name not in ("html", "body"):
+                others = set().union(*(name_parts(value) for kind, value in names_of(attrs) if kind == "class")) - MARKS
+                features += sorted(f for f in (f"c:{o}" for o in others) if known is None or f in known)
+            by_name = name in LEFT_OUT
+            if by_name:
+                features.append(f"in:{name}")
+            content = name in CONTENT and not any(f[2:] in MARKS for f in features)
+            if features or content:
+                box = Box(tuple(features), by_name, around, content)
+                boxes.append(box)
+                opened.append((len(elements.names), box))
+                around = (*around, box)
         if not closing and not empty:
-            if skip >= 0 and name in CONTENT and not is_marked(name, attrs):
-                closed = closed_starts(page) if closed is None else closed
-                if skip_start not in closed:  # a content element ends what is never closed
-                    elements.cut(skip)
-                    skip = -1
             elements.start(name)
-            if skip < 0:
-                if name in LEFT_OUT or is_marked(name, attrs, bool(contents)):
-                    skip, skip_start = len(elements.names) - 1, start
-                elif name in CONTENT:
-                    contents.append(len(elements.names) - 1)
         block = name not in INLINE
         if block and name in WORD_PLACES:
             if closing:
@@ -287,47 +297,130 @@ def tokens(page: str) -> list[tuple]:
                 if name == "p" and places and places[-1] == "p":
                     places.pop()
                 places.append(name)
-        known = name if name in WORD_PLACES or name in INLINE or name in LEFT_OUT or name in VOID else "other"
-        out.append((f"t:{'/' if closing else ''}{known}{'!' if skip >= 0 else ''}", 0, " " if name in VOID else "", block, skip >= 0))
+        role = name if name in WORD_PLACES or name in INLINE or name in LEFT_OUT or name in VOID else "other"
+        out.append(Token(f"t:{'/' if closing else ''}{role}", 0, " " if name in VOID else "", block, around))
+    return out, boxes
+
+
+def expected(feature: str) -> float:
+    """The share of content that an unknown feature is expected to have."""
+    if feature[0] == "w":
+        if feature[-1] in "@~":
+            return 0.98 if feature[-1] == "@" else 0.05
+        return 0.8 if feature[2:] in TITLED else 0.55
+    if feature[0] == "t":
+        return 0.7
+    return 0.02 if feature[:3] == "in:" or feature[2:] in MARKS or feature == "c:hidden" else 0.5
+
+
+def unseen_weight(feature: str) -> float:
+    share = expected(feature)
+    return float(np.log(share / (1 - share))) if feature[0] != "t" else -0.02 - 0.2 * (1 - share)
+
+
+def box_weight(box: Box, weights: dict[str, float]) -> float:
+    """The weight that the names of a box give to its words: its lowest one."""
+    if box.ignored or not box.features:
+        return 0.0
+    return min(weights[f] if f in weights else unseen_weight(f) for f in box.features)
+
+
+def ignore_wrappers(found: list[Token], boxes: list[Box]) -> None:
+    """Names of an element say nothing if it holds most words of the page and, where there are
+    content elements, the first of them. Without those, names of parts of a page (``nav``) hold."""
+    total = sum(t.words for t in found)
+    first = next((box for box in boxes if box.content), None)
+    for box in boxes:
+        if 2 * box.words > total:
+            form = box.features[-1:] in (("in:form",), ("in:fieldset",))
+            box.ignored = box in (*first.around, first) if first else form or not box.by_name
+
+
+def place_marks(found: list[Token], weights: dict[str, float]) -> list[tuple[str, float]]:
+    """(feature, weight of the names around it) of every token. Words in a content element get the
+    mark ``@``; other words of a page with content elements get ``~``."""
+    low = {}
+
+    def names(token: Token) -> float:
+        for box in token.boxes:
+            if id(box) not in low:
+                low[id(box)] = min(box_weight(box, weights), low[id(box.around[-1])] if box.around else 0.0)
+        return low[id(token.boxes[-1])] if token.boxes else 0.0
+
+    around = [names(t) for t in found]
+    # a content element counts unless something around it is left out
+    is_content = [any(b.content and (not b.around or low[id(b.around[-1])] >= 0) for b in t.boxes) for t in found]
+    plain = sum(t.words for t, n in zip(found, around, strict=True) if n >= 0)
+    content = sum(t.words for t, n, c in zip(found, around, is_content, strict=True) if c and n >= 0)
+    has_content = content > 0 and content >= CONTENT_SHARE * plain
+    out = []
+    for token, n, inside in zip(found, around, is_content, strict=True):
+        mark = "@" if inside else "~"
+        out.append((token.feature + mark if has_content and token.feature[:1] == "w" else token.feature, n))
+    return out
+
+
+def scores(found: list[Token], boxes: list[Box], weights: dict[str, float]) -> list[float]:
+    """The weight of every token per word or tag."""
+    ignore_wrappers(found, boxes)
+    out = []
+    for feature, around in place_marks(found, weights):
+        if not feature:
+            out.append(0.0)
+        elif feature[0] == "t":
+            out.append(PASSED_TAG if around < 0 else weights.get(feature, unseen_weight(feature)))
+        else:
+            out.append(around if around < 0 else weights.get(feature, unseen_weight(feature)))
     return out
 
 
 def label_counts(page: str) -> Counter:
-    """Occurrences of features inside and outside the content element of a labelled page.
+    """Words and tags by feature, inside and outside the content element of a labelled page.
 
-    Words are counted with the content mark and without, for pages that have no content element.
+    What has a usual mark of its own inside the article is no content. Words are counted with the
+    content mark and without it, for pages that have no content element.
     """
     counts: Counter = Counter()
-    inside = 0
-    for feature, words, _, _, left_out in tokens(page):
-        if feature == "t:article":
-            inside += 1
-        elif feature == "t:/article":
-            inside = max(0, inside - 1)
-        elif feature:
-            is_in = inside > 0 and not left_out
-            for f in {feature, feature.rstrip("@")}:
-                counts[f, is_in] += max(words, 1)
+    found, boxes = tokens(page, None)
+    ignore_wrappers(found, boxes)
+    article = next((box for box in boxes if box.content), None)
+    for token in found:
+        if not token.feature:
+            continue
+        inner = token.boxes[token.boxes.index(article) + 1 :] if article in token.boxes else ()
+        marked = any(expected(f) < 0.1 for box in inner for f in box.features)
+        is_in = article in token.boxes and not marked
+        if token.words:
+            outer = any(expected(f) < 0.1 for box in token.boxes for f in box.features if not box.ignored)
+            if is_in or not outer:
+                for feature in (token.feature, token.feature + ("@" if article in token.boxes else "~")):
+                    counts[feature, is_in] += token.words
+            for feature in {f for box in token.boxes for f in box.features}:
+                counts[feature, is_in] += token.words
+            counts["", is_in] += token.words
+        else:
+            counts[token.feature, is_in] += 1
     return counts
 
 
 def weigh(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
-    """Smoothed log ratios: positive for words that may be content, negative for tags."""
-    weights = {}
-    for feature in {f for f, _ in counts}:
-        ratio = np.log((counts.get((feature, True), 0) + SMOOTHING) / (counts.get((feature, False), 0) + SMOOTHING / 4))
-        weights[feature] = float(np.clip(ratio, -MOST_WEIGHT, MOST_WEIGHT))
-    return {f: w if f[0] == "w" else min(-0.01, -0.1 + w / 100) for f, w in weights.items()}
+    """Log ratios of the shares in content and outside it, smoothed towards what is expected.
 
-
-def token_weight(feature: str, words: int, weights: dict[str, float]) -> float:
-    if not feature:
-        return 0.0
-    if feature.endswith("!"):
-        return BOILERPLATE_WEIGHT * max(words, 1)
-    if feature[0] == "t":
-        return weights.get(feature, -0.1)
-    return words * weights.get(feature, 1.0 if "@" in feature or feature in ("w:p", "w:h1") else 0.2)
+    Tags cost more the more often they stand outside content.
+    """
+    inside, outside = (max(counts.get(("", side), 0), 1) for side in (True, False))
+    weights = {}
+    for feature in {f for f, _ in counts if f}:
+        share, n_in, n_out = expected(feature), counts.get((feature, True), 0), counts.get((feature, False), 0)
+        if feature[0] == "t":
+            out = (n_out + SMOOTHING_TAGS * (1 - share)) / (n_in + n_out + SMOOTHING_TAGS)
+            weights[feature] = -0.02 - 0.2 * out
+            continue
+        ratio = (n_in / inside + SMOOTHING_SHARE * share) / (n_out / outside + SMOOTHING_SHARE * (1 - share))
+        weight = float(np.clip(np.log(ratio), -MOST_WEIGHT, MOST_WEIGHT))
+        if expected(feature) != 0.5 or abs(weight) >= LEAST_WEIGHT:
+            weights[feature] = weight
+    return weights
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -344,15 +437,17 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 def main_text(page: str | None, weights: dict[str, float]) -> str:
     """Blocks of the best run, joined by one line feed; empty if nothing scores above zero."""
-    found = tokens(page) if page else []
-    start, stop = best_run([token_weight(f, n, weights) for f, n, *_ in found])
+    found, boxes = tokens(page, weights) if page else ([], [])
+    per_word = scores(found, boxes, weights)
+    sums = [w if not t.words else t.words * max(w, PASSED_WORD) for t, w in zip(found, per_word, strict=True)]
+    start, stop = best_run(sums)
     blocks, parts = [], []
-    for feature, _, text, block, left_out in found[start:stop]:
-        if block:
+    for token, weight in zip(found[start:stop], per_word[start:stop], strict=True):
+        if token.block:
             blocks.append("".join(parts))
             parts = []
-        if not left_out:
-            parts.append(text)
+        if weight > 0 or not token.words:
+            parts.append(token.text)
     blocks.append("".join(parts))
     return "\n".join(b for b in (" ".join(b.split()) for b in blocks) if b)
 
@@ -360,7 +455,8 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
 def learn_weights(pages: DataFrame, html_col: str = "html", rows: int = LABELLED_PAGES) -> dict[str, float]:
     """Weights from pages that mark their content with one ``article`` element.
 
-    Features are element names from fixed lists, so the counts that reach the driver are bounded.
+    Features are element names from fixed lists and class words of about ``rows`` pages, so the
+    counts that reach the driver are bounded.
     """
     marked = pages.where(F.size(F.split(F.lower(html_col), "<article[\\s>]")) == 2).select(html_col)
     total = marked.count()
@@ -385,8 +481,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     The whole html is read. Character references are decoded, white space inside a block becomes
     one space, and blocks are joined by one line feed; ``br`` counts as white space. Null, empty
     and purely boilerplate pages give an empty text. Pages without a content element are scored by
-    their block elements alone. Repeated rows are treated alike, other columns are not read, and an
-    empty table gives no rows.
+    their block elements and class words alone. A wrapper that holds most words of a page is not
+    left out for its name. Repeated rows are treated alike, other columns are not read, and an empty
+    table gives no rows.
     """
     weights = learn_weights(pages, html_col) if weights is None else weights
     types = {f.name: f.dataType.simpleString() for f in pages.schema.fields}

@@ -302,7 +302,7 @@ def test_an_element_that_is_never_closed_ends_at_the_article():
     page = "<head><title>n</title><body><p>one two</p></body>"
     assert main_text.main_text(page, {}) == "one two"
     page = "<body><article class=comment><p>n</p></article><main><p>one</p></main></body>"
-    assert [t[0] for t in main_text.tokens(page) if t[1]] == ["w:p!", "w:p@"]
+    assert main_text.main_text(page, {}) == "one"
 
 
 @pytest.mark.parametrize("element", [
@@ -327,6 +327,60 @@ def test_whole_marks_are_left_out_of_an_article(element):
     assert main_text.main_text(page, {}).split() == ["one", "two"]
 
 
+@pytest.mark.parametrize("page", [
+    '<div class="layout has-sidebar"><article><p>one</p><p>two</p></article><div class="sidebar">n</div></div>',
+    '<div class="no-modal page"><article><p>one</p><p>two</p></article></div>',
+    '<form id="aspnetForm"><nav>n</nav><article><p>one</p><p>two</p></article></form>',
+    '<div class="with-sidebar"><p>one</p><p>two</p></div>',
+    '<form id="aspnetForm"><div><p>one</p><ul><li>two two two</ul></div></form>',
+    '<header><article><p>one</p><p>two</p></article></header><footer>n</footer>',
+])
+def test_wrappers_of_most_words_are_not_left_out(page):
+    assert list(dict.fromkeys(main_text.main_text(f"<body>{page}</body>", {}).split())) == ["one", "two"]
+
+
+def test_run_bridges_what_is_left_out_between_articles():
+    menu = "<nav><ul>" + "<li><a href=x>n</a></li>" * 120 + "</ul></nav>"
+    first, second = ("<p>" + w * 30 + "</p>" for w in ("one ", "two "))
+    page = f"<body><article>{first}</article>{menu}<div>n n</div><article>{second}</article></body>"
+    assert main_text.main_text(page, {}).split() == ["one"] * 30 + ["two"] * 30
+    # a far away line of a few words is not worth the way
+    page = f"<body><div>{first}</div>{menu * 20}<div>n n</div></body>"
+    assert main_text.main_text(page, {}).split() == ["one"] * 30
+
+
+def test_learned_weights_decide():
+    page = "<body><div class='zeta'><p>n n</p></div><div class='ad'><p>one two</p></div></body>"
+    assert main_text.main_text(page, {}).split() == ["n", "n"]
+    counts = Counter({("", True): 9000, ("", False): 9000, ("c:zeta", False): 900, ("c:ad", True): 900, ("t:p", True): 90})
+    weights = main_text.weigh(counts)
+    assert weights["c:zeta"] < 0 < weights["c:ad"] and weights["t:p"] < 0
+    assert main_text.main_text(page, weights).split() == ["one", "two"]
+    labelled = "<body><div class='zeta'>n n</div><article class='x'><p>a b c</p><div class='ad'>m</div></article></body>"
+    counts = main_text.label_counts(labelled)
+    assert counts["", True] == 3 and counts["", False] == 3 and counts["w:p@", True] == 3
+    assert counts["c:zeta", False] == 2 and counts["c:x", True] == 3 and counts["c:ad", False] == 1
+
+
+def test_best_run_equals_brute_force():
+    random = np.random.default_rng(6)
+    for _ in range(300):
+        values = random.integers(-4, 4, int(random.integers(0, 14))).astype(float).tolist()
+        start, stop = main_text.best_run(values)
+        runs = [sum(values[i:j]) for i in range(len(values)) for j in range(i + 1, len(values) + 1)]
+        assert sum(values[start:stop]) == max([0.0, *runs])
+
+
+def test_very_long_page_and_clashing_columns(spark):
+    words = " ".join(f"w{i}" for i in range(40_000))
+    page = "<body>" + "<div class='a'>" * 3000 + f"<nav>n</nav><article><p>{words}</p><p>end</p></article>" + "</div>" * 3000
+    pages = spark.createDataFrame(
+        [(1, "u", page, "x", 1, "y"), (2, "v", "<p>x", None, None, None)],
+        "page_id long, url string, html string, text string, n_chars int, feature string")
+    got = {r.page_id: r for r in main_text.extract(pages).collect()}
+    assert got[1].text == words + "\nend" and got[2].text == "x" and len(got[1]) == 4
+
+
 def all_segmentations(text, vocabulary):
     text, weight = " " + text, {p: math.exp(vocabulary.log_weight[i]) for p, i in vocabulary.ids.items()}
 
