@@ -65,6 +65,11 @@ def attach(rows: DataFrame, table: DataFrame, on: list[str], how: str = "left")
     return rows.join(table, on, how)
 
 
+def whole_rows(docs: DataFrame, **columns: Column) -> DataFrame:
+    """``row``, a struct of all columns, and the given ones: no name can clash with those of ``docs``."""
+    return docs.select(F.expr("struct(*)").alias("row"), *[c.alias(name) for name, c in columns.items()])
+
+
 def map_batches(rows: DataFrame, fn, schema: str) -> DataFrame:
     """Apply ``fn(dict of python lists) -> dict of lists`` to Arrow batches, in place (no shuffle)."""
     ship_package(rows.sparkSession)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lingofold.llm.common import BLANKS, text_or_empty
+from lingofold.llm.common import BLANKS, text_or_empty, whole_rows
 from lingofold.session import stage_table
 
 KEY_BITS = 63
@@ -22,13 +24,16 @@ def directory(slots: dict[int, int], slot_bits: int, bucket_keys: int) -> dict[i
 
     Starts with one bucket of depth 0. A bucket with more than ``bucket_keys`` keys is split by
     its next bit; the directory doubles whenever the deepest bucket does. ``slots`` holds at most
-    ``2 ** slot_bits`` counts, whatever the size of the corpus.
+    ``2 ** slot_bits`` counts, whatever the size of the corpus; a slot that is still too large is
+    split by as many further bits as its keys, which are hashes, need on average.
     """
     entries, waiting = {}, [(0, 0, slots)]
     while waiting:
         start, depth, held = waiting.pop()
-        if sum(held.values()) <= bucket_keys or depth == slot_bits:
-            entries.update({slot: (start, depth) for slot in held})
+        count = sum(held.values())
+        if count <= bucket_keys or depth == slot_bits:
+            more = max(math.ceil(math.log2(count / bucket_keys)), 0) if count else 0
+            entries.update({slot: (start, depth + more) for slot in held})
             continue
         middle = start + (1 << (slot_bits - depth - 1))
         waiting.append((start, depth + 1, {s: n for s, n in held.items() if s < middle}))
@@ -65,8 +70,10 @@ def build_index(
     counts = rows.select("hash_key").distinct().groupBy(slot.alias("slot")).count()
     entries = directory({r["slot"]: r["count"] for r in counts.toLocalIterator()}, slot_bits, bucket_keys)
     table = spark.createDataFrame(
-        [(s, b, d) for s, (b, d) in entries.items()], "slot int, bucket int, local_depth int"
+        [(s, min(d, key_bits)) for s, (_, d) in entries.items()], "slot int, local_depth int"
     )
+    # a bucket is named by its first key
+    bucket = F.expr(f"shiftleft(shiftright(hash_key, {key_bits} - local_depth), {key_bits} - local_depth)")
     texts = (
         docs.select(F.col(id_col), key.alias("hash_key"), text.alias("body"))
         .groupBy("hash_key", "body")
@@ -77,6 +84,7 @@ def build_index(
     index = (
         texts.withColumn("slot", slot)
         .join(F.broadcast(table), "slot")  # at most 2 ** SLOT_BITS rows
+        .withColumn("bucket", bucket)
         .withColumn("chain_pos", F.row_number().over(chain))
         .drop("slot")
         .repartitionByRange("bucket", "hash_key")
@@ -104,18 +112,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs`` that stay, with all their columns; one row per distinct text."""
     index, rows = build_index(docs, id_col, text_col, **options)
     text = normalised(text_col)
-    wanted = index.select(
-        F.col("hash_key").alias("__key"), F.col("text_sha256").alias("__sha"), F.col("keep_id").alias("__keep")
-    )
-    kept = (
-        docs.withColumns({
-            "__key": F.shiftrightunsigned(F.xxhash64(text), 64 - options.get("key_bits", KEY_BITS)),
-            "__sha": F.sha2(text, 256),
-        })
-        .join(wanted, ["__key", "__sha"])
-        .where(F.col(id_col).eqNullSafe(F.col("__keep")))
-    )
+    wanted = index.select("hash_key", "text_sha256", "keep_id")
+    key = F.shiftrightunsigned(F.xxhash64(text), 64 - options.get("key_bits", KEY_BITS))
+    found = whole_rows(docs, id=F.col(id_col), hash_key=key, text_sha256=F.sha2(text, 256))
+    kept = found.join(wanted, ["hash_key", "text_sha256"]).where(F.col("id").eqNullSafe(F.col("keep_id")))
     repeats = rows.groupBy("hash_key", "text_sha256", id_col).count().where("count > 1").limit(1)
     if not repeats.isEmpty():  # rows that repeat both the id and the text
-        kept = kept.dropDuplicates(["__key", "__sha"])
-    return kept.select(*docs.columns)
+        kept = kept.dropDuplicates(["hash_key", "text_sha256"])
+    return kept.select("row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lingofold.llm.common import word_count
+from lingofold.llm.common import whole_rows, word_count
 from lingofold.session import stage_table
 
 WEIGHTS = (5, 2, 1)
@@ -114,8 +114,9 @@ def repeat_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str =
     copies = (
         mix(docs, id_col, source_col, text_col)
         .where("taken > 0")
-        .groupBy(id_col)
-        .agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("__copies"))
+        .groupBy(F.col(id_col).alias("taken_id"))
+        .agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("copies"))
     )
-    joined = docs.join(copies.withColumnRenamed(id_col, "__id"), F.col(id_col).eqNullSafe(F.col("__id")))
-    return joined.withColumn("__copy", F.explode(F.expr("sequence(1, __copies)"))).select(*docs.columns)
+    rows = whole_rows(docs, id=F.col(id_col))
+    joined = rows.join(copies, F.col("id").eqNullSafe(F.col("taken_id")))
+    return joined.select("row", F.explode(F.expr("sequence(1, copies)"))).select("row.*")

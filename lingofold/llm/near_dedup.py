@@ -8,8 +8,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lingofold.llm.common import WordHashes, attach, map_batches, only_keys
+from lingofold.llm.common import WordHashes, attach, map_batches, only_keys, whole_rows
 from lingofold.llm.components import components
+from lingofold.operators.lookup import lookup_join
 from lingofold.session import stage_table
 
 WORDS = 5
@@ -166,7 +167,7 @@ def cross_links(members: DataFrame, groups: DataFrame, sets_of, percent: int) ->
         .agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.max("n").alias("most"), F.sum("n").alias("all"))
         .where(F.col("all") > F.col("most"))
     )
-    rows = stage_table(rows.join(mixed, "head"), "mixed-heads")
+    rows = stage_table(lookup_join(rows, mixed, ["head"], "inner", salt_by=["id"]), "mixed-heads")
     blocks = lambda n: F.greatest(F.ceil(n / BLOCK_TEXTS), F.lit(1)).cast("int")
     many_blocks, few_blocks = blocks(F.col("all")), blocks(F.col("all") - F.col("most"))
     place = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
@@ -237,8 +238,12 @@ def near_dedup(
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document of each component."""
+    """The rows of ``docs`` that stay, with all their columns: one document of each component.
+
+    Rows without an id or without words stay. Ids should be unique: rows that repeat an id stay or
+    go together. An empty table gives no rows.
+    """
     judged = near_dedup(docs, id_col, text_col, **options)
-    gone = judged.where("not kept").select(F.col(id_col).alias("__gone")).distinct()
-    gone = stage_table(gone, "near-copies")
-    return attach(docs, gone.withColumn("__no", F.lit(1)).withColumnRenamed("__gone", id_col), [id_col]).where("__no is null").select(*docs.columns)
+    gone = stage_table(judged.where("not kept").select(F.col(id_col).alias("id")).distinct(), "near-copies")
+    rows = attach(whole_rows(docs, id=F.col(id_col)), gone.withColumn("gone", F.lit(1)), ["id"])
+    return rows.where("gone is null").select("row.*")

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lingofold.llm.common import CACHED_WORDS, labelled, map_batches
+from lingofold.session import ship_package
 
 BITS = 18
 #: The classifier is fitted on at most so many labelled rows, those with the smallest id hashes.
@@ -168,14 +171,13 @@ def held_out(id_col: str):
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = LABELLED_ROWS) -> QualityModel:
     """Fit on at most ``rows`` labelled documents whose crc32 of the id is no multiple of 5."""
     spark = docs.sparkSession
-    order = F.xxhash64(F.col(id_col).cast("string"))
     usable = labels.where(~held_out("doc_id")).withColumn("at", F.xxhash64(F.col("doc_id").cast("string")))
     usable = labelled(usable.select("doc_id", "at").distinct(), labels, "quality", "doc_id")
     usable = usable.orderBy("at", "doc_id").limit(rows).select("doc_id", "at", "label")
     # at most LABELLED_ROWS short rows
     chosen = spark.createDataFrame(usable.collect(), usable.schema)
-    sample = docs.join(F.broadcast(chosen.withColumnRenamed("doc_id", "__id")), F.col(id_col) == F.col("__id"))
-    sample = sample.select(order.alias("at"), "label", F.col(text_col).alias("body"))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body"))
+    sample = texts.join(F.broadcast(chosen), "doc_id").select("at", "label", "body")
 
     def read(batch: dict) -> dict:
         codes = TokenCodes()
@@ -186,27 +188,38 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train(found, got["label"].to_numpy() == 1)
 
 
-def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """One row per document: id, held_out, score, predicted, and the columns ``keep``.
+def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, held_out, score, predicted.
 
     The whole text is scored, in place. Null and empty texts have no indicators and get the score
     of the bias alone. A null id counts as an empty text for ``held_out``. Repeated rows score
     alike; an empty table gives no rows. ``predicted`` is 1 from a score of ``THRESHOLD`` on.
     """
     state = docs.sparkSession.sparkContext.broadcast(model)  # 2 * 2 ** BITS numbers, a fixed size
-    names = list(dict.fromkeys([id_col, *(keep or [])]))
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     codes = TokenCodes()
 
     def score(batch: dict) -> dict:
         known = state.value
-        return {n: batch[n] for n in names} | {
-            "score": [known.score(indicators(t, codes)) for t in batch[text_col]]
-        }
+        return {id_col: batch[id_col], "score": [known.score(indicators(t, codes)) for t in batch[text_col]]}
 
-    schema = ", ".join([*(f"`{n}` {types[n]}" for n in names), "score double"])
-    scored = map_batches(docs.select(*dict.fromkeys([*names, text_col])), score, schema)
+    kind = docs.schema[id_col].dataType.simpleString()
+    scored = map_batches(docs.select(id_col, text_col), score, f"`{id_col}` {kind}, score double")
     return scored.select(
-        id_col, held_out(id_col).alias("held_out"), "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), *[n for n in names if n != id_col],
+        id_col, held_out(id_col).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def accepted(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a score of ``THRESHOLD`` or more, with all their columns, whatever
+    these are called. Null and empty texts get the score of the bias alone."""
+    ship_package(docs.sparkSession)
+    state = docs.sparkSession.sparkContext.broadcast(model)
+    codes = TokenCodes()
+    at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            yield batch.filter(pa.array([state.value.score(indicators(t, codes)) >= THRESHOLD for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

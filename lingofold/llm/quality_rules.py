@@ -80,7 +80,7 @@ def with_stats(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         rows = [text_stats(t) for t in batch[text_col]]
         return {id_col: batch[id_col]} | {n: [r[i] for r in rows] for i, n in enumerate(STAT_NAMES)}
 
-    return map_batches(docs.select(id_col, text_col), measure, f"{id_col} {id_type}, {STATS}")
+    return map_batches(docs.select(id_col, text_col), measure, f"`{id_col}` {id_type}, {STATS}")
 
 
 def _share(part: Column, whole: Column) -> Column:
