@@ -1,8 +1,8 @@
 """From raw documents to encoded training text: filter, deduplicate, mix, encode.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
-again as the next stage's ``docs``. All but the last return the columns of ``docs``, extra ones
-included. Null and empty texts are scored like any other text, count as equal to each other in the
+again as the next stage's ``docs``. All but the last return the columns of ``docs``, extra ones of
+any name included. Null and empty texts are scored like any other text, count as equal to each other in the
 exact stage, are linked with nothing in the near stage and are never taken by the mix (they have no
 words). An empty table passes through all stages.
 """
@@ -21,9 +21,7 @@ KEPT_EDGES = 2_000_000
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
-    model = quality_model.fit(docs, read(spark, sf_dir, "labels"))
-    scored = quality_model.score_quality(docs, model, keep=docs.columns)
-    return scored.where("predicted = 1").select(*docs.columns)
+    return quality_model.accepted(docs, quality_model.fit(docs, read(spark, sf_dir, "labels")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
