@@ -698,9 +698,27 @@ def k2_knn(spark, sf_dir):
     return _rounded(vs.knn(_queries(one), two, 4, errors=True)).drop("error")
 
 
+def _recall_row(approximate: DataFrame, exact: DataFrame) -> DataFrame:
+    """Queries, rows of each, and whether nine of ten exact neighbours were found."""
+    approximate = stage_table(approximate, "approximate")
+    per_query = approximate.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.count(F.lit(1)).alias("n_queries"), F.min("n").alias("least"), F.max("n").alias("most")
+    )
+    report = vs.recall_report(approximate, exact)
+    return per_query.join(report).select("n_queries", "least", "most", (F.col("recall") >= 0.9).alias("recall_reached"))
+
+
 def k3_ann_knn(spark, sf_dir):
-    one, two = _sides(spark, sf_dir)
-    return _rounded(vs.ann_knn(_queries(one), two, 4, probes=12, n_cells=16))
+    one, two = (stage_table(side, "side") for side in _sides(spark, sf_dir))
+    found = vs.ann_knn(_queries(one), two, 10, probes=12, n_cells=16)
+    return _recall_row(found, vs.knn(_queries(one), two, 10))
+
+
+def k3_compressed_knn(spark, sf_dir):
+    one, two = (stage_table(side, "side") for side in _sides(spark, sf_dir))
+    index = vs.build_codes(two, n_cells=16)
+    found = vs.compressed_knn(_queries(one), two, index, 10, probes=12)
+    return _recall_row(found, vs.knn(_queries(one), two, 10))
 
 
 def k3_ann_all_cells(spark, sf_dir):

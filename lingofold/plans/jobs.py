@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -190,23 +191,26 @@ def embed_image_job(
 
 
 def mine_bitext(
-    side1: DataFrame, side2: DataFrame, k: int = 4, search: Callable = knn
+    side1: DataFrame, side2: DataFrame, k: int = 4, search: Callable | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(picks, accuracy) for two sides ``(id, vector)`` of unit vectors.
 
-    ``search(queries, corpus, k)`` may be the exact or the approximate search. A row without a
-    vector of the common length is a pick with an ``error``: of side 1 with its id as ``query_id``,
-    of side 2 as ``id``. Those of side 1 count as misses in the accuracy.
+    ``search(queries, corpus, k)`` may be an approximate search, the default is the exact one. A row
+    without a vector of the common length is a pick with an ``error``: of side 1 with its id as
+    ``query_id``, of side 2 as ``id``. Those of side 1 count as misses in the accuracy. Both sides
+    and the neighbours are written once.
     """
     def as_queries(df: DataFrame) -> DataFrame:
         return df.withColumnRenamed("id", "query_id")
 
+    side1, side2 = stage_table(side1, "side-1"), stage_table(side2, "side-2")
     dims = common_length(side2, side1)
+    find = search or partial(knn, dims=dims)
     good1, good2 = usable(side1, dims), usable(side2, dims)
     bad1 = as_queries(refused(side1, dims)).select("query_id", "error")
     bad2 = refused(side2, dims).select("id", "error")
-    forward = search(as_queries(good1), good2, k)
-    backward = search(as_queries(good2), good1, k)
+    forward = stage_table(find(as_queries(good1), good2, k), "forward")
+    backward = stage_table(find(as_queries(good2), good1, k), "backward")
     picks = rerank_top1(margin_candidates(forward, backward, k))
     for bad in (bad1, bad2):
         picks = picks.unionByName(bad, allowMissingColumns=True)
@@ -252,8 +256,9 @@ def classify_few_shot(
     Rows without a fitting vector are rows with an ``error`` (see ``knn_classify``); such items are
     misses in the accuracy, or not part of it without ``count_refused``.
     """
+    train, items = stage_table(train, "training-items"), stage_table(items, "items")
     dims = common_length(train, items)
-    probs = knn_classify(train, items.drop("label"), k, dims=dims)
+    probs = stage_table(knn_classify(train, items.drop("label"), k, dims=dims), "class-probabilities")
     labels = train.select("label").unionByName(items.select("label")).distinct()
     if not count_refused:
         good = usable(items, dims).select("query_id", "label")

@@ -73,6 +73,68 @@ def test_ann_recall(spark):
     assert vs.recall_report(every, exact).first().recall == 1.0
 
 
+def clustered(n, per, dims, spread, seed=3):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n, dims))
+    rows = np.vstack([c + spread * rng.normal(size=(per, dims)) for c in centres])
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
+def test_exact_search_leaves_out_cells(spark):
+    rows = clustered(12, 60, 24, 0.05)
+    rows[100:130] = rows[100]  # ties
+    corpus, queries = frame(spark, rows).cache(), frame(spark, rows[::7], "query_id").cache()
+    got = {(r.query_id, r["rank"]): r.id for r in vs.knn(queries, corpus, 5, block_rows=40).collect()}
+    scores = np.round(rows[::7] @ rows.T, 9)
+    for q in range(len(scores)):
+        want = sorted(range(len(rows)), key=lambda i: (-scores[q, i], i))[:5]
+        assert [got[q, k + 1] for k in range(5)] == want
+    centres = vs.fit_cells(corpus, 18)
+    placed, asking = vs._nearest_cells(corpus, "id", centres, 1), vs._nearest_cells(queries, "query_id", centres, 1)
+    near = vs._search_cells(asking, placed, 5, 40)
+    visits = vs.other_cells(asking, placed, near, centres, 5)
+    sizes = placed.groupBy("cell").count()
+    met = asking.select("cell").unionByName(visits.select("cell")).join(sizes, "cell").agg(F.sum("count")).first()[0]
+    assert met < 0.4 * len(rows[::7]) * len(rows)
+    # a query with fewer neighbours than wanted asks every cell
+    every = vs.other_cells(asking, placed, near, centres, 1000)
+    assert every.count() == queries.count() * (placed.select("cell").distinct().count() - 1)
+
+
+def test_exact_search_by_cells_with_repeated_ids(spark):
+    rows = clustered(5, 30, 8, 0.2)
+    ids = np.arange(len(rows)) // 3
+    corpus = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(ids, rows)], "id bigint, vector array<double>")
+    queries = corpus.withColumnRenamed("id", "query_id").where("query_id % 4 = 0")
+    blocks = vs.knn(queries, corpus, 3, block_rows=16, repeated=True).collect()
+    scan = vs.knn(queries, corpus, 3, repeated=True).collect()
+    assert sorted(map(tuple, blocks)) == sorted(map(tuple, scan)) and blocks
+
+
+def test_compressed_search(spark):
+    rows = clustered(12, 40, 18, 0.3)  # 18 numbers are four and a half parts
+    corpus = frame(spark, rows).cache()
+    queries = corpus.withColumnRenamed("id", "query_id")
+    index = vs.build_codes(corpus, n_cells=8, values=64)
+    sizes = index.codes.select(F.length("code").alias("n")).distinct().collect()
+    assert [r.n for r in sizes] == [5] and index.codes.count() == 480
+    found = vs.compressed_knn(queries, corpus, index, 10, probes=5, block_rows=32)
+    exact = vs.knn(queries, corpus, 10)
+    assert vs.recall_report(found, exact).first().recall >= 0.9
+    scores = np.round(rows @ rows.T, 9)
+    assert all(r.score == pytest.approx(scores[r.query_id, r.id], abs=2e-9) for r in found.collect())
+    # with every row scored again the result is exact
+    whole = vs.compressed_knn(queries, corpus, index, 10, probes=8, refine=48)
+    assert vs.recall_report(whole, exact).first().recall == 1.0
+    odd = corpus.unionByName(spark.createDataFrame([(900, [1.0]), (901, None)], corpus.schema))
+    assert vs.build_codes(odd, n_cells=4, values=8).codes.count() == 480
+    few = corpus.limit(3)
+    tiny = vs.build_codes(few, n_cells=16)
+    assert vs.compressed_knn(queries, few, tiny, 10, probes=16).count() == 480 * 3
+    none = corpus.limit(0)
+    assert vs.compressed_knn(queries, none, vs.build_codes(none, n_cells=4), 10, probes=2).count() == 0
+
+
 def test_weights_of_neighbours(spark):
     near = spark.createDataFrame(
         [(1, "x", 0.9), (1, "y", 0.8), (1, "y", 0.6), (2, "x", 1.0), (2, "y", 0.8)],
