@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lingofold.functions import codes, vectors
 from lingofold.functions import text as txt
 from lingofold.functions.errors import INTERNAL, error_if, first_error
-from lingofold.operators import alignment, embed, metrics, options, routing, sampling, validate
+from lingofold.operators import alignment, embed, metrics, options, routing, sampling, sentence_ends, validate
 from lingofold.operators import language_id as lid
 from lingofold.operators import translate as tr
 from lingofold.operators import vector_search as vs
@@ -521,6 +521,13 @@ def m4_segment(spark, sf_dir):
     )
 
 
+def m4_sentence_ends(spark, sf_dir):
+    """Every type seen with a dot: is it an abbreviation?"""
+    return sentence_ends.abbreviation_scores(_documents(spark, sf_dir)).withColumn(
+        "score", _rounded_to("score", 6)
+    )
+
+
 def m5_train_lexicon(spark, sf_dir):
     return _lexicon(spark, sf_dir).select(
         "src", "tgt", "token", "translation", F.round("prob", 6).alias("prob")

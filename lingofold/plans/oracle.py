@@ -39,25 +39,30 @@ def by_source(pairs: list[tuple[str, str | None]], other: str) -> str:
     return f"(CASE source {whens} ELSE {other} END)"
 
 
+# Patterns of their own: only the list of abbreviations is shared with the segmenter.
+BEFORE = r"(^|[^\p{N}\p{L}])"
+STOPS, CLOSERS, OPENERS = "…?!.؟।۔", r"""\])»”’"'""", r"""(\["'«„“"""
+
+
 def sentences(text: str, iso: str) -> str:
-    hold, cut = "chr(1)", "chr(2)"
-    held = (
-        f"regexp_replace({text}, {quote(seg.LETTER_PAIR)}, "
-        f"'\\1\\2' || {hold} || '\\3\\4' || {hold}, 'g')"
-    )
+    hold, cut, keep = "chr(1)", "chr(2)", "chr(3)"
+    pair, initial = BEFORE + r"(\p{L})[.]( ?)(\p{L})[.]", BEFORE + r"(\p{Lu})[.]"
+    goes_on = rf"([.]+|[{STOPS}]+[{CLOSERS}]+)([ \t]+[{OPENERS}]*\p{{Ll}})"
+    end = rf"([{STOPS}]+[{CLOSERS}]*)[ \t\n\r\f]+"
+    held = f"regexp_replace({text}, {quote(pair)}, '\\1\\2' || {hold} || '\\3\\4' || {hold}, 'g')"
     whens = " ".join(
-        f"WHEN '{code}' THEN regexp_replace({held}, "
-        f"{quote(seg.EDGE + '(' + '|'.join(names.split()) + ')' + chr(92) + '.')}, "
+        f"WHEN '{code}' THEN regexp_replace({held}, {quote(BEFORE + '(' + '|'.join(names.split()) + ')[.]')}, "
         f"'\\1\\2' || {hold}, 'g')"
         for code, names in seg.ABBREVIATIONS.items()
     )
     held = f"(CASE {iso} {whens} ELSE {held} END)"
-    held = f"regexp_replace({held}, {quote(seg.INITIAL)}, '\\1\\2' || {hold}, 'g')"
-    marked = f"regexp_replace({held}, {quote(seg.END)}, '\\1' || {cut}, 'g')"
-    marked = f"regexp_replace({marked}, {quote(seg.FULL_WIDTH_END)}, '\\1' || {cut}, 'g')"
+    held = f"regexp_replace({held}, {quote(initial)}, '\\1\\2' || {hold}, 'g')"
+    held = f"regexp_replace({held}, {quote(goes_on)}, '\\1' || {keep} || '\\2', 'g')"
+    marked = f"regexp_replace({held}, {quote(end)}, '\\1' || {cut}, 'g')"
+    marked = f"regexp_replace({marked}, '([。？！]+[”』」]*)', '\\1' || {cut}, 'g')"
     pieces = (
         f"list_transform(string_split({marked}, {cut}), "
-        f"lambda s: trim(replace(s, {hold}, '.'), {BLANK}))"
+        f"lambda s: trim(replace(replace(s, {hold}, '.'), {keep}, ''), {BLANK}))"
     )
     whole = f"[trim({text}, {BLANK})]"
     return (
@@ -513,6 +518,19 @@ SELECT doc_id, (pos - 1)::INTEGER AS rank, split_part(label, '_', 1) AS lang,
        split_part(label, '_', 2) AS script, round(prob, 6) AS prob FROM r WHERE pos <= 3 AND prob >= 0.02""",
     "m4_segment": f"""SELECT doc_id, len(s)::INTEGER AS n_sentences, md5(array_to_string(s, chr(2))) AS sentences_md5
   FROM (SELECT doc_id, {sentences('text', 'lang')} AS s FROM documents)""",
+    "m4_sentence_ends": rf"""WITH w AS (SELECT lang, {words('text')} AS ws FROM documents WHERE lang IS NOT NULL),
+o AS (SELECT lang, regexp_replace(ws[i], '^[^\p{{L}}\p{{N}}]+|["''»”’)\],;:!?…]+$', '', 'g') AS bare, coalesce(ws[i + 1], '') AS nxt
+      FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM w)),
+t AS (SELECT lang, lower(regexp_replace(bare, '[.]$', '')) AS word, ends_with(bare, '.') AS dot,
+             regexp_matches(nxt, '^["''«„“(\[]*\p{{Ll}}') AS low FROM o),
+c AS (SELECT lang, word, count(*) FILTER (dot) AS k, count(*) FILTER (NOT dot) AS m, count(*) FILTER (dot AND low) AS n_low
+      FROM t WHERE regexp_matches(word, '^\p{{L}}[\p{{L}}.''’-]*$') GROUP BY lang, word),
+p AS (SELECT *, (sum(k) OVER l)::DOUBLE / (sum(k + m) OVER l) AS p, length(replace(word, '.', '')) AS size FROM c
+      WINDOW l AS (PARTITION BY lang)),
+s AS (SELECT *, 2 * ((k * ln(0.99::DOUBLE) + m * ln(1 - 0.99::DOUBLE)) - (k * ln(p) + m * ln(greatest(1 - p, 1e-12::DOUBLE))))
+        * exp(-size) * (length(word) - size + 1) * pow(size::DOUBLE, -m) AS score FROM p WHERE k > 0)
+SELECT lang, word, k AS n_dot, m AS n_plain, n_low AS n_lower, {plain_zero('round(score, 6)')} AS score,
+  score >= 0.3 OR (n_low >= 3 AND n_low >= 0.5 * k AND k >= m) AS is_abbreviation FROM s""",
     "m5_train_lexicon": f"""WITH {LEXICON}
 SELECT src, tgt, token, translation, round(prob, 6) AS prob FROM lexicon""",
     "m5_translate_sentences": f"""WITH {PIECES}, {LEXICON},
