@@ -16,7 +16,7 @@ from lingofold.llm.common import read
 from lingofold.session import stage_table
 
 #: Lattice edges per worker: small, as workers still hold memory of earlier stages.
-KEPT_EDGES = 2_000_000
+KEPT_EDGES = 1_000_000
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
