@@ -26,26 +26,33 @@ BATCH_SIZES = {
     "seamlessm4t_text2text": 36,
 }
 
+#: Models that a worker keeps; the one that was used longest ago goes first.
+KEPT_MODELS = 4
+
 _loaded: dict[str, Callable] = {}
 
 
 def _load_once(token: str, make_fn: Callable) -> Callable:
-    if token not in _loaded:
-        _loaded.clear()
-        _loaded[token] = make_fn()
-    return _loaded[token]
+    found = _loaded.pop(token, None) or make_fn()
+    while len(_loaded) >= KEPT_MODELS:
+        del _loaded[next(iter(_loaded))]
+    _loaded[token] = found
+    return found
 
 
 def _call(fn: Callable, rows: list[dict], stage: str) -> list[tuple[object, dict | None]]:
     """Results and errors of a batch; a failing batch is repeated row by row.
 
-    The message names the kind of failure only, so it cannot carry text of another row.
+    The message names the kind of failure only, so it cannot carry text of another row. A missing
+    module is a fault of the cluster and not of a row: it fails the job.
     """
     try:
         results = fn(rows)
         if len(results) != len(rows):
             raise ValueError("one result per row is required")
         return [(r, None) for r in results]
+    except ImportError:
+        raise
     except Exception as exc:
         if len(rows) == 1:
             error = {"code": INTERNAL, "stage": stage, "message": f"{type(exc).__name__} in model"}
@@ -61,10 +68,13 @@ def predict_batches(
     output_type: str,
     batch_size: int,
     stage: str = "model",
+    model: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Add ``output`` and ``error``: one result per row from ``fn = make_fn()``.
 
-    ``fn`` gets at most ``batch_size`` rows as dictionaries of ``inputs`` and returns a list of
+    ``model`` is the caller's name and version. Workers keep the last ``KEPT_MODELS`` models by it,
+    so jobs of the same name and version, such as the micro-batches of a stream, load once per
+    worker; without it a model lives as long as the job. ``fn`` gets at most ``batch_size`` rows as dictionaries of ``inputs`` and returns a list of
     the same length. Rows that already have an ``error``, or a null input, are not passed on.
     """
     ship_package(df.sparkSession)
@@ -78,7 +88,7 @@ def predict_batches(
         + [T.StructField(output, value_type), T.StructField("error", error_type)]
     )
     arrow_value, arrow_error = to_arrow_type(value_type), to_arrow_type(error_type)
-    token = uuid.uuid4().hex
+    token = "\n".join(model) if model else uuid.uuid4().hex
 
     def run(batches):
         fn = None

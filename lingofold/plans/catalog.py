@@ -926,8 +926,8 @@ def a11_src_effect(spark, sf_dir):
 # --- composite jobs ------------------------------------------------------------------------
 
 
-def q1_translate(spark, sf_dir):
-    docs = _documents(spark, sf_dir).select(
+def _translated(docs: DataFrame, spark, sf_dir) -> DataFrame:
+    rows = docs.select(
         "doc_id",
         F.when(F.col("source") != "src9", F.col("text")).alias("text"),
         _given_source().alias("src_lang"),
@@ -937,27 +937,38 @@ def q1_translate(spark, sf_dir):
             F.array(F.lit(str(REDETECT_THRESHOLD)), _translator_name_q1()),
         ).alias("params"),
     )
-    done = jobs.translate_job(
-        docs, _model(spark, sf_dir), tr.LexiconTranslator(_lexicon(spark, sf_dir)),
+    return jobs.translate_job(
+        rows, _model(spark, sf_dir), tr.LexiconTranslator(_lexicon(spark, sf_dir)),
         _supported(spark), **PER_GRAM,
     )
+
+
+def _translated_digest(done: DataFrame) -> DataFrame:
     return done.select(
         "doc_id", F.md5("translated_text").alias("text_md5"), F.col("error.message").alias("message")
     )
 
 
+def q1_translate(spark, sf_dir):
+    return _translated_digest(_translated(_documents(spark, sf_dir), spark, sf_dir))
+
+
 def _translator_name_q1() -> Column:
     return _by_source(("src5", "unknown"), other=F.lit(codes.DEFAULT_TRANSLATOR))
 
 
-def q2_embed_text(spark, sf_dir):
+def _embedded(docs: DataFrame) -> DataFrame:
     model = _by_source(("src0", "siglip_text"), ("src1", "word2vec"), ("src2", "siglip_text"),
                        other=F.lit(None).cast("string"))
-    rows = _documents(spark, sf_dir).select(
+    rows = docs.select(
         "doc_id", _prefixed().alias("text"),
         F.when(model.isNotNull(), F.create_map(F.lit("embed_model"), model)).alias("params"),
     )
-    return _fingerprint(jobs.embed_text_job(rows), "doc_id")
+    return jobs.embed_text_job(rows)
+
+
+def q2_embed_text(spark, sf_dir):
+    return _fingerprint(_embedded(_documents(spark, sf_dir)), "doc_id")
 
 
 def q4_detect_language(spark, sf_dir):
@@ -1127,6 +1138,44 @@ def t2_stream_segment(spark, sf_dir):
     )
 
 
+def t2_stream_translate(spark, sf_dir):
+    stream = _document_stream(spark, sf_dir)
+    rows = _run_to_table(spark, stream, lambda batch: _translated(spread(batch), spark, sf_dir), "translated")
+    return _translated_digest(rows)
+
+
+def t2_stream_embed(spark, sf_dir):
+    rows = _run_to_table(spark, _document_stream(spark, sf_dir), lambda batch: _embedded(spread(batch)), "embedded")
+    return _fingerprint(rows, "doc_id")
+
+
+def t3_guarded_requests(spark, sf_dir):
+    """The events as requests in three feeds: some come again, some an hour too late.
+
+    The stream is started anew for each feed and goes on from its checkpoint.
+    """
+    path, ok_path, err_path = (shared_path(spark, name) for name in ("requests", "ok", "err"))
+    progress = shared_path(spark, "guard-progress")
+    start = F.timestamp_seconds(F.lit(1_700_000_000))
+    rows = _table(spark, sf_dir, "events").select("event_id", F.pmod("event_id", F.lit(6)).alias("k"))
+
+    def at(hours: Column | int) -> Column:
+        return (start + F.make_dt_interval(hours=hours if isinstance(hours, Column) else F.lit(hours))).alias("ts")
+
+    feed = {
+        0: rows.where("k in (0, 3)").select("event_id", at(0)),
+        1: rows.where("k in (0, 1, 4)").select("event_id", at(1)),
+        2: rows.where("k in (1, 2, 5)").select("event_id", at(F.when(F.col("k") == 2, 0).otherwise(1))),
+    }
+    for part in feed.values():
+        part.write.mode("append").parquet(path)
+        stream = feeds.guard_requests(feeds.stream_table(spark, path, part.schema), ["event_id"], "ts", "10 minutes")
+        feeds.stream_job(stream, lambda batch: batch, feeds.split_sink(ok_path, err_path), progress, idle_batches=False).awaitTermination()
+    ok = spark.read.parquet(ok_path).select("event_id", F.lit(None).cast("string").alias("message"))
+    err = spark.read.parquet(err_path).select("event_id", F.col("error.message").alias("message"))
+    return ok.unionByName(err)
+
+
 def t3_split_sink(spark, sf_dir):
     ok_path, err_path = shared_path(spark, "ok"), shared_path(spark, "err")
 

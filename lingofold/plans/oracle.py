@@ -732,6 +732,10 @@ SELECT iso1 AS lang, count(*) AS n_docs, sum(len({sentences('text', 'iso1')}))::
 ORACLE_SQL["t1_stream_requests"] = ORACLE_SQL["s1_read_requests"]
 ORACLE_SQL["t2_stream_detect"] = ORACLE_SQL["m2_detect_language"]
 ORACLE_SQL["t2_stream_segment"] = ORACLE_SQL["m4_segment"]
+ORACLE_SQL["t2_stream_translate"] = ORACLE_SQL["q1_translate"]
+ORACLE_SQL["t2_stream_embed"] = ORACLE_SQL["q2_embed_text"]
+ORACLE_SQL["t3_guarded_requests"] = """SELECT event_id,
+  CASE WHEN event_id % 6 = 2 THEN 'the request came after the watermark' END AS message FROM events"""
 ORACLE_SQL["t3_split_sink"] = ORACLE_SQL["s7_write_results"]
 # Both approximate searches have to reach the recall, with as many rows as there are neighbours.
 ORACLE_SQL["k3_ann_knn"] = ORACLE_SQL["k3_compressed_knn"] = """

@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
+from lingofold.functions.errors import INVALID_ARG, make_error
 from lingofold.sources.requests import request_schema, split_results, unpack_requests
 
 
+IDLE = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
 def stream_requests(
     spark: SparkSession,
     path: str,
@@ -45,6 +52,72 @@ def stream_table(
     )
 
 
+def _guard(fields: list[T.StructField], time_col: str, keep_ms: int):
+    """State function of one request id: its first row in time passes, later copies do not."""
+    names = [f.name for f in fields]
+
+    def run(key, frames, state):
+        rows = [frame for frame in frames if len(frame)]
+        watermark = state.getCurrentWatermarkMs()
+        if not rows:  # the time to look again is up
+            if state.hasTimedOut and state.exists:
+                if watermark > state.get[0] + keep_ms:
+                    state.remove()
+                else:
+                    state.setTimeoutDuration(max(keep_ms, 1))
+            return
+        whole = pd.concat(rows, ignore_index=True)
+        at = whole[time_col].astype("datetime64[ms]").astype("int64")
+        late = at.isna() | (at < watermark)
+        whole["late"] = late
+        out = whole[late]
+        on_time = whole[~late]
+        if len(on_time) and not state.exists:
+            first = on_time.iloc[[int(at[~late].to_numpy().argmin())]]
+            state.update((int(at[first.index[0]]),))
+            state.setTimeoutDuration(max(keep_ms, 1))
+            out = pd.concat([first, out.iloc[:0]], ignore_index=True)
+        elif state.exists:
+            out = out.iloc[:0]  # copies of a request that has passed
+        yield out[[*names, "late"]].iloc[:1]
+
+    return run
+
+
+def guard_requests(
+    stream: DataFrame, key_cols: list[str], time_col: str, delay: str = "10 minutes", delay_ms: int | None = None
+) -> DataFrame:
+    """``stream`` with every request once and an ``error``: null, or that the request came too late.
+
+    A request whose time lies behind the watermark (the latest time of earlier micro-batches less
+    ``delay``) is an error row. A copy of a request that has passed, on time or late, is dropped while
+    its key is remembered: until the watermark is ``delay`` past it. Of copies in one micro-batch the
+    earliest passes. Rows with a null key share one; a null time is refused beforehand as an error.
+    The keys live in Spark's state store, so they survive a restart from the same checkpoint.
+    """
+    if delay_ms is None:
+        found = stream.sparkSession.sql(
+            f"select cast(unix_millis(timestamp_millis(0) + interval {delay}) as bigint) as ms"
+        ).first()
+        delay_ms = found["ms"]
+    fields = list(stream.schema.fields)
+    out = T.StructType([*fields, T.StructField("late", T.BooleanType())])
+    no_time = stream.where(F.col(time_col).isNull()).withColumn("late", F.lit(None).cast("boolean"))
+    guarded = (
+        stream.where(F.col(time_col).isNotNull())
+        .withWatermark(time_col, delay)
+        .groupBy(*key_cols)
+        .applyInPandasWithState(
+            _guard(fields, time_col, delay_ms), out, T._parse_datatype_string("at long"), "append",
+            GroupStateTimeout.ProcessingTimeTimeout,
+        )
+    )
+    error = F.when(
+        F.col("late").isNull(), make_error(INVALID_ARG, "time", F.lit("missing time"))
+    ).when(F.col("late"), make_error(INVALID_ARG, "time", F.lit("the request came after the watermark")))
+    return guarded.unionByName(no_time).withColumn("error", error).drop("late")
+
+
 def split_sink(ok_path: str, err_path: str) -> Callable[[DataFrame, int], None]:
     """Writer of one micro-batch into two tables, each row into exactly one.
 
@@ -69,11 +142,13 @@ def stream_job(
     checkpoint: str,
     available_now: bool = True,
     interval: str = "10 seconds",
+    idle_batches: bool = True,
 ) -> StreamingQuery:
     """Run a batch job on every micro-batch and hand the rows to ``sink``.
 
     Requests are independent, so the regrouping of sentences stays inside a micro-batch and
-    needs no streaming state.
+    needs no streaming state. State that ends by the clock (``guard_requests``) always asks for
+    another batch: without ``idle_batches`` there are none without data, so the query can end.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -81,7 +156,13 @@ def stream_job(
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return writer.trigger(**trigger).start()
+    conf = stream.sparkSession.conf
+    before = conf.get(IDLE)
+    conf.set(IDLE, str(idle_batches).lower())
+    try:
+        return writer.trigger(**trigger).start()  # the query takes a copy of the settings
+    finally:
+        conf.set(IDLE, before)
 
 
 def stream_latency(

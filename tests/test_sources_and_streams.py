@@ -1,12 +1,17 @@
 import json
+import os
 import struct
 import zlib
+from collections import Counter
+from datetime import datetime
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lingofold.operators import images
+from lingofold.operators.inference import predict_batches
 from lingofold.plans import jobs
 from lingofold.sources import corpora, requests
 from lingofold.sources.images import read_image_dir
@@ -168,3 +173,80 @@ def test_stream_latency_windows(spark, tmp_path):
             feeds.stream_latency(rows, ["service"], "latency", "ts").collect()}
     assert got and all(want[k] == v for k, v in got.items())
     assert len(got) < len(want)
+
+
+def test_repeated_and_late_requests_pass_once(spark, tmp_path):
+    schema = "request_id string, ts timestamp, text string"
+
+    def feed(rows, name):
+        df = spark.createDataFrame([(i, t and datetime.fromisoformat(f"2024-05-01 {t}"), x) for i, t, x in rows], schema)
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    def run():
+        stream = feeds.stream_table(spark, str(tmp_path / "in"), T._parse_datatype_string(schema), pattern="*.parquet")
+        guarded = feeds.guard_requests(stream, ["request_id"], "ts", "5 minutes")
+        sink = feeds.split_sink(str(tmp_path / "ok"), str(tmp_path / "err"))
+        feeds.stream_job(guarded, lambda d: d, sink, str(tmp_path / "cp"), idle_batches=False).awaitTermination()
+
+    def seen():
+        ok = Counter(r.request_id for r in spark.read.parquet(str(tmp_path / "ok")).collect())
+        err = Counter((r.request_id, r.error.message) for r in spark.read.parquet(str(tmp_path / "err")).collect())
+        return ok, err
+
+    late = "the request came after the watermark"
+    feed([("a", "10:00:00", "x"), ("b", "10:00:01", "x"), ("a", "10:00:02", "again"), ("n", None, "x")], "0")
+    run()
+    assert seen() == ({"a": 1, "b": 1}, {("n", "missing time"): 1})
+    feed([("b", "10:00:01", "again"), ("c", "10:30:00", "x")], "1")  # a repeat within the watermark
+    run()  # every run starts anew from the checkpoint
+    assert seen()[0] == {"a": 1, "b": 1, "c": 1}
+    feed([("d", "10:02:00", "x"), ("d", "10:02:00", "x"), ("c", "10:30:00", "again"), ("e", "10:26:00", "x"), ("a", "10:00:00", "x")], "2")
+    run()
+    ok, err = seen()
+    assert ok == {"a": 1, "b": 1, "c": 1, "e": 1}
+    assert err == {("n", "missing time"): 1, ("d", late): 1}
+    run()
+    assert seen() == (ok, err)
+
+
+def test_models_are_loaded_once_per_worker_and_version(spark, tmp_path):
+    log = str(tmp_path / "loads")
+
+    def maker(version):
+        def make():
+            with open(log, "a") as out:
+                out.write(f"{version} {os.getpid()}\n")
+            return lambda rows: [len(r["text"]) for r in rows]
+        return make
+
+    def loads():
+        return [line.split() for line in open(log).read().splitlines()]
+
+    df = spark.createDataFrame([(i, "x" * i) for i in range(40)], "id int, text string")
+    for _ in range(4):  # as the micro-batches of a stream
+        got = predict_batches(df, ["text"], maker("1"), "n", "int", 7, model=("sizes", "1")).collect()
+        assert all(r.n == r.id for r in got)
+    assert len(loads()) == len({pid for _, pid in loads()})
+    predict_batches(df, ["text"], maker("2"), "n", "int", 7, model=("sizes", "2")).collect()
+    assert {v for v, _ in loads()} == {"1", "2"}
+
+    def broken():
+        def run(rows):
+            import no_such_module_here
+            return [no_such_module_here] * len(rows)
+        return run
+
+    with pytest.raises(Exception, match="no_such_module_here"):
+        predict_batches(df, ["text"], broken, "n", "int", 7).collect()
+
+
+def test_streams_of_embedding_equal_batches(spark, tmp_path):
+    rows = [(i, f"query: word{i} and more", {"embed_model": "siglip_text"} if i % 3 == 0 else None) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, params map<string,string>")
+    for i in range(3):
+        docs.where(f"doc_id % 3 = {i}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = feeds.stream_table(spark, str(tmp_path / "in"), docs.schema, max_files_per_trigger=1)
+    sink = feeds.split_sink(str(tmp_path / "ok"), str(tmp_path / "err"))
+    feeds.stream_job(stream, jobs.embed_text_job, sink, str(tmp_path / "cp")).awaitTermination()
+    got = {r.doc_id: r.embedding for r in spark.read.parquet(str(tmp_path / "ok")).collect()}
+    assert got == {r.doc_id: r.embedding for r in jobs.embed_text_job(docs).collect()} and len(got) == 12
