@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+from functools import cache
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -69,37 +74,69 @@ def label_from_path(path: Column) -> Column:
     return F.substring_index(F.substring_index(name, ".", 1), "_", 1)
 
 
-# Four-letter script code -> Java regex property, in tie order.
+# Four-letter codes of the detector's scripts, in tie order, with the Unicode scripts
+# of their letters. Han stands for both Chinese scripts.
 SCRIPTS = {
-    "Latn": "IsLatin",
-    "Cyrl": "IsCyrillic",
-    "Arab": "IsArabic",
-    "Hans": "IsHan",
-    "Hang": "IsHangul",
-    "Jpan": "IsHiragana",
-    "Deva": "IsDevanagari",
-    "Grek": "IsGreek",
-    "Hebr": "IsHebrew",
-    "Thai": "IsThai",
-    "Khmr": "IsKhmer",
-    "Taml": "IsTamil",
-    "Sinh": "IsSinhala",
-    "Beng": "IsBengali",
+    "Latn": "Latin", "Cyrl": "Cyrillic", "Arab": "Arabic", "Hans": "Han", "Hang": "Hangul",
+    "Jpan": "Hiragana Katakana", "Deva": "Devanagari", "Grek": "Greek", "Hebr": "Hebrew", "Thai": "Thai",
+    "Khmr": "Khmer", "Taml": "Tamil", "Sinh": "Sinhala", "Beng": "Bengali", "Armn": "Armenian",
+    "Geor": "Georgian", "Gujr": "Gujarati", "Guru": "Gurmukhi", "Knda": "Kannada", "Laoo": "Lao",
+    "Mlym": "Malayalam", "Mymr": "Myanmar", "Orya": "Oriya", "Telu": "Telugu", "Tibt": "Tibetan",
+    "Ethi": "Ethiopic", "Tfng": "Tifinagh", "Olck": "Ol_Chiki",
 }
+SCRIPT_STEP = 1 << 20
 
 
-def dominant_script(text: Column) -> Column:
-    """Script with the most letters; earlier scripts win ties; null without any letter."""
-    counts = [
-        F.struct(
-            F.regexp_count(text, F.lit(f"\\p{{{prop}}}")).alias("n"),
-            F.lit(-rank).alias("order"),
-            F.lit(code).alias("script"),
-        )
-        for rank, (code, prop) in enumerate(SCRIPTS.items())
+@cache
+def script_ranges() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first code point, last code point, script number) of all stretches of one script, sorted."""
+    import regex
+
+    whole = "".join(chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000)
+    found = [
+        (ord(run[0][0]), ord(run[0][-1]), number)
+        for number, names in enumerate(SCRIPTS.values())
+        for name in names.split()
+        for run in regex.finditer(rf"\p{{Script={name}}}+", whole)
     ]
-    best = F.array_max(F.array(*counts))
-    return F.when(best["n"] > 0, best["script"])
+    return tuple(np.array(c, dtype=np.int64) for c in zip(*sorted(found), strict=True))
+
+
+def _script_finder():
+    first, last, number = script_ranges()
+    codes = pa.array(list(SCRIPTS))
+
+    @F.arrow_udf("string")
+    def find(texts: pa.Array) -> pa.Array:
+        names = []
+        rows = texts.to_pylist()
+        start = 0
+        while start < len(rows):
+            stop, size = start, 0
+            while stop < len(rows) and (stop == start or size + len(rows[stop] or "") <= SCRIPT_STEP):
+                size += len(rows[stop] or "")
+                stop += 1
+            part = [t or "" for t in rows[start:stop]]
+            points = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+            at = np.searchsorted(first, points, side="right") - 1
+            hit = (at >= 0) & (points <= last[at])
+            owner = np.repeat(np.arange(len(part)), [len(t) for t in part])[hit]
+            counts = np.bincount(owner * len(codes) + number[at[hit]], minlength=len(part) * len(codes))
+            counts = counts.reshape(len(part), len(codes))
+            best = counts.argmax(axis=1)  # the first of equal counts
+            names.append(codes.take(pa.array(best, mask=counts.max(axis=1) == 0)))
+            start = stop
+        return pa.concat_arrays(names) if names else pa.array([], pa.string())
+
+    return find
+
+
+def dominant_script(text: Column) -> Column:
+    """Script with the most letters; earlier scripts win ties; null without any letter.
+
+    One pass over the text: all characters of a batch are looked up in a sorted table of ranges.
+    """
+    return _script_finder()(text)
 
 
 def explode_each(df, keys: list, values: Column, name: str):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import struct
 from collections.abc import Callable
 
 import numpy as np
@@ -56,6 +57,31 @@ def pillow_decoder(content: bytes) -> np.ndarray:
     return np.asarray(Image.open(io.BytesIO(content)).convert("RGB"))
 
 
+def bitmap_decoder(content: bytes) -> np.ndarray:
+    """Uncompressed 24-bit or 32-bit bitmap (BMP) -> RGB array, without any library."""
+    if content[:2] != b"BM" or len(content) < 54:
+        raise ValueError("no bitmap")
+    start, _, width, height, _, bits, packing = struct.unpack("<IIiiHHI", content[10:34])
+    if bits not in (24, 32) or packing != 0 or width <= 0 or height == 0:
+        raise ValueError("not an uncompressed bitmap of three colours")
+    line = (width * bits // 8 + 3) // 4 * 4
+    if start + line * abs(height) > len(content):
+        raise ValueError("bitmap is cut off")
+    rows = np.frombuffer(content, np.uint8, line * abs(height), start).reshape(abs(height), line)
+    pixels = rows[:, : width * bits // 8].reshape(abs(height), width, bits // 8)[:, :, 2::-1]
+    return pixels[::-1] if height > 0 else pixels  # rows are stored from the bottom up
+
+
+def bitmap(pixels: np.ndarray) -> bytes:
+    """RGB array (height, width, 3) of bytes -> 24-bit bitmap file."""
+    height, width, _ = pixels.shape
+    line = np.zeros((height, (width * 3 + 3) // 4 * 4), np.uint8)
+    line[:, : width * 3] = pixels[::-1, :, ::-1].reshape(height, width * 3)
+    body = line.tobytes()
+    head = struct.pack("<IHHI", 54 + len(body), 0, 0, 54)
+    return b"BM" + head + struct.pack("<IiiHHIIiiII", 40, width, height, 1, 24, 0, len(body), 0, 0, 0, 0) + body
+
+
 def embed_image_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, label, embedding, error) of the image files below ``path``, decoded by Spark.
 

@@ -8,7 +8,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lingofold.functions.text import BLANKS, words
 from lingofold.session import ship_package, stage_table
 
 from .lookup import lookup_join
@@ -121,6 +120,11 @@ def weighted_mean(df: DataFrame, value: str, weight: str) -> DataFrame:
 
 # Smoothing and orders of chrF2++.
 CHRF_EPSILON = 1e-16
+#: Every character that counts as white space.
+CHRF_BLANKS = (
+    "\t\n\u000b\f\r\u001c\u001d\u001e\u001f \u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 CHRF_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -138,7 +142,8 @@ def chrf_words(text: Column) -> Column:
             .otherwise(F.array(word))
         )
 
-    return F.flatten(F.transform(words(text), split))
+    found = F.split(F.btrim(F.regexp_replace(text, f"[{CHRF_BLANKS}]+", " ")), " ")
+    return F.flatten(F.transform(F.filter(found, lambda w: w != ""), split))
 
 
 def _chrf_counter(char_order: int, word_order: int):
@@ -185,7 +190,7 @@ def chrf_counts(
     sides = []
     for side in (hyp, ref):
         text = F.coalesce(side, F.lit(""))
-        sides += [F.regexp_replace(text, f"[{BLANKS}]+", ""), chrf_words(text)]
+        sides += [F.regexp_replace(text, f"[{CHRF_BLANKS}]+", ""), chrf_words(text)]
     counts = df.select(*groups, _chrf_counter(char_order, word_order)(*sides).alias("c"))
     per_order = F.array(
         *[

@@ -6,20 +6,22 @@ the query derives it from the table with column expressions, row by row.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lingofold.functions import codes, vectors
 from lingofold.functions import text as txt
 from lingofold.functions.errors import INTERNAL, error_if, first_error
-from lingofold.operators import alignment, embed, metrics, options, routing, sampling, sentence_ends, validate
+from lingofold.operators import alignment, embed, images, metrics, options, routing, sampling, sentence_ends, validate
 from lingofold.operators import language_id as lid
 from lingofold.operators import translate as tr
 from lingofold.operators import vector_search as vs
 from lingofold.operators.inference import predict_batches
 from lingofold.operators.segment import sentences
 from lingofold.plans import jobs
-from lingofold.session import shared_path, spread, stage_table
+from lingofold.session import shared_path, ship_package, spread, stage_table
 from lingofold.sources import corpora, requests
 from lingofold.streaming import feeds
 
@@ -307,12 +309,18 @@ def p12_corpus_code(spark, sf_dir):
     return _documents(spark, sf_dir).select("doc_id", codes.corpus_code(lang).alias("code"))
 
 
+#: Letters of other scripts that take the place of frequent Latin ones, by source.
+LETTERS = {
+    "src1": "абвгд", "src2": "ابتثج", "src3": "的一是不了", "src4": "가나다라마", "src5": "あいうカキ", "src6": "अआइईउ",
+    "src7": "αβγδε", "src8": "אבגדה", "src9": "กขคงจ", "src10": "აბგდე", "src11": "ԱԲԳԴԵ",
+}
+
+
 def p13_dominant_script(spark, sf_dir):
-    text = (
-        F.when(F.col("lang") == "de", F.translate("text", "abcdefghinorst", "абвгдежзиклмнп"))
-        .when(F.col("lang") == "es", F.translate("text", "aeiounr", "가나다라마바사"))
-        .otherwise(F.col("text"))
-    )
+    text = F.col("text")
+    for source, letters in LETTERS.items():
+        moved = F.translate("text", "aeiorntshlud", (letters * 3)[:12])
+        text = F.when(F.col("source") == source, moved).otherwise(text)
     return _documents(spark, sf_dir).select("doc_id", txt.dominant_script(text).alias("script"))
 
 
@@ -636,6 +644,46 @@ def m11_embed_caption(spark, sf_dir):
     return _fingerprint(embed.embed_with(rows, embed.CAPTION_ENCODER), "doc_id")
 
 
+def _bitmaps(spark, sf_dir) -> DataFrame:
+    """(vec_id, content): each vector as the gray levels of an image of eight by eight, as a bitmap."""
+
+    @F.arrow_udf("binary")
+    def draw(lists: pa.Array) -> pa.Array:
+        out = []
+        for vector in lists.to_pylist():
+            level = np.floor(np.clip(np.array(vector[:64], np.float64), -1, 1) * 127 + 128).astype(np.uint8).reshape(8, 8)
+            out.append(images.bitmap(np.stack([level, 255 - level, level // 2], axis=2)))
+        return pa.array(out, pa.binary())
+
+    ship_package(spark)
+    rows = _table(spark, sf_dir, "embeddings")
+    return rows.select("vec_id", draw(F.col("embedding").cast("array<double>")).alias("content"))
+
+
+def m12_embed_image(spark, sf_dir):
+    rows = _bitmaps(spark, sf_dir).select(
+        "vec_id", F.when(F.col("vec_id") % 10 == 3, F.lit(b"BMx")).otherwise(F.col("content")).alias("content"),
+        F.lit(False).alias("base64_encoded"), F.lit("siglip_vision").alias("embed_model"),
+    )
+    return _fingerprint(images.embed_images(rows, images.bitmap_decoder), "vec_id")
+
+
+def q3_embed_image(spark, sf_dir):
+    """Every other image as base64; some are cut off, some no base64, some name an unknown model."""
+    k = F.col("vec_id") % 10
+    content = F.col("content")
+    encoded = F.base64("content").cast("binary")
+    rows = _bitmaps(spark, sf_dir).select(
+        "vec_id",
+        F.when(k == 3, F.substr(content, F.lit(1), F.lit(60))).when(k == 5, F.lit(b"!!!"))
+        .when(k % 2 == 1, encoded).otherwise(content).alias("content"),
+        F.when(k == 3, F.lit(None).cast("map<string,string>"))
+        .when(k == 8, F.create_map(F.lit("embed_model"), F.lit("other")))
+        .when(k % 2 == 1, F.create_map(F.lit("base64_encoded"), F.lit("true"))).alias("params"),
+    )
+    return _fingerprint(jobs.embed_image_job(rows, "vec_id", images.bitmap_decoder), "vec_id")
+
+
 def m13_predict_batches(spark, sf_dir):
     def make():
         vowels = set("aeiou")
@@ -1192,16 +1240,30 @@ def t3_split_sink(spark, sf_dir):
     return ok.unionByName(err)
 
 
-def t4_latency_windows(spark, sf_dir):
-    report = feeds.stream_latency(
-        _table(spark, sf_dir, "events"), ["event_type"], "value", "ts", window="1 day"
-    )
+def _latency_rows(report: DataFrame) -> DataFrame:
     return report.select(
         F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type", "n",
         F.round("mean", 6).alias("mean"), "max", "p50", "p90", "p95", "p99",
     )
 
 
+def t4_latency_windows(spark, sf_dir):
+    """The batch twin of ``t4_stream_latency``."""
+    return _latency_rows(
+        feeds.stream_latency(_table(spark, sf_dir, "events"), ["event_type"], "value", "ts", window="1 day")
+    )
+
+
+def t4_stream_latency(spark, sf_dir):
+    """Windows of a stream of events, all of them written anew after every micro-batch."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    stream = feeds.stream_table(spark, sf_dir, schema, pattern="events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    report = feeds.stream_latency(stream, ["event_type"], "value", "ts", window="1 day")
+    path = shared_path(spark, "latency")
+    feeds.write_windows(report, path, shared_path(spark, "latency-progress")).awaitTermination()
+    return _latency_rows(spark.read.parquet(path))
+
+
 QUERIES = {
     name: fn
     for name, fn in list(globals().items())

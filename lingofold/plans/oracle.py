@@ -5,7 +5,7 @@ Only fixed values (word lists, limits, prompts, patterns) are shared with the pa
 
 from __future__ import annotations
 
-from lingofold.functions.text import CAPTION_PROMPT, SCRIPTS
+from lingofold.functions.text import CAPTION_PROMPT
 from lingofold.operators import segment as seg
 from lingofold.operators.metrics import CHRF_PUNCTUATION
 
@@ -419,6 +419,38 @@ def q8_run(name: str, given: str) -> str:
 {name} AS (WITH {chrf(f"{name}_pairs", "batch, part", "lang", 12)})"""
 
 
+#: Scripts in tie order, as the detector's labels name them.
+SCRIPT_ORDER = [
+    pair.split(":") for pair in (
+        "Latn:Latin,Cyrl:Cyrillic,Arab:Arabic,Hans:Han,Hang:Hangul,Jpan:Hiragana Katakana,Deva:Devanagari,Grek:Greek,"
+        "Hebr:Hebrew,Thai:Thai,Khmr:Khmer,Taml:Tamil,Sinh:Sinhala,Beng:Bengali,Armn:Armenian,Geor:Georgian,Gujr:Gujarati,"
+        "Guru:Gurmukhi,Knda:Kannada,Laoo:Lao,Mlym:Malayalam,Mymr:Myanmar,Orya:Oriya,Telu:Telugu,Tibt:Tibetan,Ethi:Ethiopic,"
+        "Tfng:Tifinagh,Olck:Ol_Chiki"
+    ).split(",")
+]
+#: First letters of some of them, for the documents of each source.
+SCRIPT_LETTERS = dict(zip(
+    [f"src{i}" for i in range(12)],
+    ["", "абвгд", "ابتثج", "的一是不了", "가나다라마", "あいうカキ", "अआइईउ", "αβγδε", "אבגדה", "กขคงจ", "აბგდე", "ԱԲԳԴԵ"], strict=True,
+))
+SCRIPT_TEXT = "(CASE source " + " ".join(
+    f"WHEN '{source}' THEN translate(text, 'aeiorntshlud', '{(letters * 3)[:12]}')" for source, letters in SCRIPT_LETTERS.items() if letters
+) + " ELSE text END)"
+
+
+def image_rows(stage: str) -> str:
+    """Query (vec_id, n_dims, n_nonzero, ramp, error_stage) of the images drawn from the vectors."""
+    return f"""WITH e AS (SELECT vec_id, embedding, {stage} AS error_stage FROM embeddings),
+px AS (SELECT vec_id, i, floor(greatest(least(embedding[i + 1]::DOUBLE, 1), -1) * 127 + 128)::INTEGER AS p
+  FROM (SELECT vec_id, embedding, unnest(range(64)) AS i FROM e WHERE error_stage IS NULL)),
+ch AS (SELECT vec_id, i // 8 AS y, i % 8 AS x, unnest([0, 1, 2]) AS c, unnest([p, 255 - p, p // 2]) AS p FROM px),
+grid AS (SELECT vec_id, c * 384 + r * 24 + g AS dim, (p / 127.5::DOUBLE - 1)::FLOAT::DOUBLE AS v
+  FROM ch JOIN (SELECT unnest(range(16)) AS r) ON r * 8 // 16 = y JOIN (SELECT unnest(range(24)) AS g) ON g * 8 // 24 = x),
+f AS (SELECT vec_id, count(*)::INTEGER AS n_dims, count(*) FILTER (v <> 0)::INTEGER AS n_nonzero,
+        {plain_zero('round(sum(v * (dim + 1)) / count(*), 5)')} AS ramp FROM grid GROUP BY vec_id)
+SELECT e.vec_id, n_dims, n_nonzero, ramp, error_stage FROM e LEFT JOIN f USING (vec_id)"""
+
+
 Q1_SOURCE = (
     "CASE WHEN source = 'src9' THEN 'missing text' WHEN source = 'src5' THEN "
     "'unknown model unknown, known: nllb, seamlessm4t_text2text' END"
@@ -465,12 +497,10 @@ SELECT doc_id, code, CASE code WHEN 'ary' THEN 'ar' WHEN 'prs' THEN 'fa' WHEN 'y
     "p11_label_from_path": "SELECT doc_id, source AS label FROM documents",
     "p12_corpus_code": f"""SELECT doc_id, {by_source([('src0', 'zho_Hant'), ('src1', 'zho_Hans')], LABEL3)} AS code
   FROM documents""",
-    "p13_dominant_script": f"""WITH t AS (SELECT doc_id, CASE lang
-    WHEN 'de' THEN translate(text, 'abcdefghinorst', 'абвгдежзиклмнп')
-    WHEN 'es' THEN translate(text, 'aeiounr', '가나다라마바사') ELSE text END AS t FROM documents),
+    "p13_dominant_script": f"""WITH t AS (SELECT doc_id, {SCRIPT_TEXT} AS t FROM documents),
 c AS (SELECT doc_id, unnest([{', '.join(
-    "{'n': len(regexp_extract_all(t, '" + chr(92) + "p{" + p.removeprefix('Is') + "}')), 'r': "
-    + str(r) + ", 's': '" + s + "'}" for r, (s, p) in enumerate(SCRIPTS.items()))}]) AS e FROM t)
+    "{'n': len(regexp_extract_all(t, '[" + "".join(chr(92) + "p{" + n + "}" for n in names.split()) + "]')), 'r': "
+    + str(r) + ", 's': '" + code + "'}" for r, (code, names) in enumerate(SCRIPT_ORDER))}]) AS e FROM t)
 SELECT doc_id, CASE WHEN max(e.n) > 0 THEN arg_max(e.s, e.n * 100 - e.r) END AS script FROM c GROUP BY doc_id""",
     "v1_require": """SELECT doc_id, CASE WHEN source IN ('src1', 'src2') THEN 'INVALID_ARG' END AS error_code,
   CASE source WHEN 'src1' THEN 'missing text' WHEN 'src2' THEN 'missing lang' END AS message FROM documents""",
@@ -574,6 +604,9 @@ SELECT c.doc_id, n_dims, n_nonzero, ramp, error_stage FROM c LEFT JOIN ({fingerp
 ok AS (SELECT * FROM c WHERE error_stage IS NULL),
 {hashed('h', 'ok', 'doc_id', 'text', 1152, False, False)}
 SELECT c.doc_id, n_dims, n_nonzero, ramp, error_stage FROM c LEFT JOIN ({fingerprints('h', 1152)}) f ON f.k = c.doc_id""",
+    "m12_embed_image": image_rows("CASE WHEN vec_id % 10 = 3 THEN 'image' END"),
+    "q3_embed_image": image_rows(
+        "CASE vec_id % 10 WHEN 3 THEN 'image' WHEN 5 THEN 'base64' WHEN 8 THEN 'model' END"),
     "m13_predict_batches": """SELECT doc_id, len(regexp_extract_all(text, '[aeiou]')) AS n_vowels,
   CAST(NULL AS VARCHAR) AS error_code FROM documents""",
     "k1_similarity": f"""WITH {SIDES}
@@ -732,6 +765,7 @@ SELECT iso1 AS lang, count(*) AS n_docs, sum(len({sentences('text', 'iso1')}))::
 ORACLE_SQL["t1_stream_requests"] = ORACLE_SQL["s1_read_requests"]
 ORACLE_SQL["t2_stream_detect"] = ORACLE_SQL["m2_detect_language"]
 ORACLE_SQL["t2_stream_segment"] = ORACLE_SQL["m4_segment"]
+ORACLE_SQL["t4_stream_latency"] = ORACLE_SQL["t4_latency_windows"]
 ORACLE_SQL["t2_stream_translate"] = ORACLE_SQL["q1_translate"]
 ORACLE_SQL["t2_stream_embed"] = ORACLE_SQL["q2_embed_text"]
 ORACLE_SQL["t3_guarded_requests"] = """SELECT event_id,

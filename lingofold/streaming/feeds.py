@@ -192,3 +192,14 @@ def stream_latency(
         *keys, "n", "mean", "max",
         *[F.get("ranks", F.lit(i)).alias(f"p{round(p * 100)}") for i, p in enumerate(probs)],
     )
+
+
+def write_windows(report: DataFrame, path: str, checkpoint: str, available_now: bool = True, interval: str = "10 seconds") -> StreamingQuery:
+    """Keep the table ``path`` at the windows of ``stream_latency``: all of them after each micro-batch."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(path)
+
+    writer = report.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    return writer.trigger(**trigger).start()

@@ -61,12 +61,29 @@ def test_text(spark):
 
 @pytest.mark.parametrize("value, want", [
     ("hello", "Latn"), ("привет", "Cyrl"), ("日本", "Hans"), ("한국어", "Hang"), ("123", None),
-    ("aб", "Latn"),
+    ("aб", "Latn"), ("カタカナ語", "Jpan"), ("ગુજરાતી", "Gujr"), ("ქართული", "Geor"), ("", None), ("ᱚᱞ 𐐀", "Olck"),
 ])
 def test_dominant_script(spark, value, want):
     assert one(spark, text.dominant_script(F.lit(value))) == want
 
 
+def test_scripts_equal_patterns(spark, monkeypatch):
+    import random
+
+    import regex
+
+    pick = random.Random(4)
+    letters = [chr(pick.choice([pick.randrange(32, 0x3000), pick.randrange(0x10000)])) for _ in range(4000)]
+    rows = ["".join(pick.choices(letters, k=pick.randrange(40))).encode("utf-8", "ignore").decode() for _ in range(300)] + [None]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string").select(
+        "i", text.dominant_script(F.col("t")).alias("s")).collect()
+    for r in got:
+        counts = [len(regex.findall("|".join(rf"\p{{Script={n}}}" for n in names.split()), rows[r.i] or ""))
+                  for names in text.SCRIPTS.values()]
+        want = list(text.SCRIPTS)[counts.index(max(counts))] if max(counts) else None
+        assert r.s == want
+
+
 def test_decode(spark):
     df = spark.createDataFrame([(bytearray(b"ab\xc3\xa9"),), (bytearray(b"\xff\x41"),), (None,)], "b binary")
     value, error = text.decode_text(F.col("b"))

@@ -175,6 +175,33 @@ def test_stream_latency_windows(spark, tmp_path):
     assert len(got) < len(want)
 
 
+def test_bitmaps(spark):
+    random = np.random.default_rng(2)
+    for shape in ((1, 1, 3), (5, 7, 3), (16, 24, 3)):
+        pixels = random.integers(0, 256, shape).astype(np.uint8)
+        raw = images.bitmap(pixels)
+        assert (images.bitmap_decoder(raw) == pixels).all()
+        for bad in (raw[:-1], raw[:20], b"", b"PN" + raw[2:]):
+            with pytest.raises(ValueError):
+                images.bitmap_decoder(bad)
+    top_down = bytearray(raw)
+    top_down[22:26] = struct.pack("<i", -16)
+    assert (images.bitmap_decoder(bytes(top_down)) == pixels[::-1]).all()
+
+
+def test_bitmap_files_and_columns_give_the_same_vectors(spark, tmp_path):
+    random = np.random.default_rng(3)
+    rows = []
+    for i in range(3):
+        raw = images.bitmap(random.integers(0, 256, (20, 30, 3)).astype(np.uint8))
+        (tmp_path / f"n0{i}_1.bmp").write_bytes(raw)
+        rows.append((f"n0{i}", bytearray(raw)))
+    files = {r.label: r.embedding for r in images.embed_image_files(spark, str(tmp_path)).collect()}
+    columns = spark.createDataFrame(rows, "image_id string, content binary")
+    got = {r.image_id: r.embedding for r in jobs.embed_image_job(columns, decoder=images.bitmap_decoder).collect()}
+    assert got == files and len(got) == 3
+
+
 def test_repeated_and_late_requests_pass_once(spark, tmp_path):
     schema = "request_id string, ts timestamp, text string"
 
