@@ -7,10 +7,11 @@ from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lingofold.functions.errors import ERROR_TYPE, INTERNAL
+from lingofold.functions.errors import ERROR_TYPE, INTERNAL, INVALID_ARG, error_if, first_error
 from lingofold.session import ship_package
 
 # Rows per model call of each service.
@@ -113,3 +114,46 @@ def predict_batches(
             )
 
     return rows.mapInArrow(run, schema)
+
+
+def dispatch_batches(
+    df: DataFrame,
+    inputs: list[str],
+    model_col: str,
+    registry: dict[str, Callable[[], Callable[[list[dict]], list]]],
+    output: str,
+    output_type: str,
+    batch_size: int,
+    stage: str = "model",
+    version: str | None = None,
+) -> DataFrame:
+    """``predict_batches`` with the model that each row names, in one pass over the rows.
+
+    Every batch is split by ``model_col`` and put together again. Models are loaded when a row first
+    asks for them. A row that names no model of ``registry`` is an error. ``version`` keeps the
+    loaded models across jobs.
+    """
+    known = error_if(
+        ~F.coalesce(F.col(model_col).isin(*registry), F.lit(False)), INVALID_ARG, stage,
+        F.concat(F.lit("unknown model "), F.coalesce(F.col(model_col), F.lit("null"))),
+    )
+    earlier = [F.col("error")] if "error" in df.columns else []
+    rows = df.withColumn("error", first_error(*earlier, known))
+
+    def make() -> Callable:
+        loaded: dict[str, Callable] = {}
+
+        def run(batch: list[dict]) -> list:
+            out: list = [None] * len(batch)
+            for name in dict.fromkeys(row[model_col] for row in batch):
+                own = [i for i, row in enumerate(batch) if row[model_col] == name]
+                if name not in loaded:
+                    loaded[name] = registry[name]()
+                for i, result in zip(own, loaded[name]([batch[i] for i in own]), strict=True):
+                    out[i] = result
+            return out
+
+        return run
+
+    name = ("dispatch:" + ",".join(sorted(registry)), version) if version else None
+    return predict_batches(rows, [*inputs, model_col], make, output, output_type, batch_size, stage, name)

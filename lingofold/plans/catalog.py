@@ -6,6 +6,8 @@ the query derives it from the table with column expressions, row by row.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +20,7 @@ from lingofold.operators import alignment, embed, images, metrics, options, rout
 from lingofold.operators import language_id as lid
 from lingofold.operators import translate as tr
 from lingofold.operators import vector_search as vs
-from lingofold.operators.inference import predict_batches
+from lingofold.operators.inference import dispatch_batches, predict_batches
 from lingofold.operators.segment import sentences
 from lingofold.plans import jobs
 from lingofold.session import shared_path, ship_package, spread, stage_table
@@ -480,14 +482,12 @@ def d6_dispatch(spark, sf_dir):
     rows = _documents(spark, sf_dir).select(
         "doc_id", "text", F.when(F.col("lang") == "en", "words").otherwise("chars").alias("model")
     )
-    return routing.dispatch(
-        rows,
-        "model",
-        {
-            "words": lambda d: d.select("doc_id", "model", F.size(txt.words(F.col("text"))).alias("n")),
-            "chars": lambda d: d.select("doc_id", "model", F.length("text").alias("n")),
-        },
-    )
+    registry = {
+        "words": lambda: lambda batch: [len(re.findall(f"[^{txt.BLANKS}]+", r["text"])) for r in batch],
+        "chars": lambda: lambda batch: [len(r["text"]) for r in batch],
+    }
+    done = dispatch_batches(rows, ["text"], "model", registry, "n", "int", 60)
+    return done.select("doc_id", "model", "n")
 
 
 # --- model jobs ----------------------------------------------------------------------------

@@ -8,6 +8,7 @@ from functools import partial
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lingofold.functions.codes import (
     DEFAULT_TARGETS,
@@ -19,7 +20,14 @@ from lingofold.functions.codes import (
     to_iso1,
 )
 from lingofold.functions.errors import first_error
-from lingofold.functions.text import CAPTION_PROMPT, PASSAGE_PROMPT, QUERY_PROMPT, prompt, words
+from lingofold.functions.text import (
+    CAPTION_PROMPT,
+    PASSAGE_PROMPT,
+    QUERY_PROMPT,
+    decode_text,
+    prompt,
+    words,
+)
 from lingofold.operators import embed, metrics, validate
 from lingofold.operators.images import embed_image_files, embed_images, pillow_decoder
 from lingofold.operators.language_id import LanguageModel, detect_languages
@@ -60,20 +68,20 @@ def detect_language_job(
 ) -> DataFrame:
     """(key, lang[], script[], prob[], error); options ``top_k`` and ``threshold`` per row."""
     rows = with_options(df, DETECT_DEFAULTS)
-    rows = rows.withColumn("error", first_error(validate.require("text"), F.col("option_error")))
-    good = rows.filter("error is null").select(key, "text", "top_k", "threshold")
+    rows = rows.withColumn("row_error", first_error(validate.require("text"), F.col("option_error")))
+    # refused rows go along without their text, so that the texts are read once
+    asked = rows.select(
+        key, F.when(F.col("row_error").isNull(), F.col("text")).alias("text"), "top_k", "threshold", "row_error"
+    )
     found = detect_languages(
-        good, model, [key], top_k=F.col("top_k"), threshold=F.col("threshold"),
-        carry=["top_k", "threshold"], **detect_options,
-    ).drop("top_k", "threshold")
-    bad = rows.filter("error is not null").select(
-        key,
-        F.lit(None).cast("array<string>").alias("lang"),
-        F.lit(None).cast("array<string>").alias("script"),
-        F.lit(None).cast("array<double>").alias("prob"),
-        "error",
+        asked, model, [key], top_k=F.col("top_k"), threshold=F.col("threshold"),
+        carry=["top_k", "threshold", "row_error"], **detect_options,
+    )
+    good = F.col("row_error").isNull()
+    return found.select(
+        key, *[F.when(good, F.col(c)).alias(c) for c in ("lang", "script", "prob")],
+        F.coalesce("row_error", "error").alias("error"),
     )
-    return found.unionByName(bad)
 
 
 def segment_job(
@@ -161,24 +169,19 @@ def translate_job(
 
 
 def embed_text_job(df: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, embed_model, embedding, error); the row's ``embed_model`` picks the encoder."""
+    """(key, embed_model, embedding, error); the row's ``embed_model`` picks the encoder.
+
+    The texts are read once; a text given as bytes is decoded, and no UTF-8 is a row error.
+    """
     rows = with_options(df, EMBED_TEXT_DEFAULTS)
-    rows = rows.withColumn(
-        "error",
-        first_error(
-            F.col("option_error"),
-            validate.require_model(F.col("embed_model"), tuple(embed.ENCODERS)),
-        ),
-    ).select(key, "text", "embed_model", "error")
-    jobs = {
-        name: (lambda part, e=encoder: embed.embed_with(part, e).select(
-            key, "embed_model", "embedding", "error"))
-        for name, encoder in embed.ENCODERS.items()
-    }
-    unknown = rows.filter("error is not null").select(
-        key, "embed_model", F.lit(None).cast("array<float>").alias("embedding"), "error"
-    )
-    return dispatch(rows.filter("error is null"), "embed_model", jobs).unionByName(unknown)
+    errors = [F.col("option_error"), validate.require_model(F.col("embed_model"), tuple(embed.ENCODERS))]
+    if isinstance(df.schema["text"].dataType, T.BinaryType):
+        text, wrong = decode_text(F.col("text"))
+        rows = rows.withColumn("error", first_error(*errors, wrong)).withColumn("text", text)
+    else:
+        rows = rows.withColumn("error", first_error(*errors))
+    rows = rows.select(key, "text", "embed_model", "error")
+    return embed.embed_by_name(rows, embed.ENCODERS, "embed_model").select(key, "embed_model", "embedding", "error")
 
 
 def embed_image_job(

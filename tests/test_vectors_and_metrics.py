@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lingofold.operators import embed, lookup, metrics, sampling
 from lingofold.operators import vector_search as vs
+from lingofold.operators.inference import dispatch_batches
 from lingofold.plans import jobs
 
 
@@ -265,6 +266,34 @@ def test_masked_mean(spark):
     assert got[2].mean is None and got[2].error.code == "INVALID_ARG"
 
 
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation")
+
+
+def test_texts_are_read_once_whatever_the_models(spark, tmp_path):
+    rows = [(i, f"query: w{i} x", {"embed_model": ("siglip_text", "multilingual_e5_large", "other")[i % 3]}) for i in range(30)]
+    spark.createDataFrame(rows, "doc_id int, text string, params map<string,string>").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    done = jobs.embed_text_job(docs)
+    assert scans(done) == 1
+    got = {r.doc_id: r for r in done.collect()}
+    for name, encoder in embed.ENCODERS.items():
+        own = docs.where(f"params['embed_model'] = '{name}'")
+        want = {r.doc_id: r.embedding for r in embed.embed_with(own, encoder).collect()}
+        assert want and all(got[i].embedding == v for i, v in want.items())
+    assert all(got[i].error.stage == "model" and got[i].embedding is None for i in range(2, 30, 3))
+    raw = docs.withColumn("text", F.col("text").cast("binary"))
+    assert sorted(map(str, jobs.embed_text_job(raw).collect())) == sorted(map(str, got.values()))
+    bad = spark.createDataFrame([(1, bytearray(b"query: \xff"))], "doc_id int, text binary")
+    assert jobs.embed_text_job(bad).first().error.stage == "decode"
+    registry = {"a": lambda: lambda batch: [r["text"] + "a" for r in batch], "b": lambda: lambda batch: [r["text"] + "b" for r in batch]}
+    named = docs.select("doc_id", "text", F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), F.col("doc_id") % 3 + 1).alias("m"))
+    out = dispatch_batches(named, ["text"], "m", registry, "t", "string", 7)
+    assert scans(out) == 1
+    for r in out.collect():
+        assert r.t == (f"query: w{r.doc_id} x{r.m}" if r.m != "c" else None) and (r.error is None) == (r.m != "c")
+
+
 def test_embed_text_job(spark):
     rows = [
         (1, "query: hello world", None), (2, "hello world", None),
