@@ -290,10 +290,25 @@ def src_effect(
     )
 
 
-def _place(value: Column, low: Column, high: Column, buckets: int) -> Column:
-    width = high - low
-    share = F.when(width > 0, (value - low) / width).otherwise(F.lit(0.0))
-    return F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("int")
+#: Quantile sketches: their size, and twice the rank error that they keep to in 99 of 100 cases.
+SKETCH_SIZE = 4096
+SKETCH_ERROR = 0.0026
+#: Quantiles taken from a sketch.
+GRID = 1000
+#: Rows of a span whose values are ordered by one task.
+SMALL_SPAN = 200_000
+MOST_LEVELS = 12
+
+
+def _in_spans(rows: DataFrame, spans: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:
+    """(keys, low, high, extra, v): every value with the spans of its group that hold it."""
+    names = ["low", "high", *extra]
+    lists = spans.select(*keys, *names).distinct().groupBy(*keys).agg(
+        F.collect_list(F.struct(*names)).alias("spans")  # two per wanted rank at the most
+    )
+    met = lookup_join(rows, lists, keys, "inner", salt_by=["v"])
+    held = F.filter("spans", lambda x: (F.col("v") >= x["low"]) & (F.col("v") <= x["high"]))
+    return met.select(*keys, "v", F.explode(held).alias("s")).select(*keys, *[f"s.{n}" for n in names], "v")
 
 
 def exact_percentiles(
@@ -301,74 +316,77 @@ def exact_percentiles(
     keys: list[str],
     value_col: str,
     probs: list[float],
-    buckets: int = 4096,
-    levels: int = 2,
+    sketch_size: int = SKETCH_SIZE,
+    small: int = SMALL_SPAN,
+    error: float = SKETCH_ERROR,
 ) -> DataFrame:
     """(keys, prob, value): exact interpolated percentiles without gathering a group.
 
-    Each level counts the values in equal buckets (counts combine before the shuffle) and keeps
-    the buckets that hold a wanted rank. Only the distinct values of the last, narrow buckets are
-    ordered. A group of any size is thus read by all tasks.
+    Mergeable quantile sketches of each group bound the wanted ranks by two values of the column,
+    whatever its distribution. Exact counts confirm that the rank lies between them (else the wider
+    span stays), and spans with more than ``small`` rows are sketched again. Only the distinct values
+    of small spans are ordered. A group of any size is thus read by all tasks.
     """
     rows = df.select(*keys, F.col(value_col).cast("double").alias("v")).filter("v is not null")
-    spans = stage_table(
-        rows.groupBy(*keys).agg(
-            F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("n")
-        ),
-        "spans",
+    whole = rows.groupBy(*keys).agg(
+        F.min("v").alias("low"), F.max("v").alias("high"), F.count("v").alias("inside")
     )
-    place = (F.col("n") - 1) * F.col("prob")
-    wanted = (
-        spans.select(*keys, "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
-        .select(*keys, "prob", place.alias("place"))
-        .select(
-            *keys, "prob", "place", F.lit(0).cast("bigint").alias("before"),
-            F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place")))).alias("rank"),
-        )
+    place = (F.col("inside") - 1) * F.col("prob")
+    wanted = stage_table(
+        whole.select("*", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
+        .withColumn("place", place)
+        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place")))))
+        .withColumn("before", F.lit(0).cast("bigint")),
+        "ranks",
     )
-    rows = lookup_join(rows, spans.select(*keys, "low", "high"), keys, "inner", salt_by=["v"])
-    outer: list[str] = []
-    for level in range(levels):
-        inner = f"b{level}"
-        rows = rows.withColumn(
-            inner, _place(F.col("v"), F.col("low"), F.col("high"), buckets)
-        ).drop("low", "high")
-        counts = rows.groupBy(*keys, *outer, inner).agg(
-            F.count(F.lit(1)).alias("c"), F.min("v").alias("low"), F.max("v").alias("high")
-        )
-        wanted = stage_table(_locate(wanted, counts, [*keys, *outer], inner), "ranks")
-        outer.append(inner)
-        found = wanted.select(*keys, *outer, "low", "high").distinct()
-        rows = lookup_join(rows, found, [*keys, *outer], "inner", salt_by=["v"])
-        wanted = wanted.drop("low", "high")
-    values = rows.groupBy(*keys, *outer, "v").agg(
-        F.count(F.lit(1)).alias("c"), F.min("v").alias("low"), F.max("v").alias("high")
+    for _ in range(MOST_LEVELS):
+        wide = wanted.where((F.col("inside") > small) & (F.col("low") < F.col("high")))
+        if wide.isEmpty():
+            break
+        closer = _closer(rows, wide, keys, sketch_size, error)
+        kept = wanted.where((F.col("inside") <= small) | (F.col("low") >= F.col("high")))
+        wanted = stage_table(kept.unionByName(closer), "ranks")
+    values = _in_spans(rows, wanted, keys, []).groupBy(*keys, "low", "high", "v").agg(F.count(F.lit(1)).alias("c"))
+    running = F.sum("c").over(Window.partitionBy(*keys, "low", "high").orderBy("v"))
+    placed = values.withColumn("upto", running).withColumn("from", F.col("upto") - F.col("c"))
+    offset = F.col("rank") - F.col("before")
+    found = wanted.join(placed, [*keys, "low", "high"]).filter((offset >= F.col("from")) & (offset < F.col("upto")))
+    upper = F.col("place") - F.floor("place")
+    share = F.when(F.col("rank") == F.floor("place"), 1 - upper).otherwise(upper)
+    return found.groupBy(*keys, "prob").agg(F.sum(F.col("v") * share).alias("value"))
+
+
+def _closer(rows: DataFrame, wide: DataFrame, keys: list[str], sketch_size: int, error: float) -> DataFrame:
+    """``wide`` with narrower spans from sketches of the values in them, confirmed by counts."""
+    span = [*keys, "low", "high"]
+    steps = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    sketch = F.kll_sketch_agg_double("v", F.lit(sketch_size))
+    sketches = _in_spans(rows, wide, keys, []).groupBy(*span).agg(sketch.alias("sketch")).select(
+        *span, F.kll_sketch_get_quantile_double("sketch", steps).alias("grid")
     )
-    share = F.when(F.col("rank") == F.floor("place"), 1 - (F.col("place") - F.floor("place")))
-    share = share.otherwise(F.col("place") - F.floor("place"))
-    return (
-        _locate(wanted, values, [*keys, *outer], "v")
-        .groupBy(*keys, "prob")
-        .agg(F.sum(F.col("low") * share).alias("value"))
+    rank, n = F.col("rank") - F.col("before"), F.col("inside")
+    slack = F.ceil(n * error)
+    least = F.get("grid", F.floor(F.greatest(rank - slack, F.lit(0)) / n * GRID).cast("int"))
+    most = F.get("grid", F.ceil(F.least(rank + slack + 1, n) / n * GRID).cast("int"))
+    bounds = stage_table(
+        wide.join(sketches, span)
+        .withColumn("least", F.when(rank - slack <= 0, F.col("low")).otherwise(F.greatest(least, F.col("low"))))
+        .withColumn("most", F.when(rank + slack + 1 >= n, F.col("high")).otherwise(F.least(most, F.col("high"))))
+        .drop("grid"),
+        "rank-bounds",
     )
-
-
-def _locate(wanted: DataFrame, counts: DataFrame, within: list[str], bucket: str) -> DataFrame:
-    """Replace ``before`` of each wanted rank by the count before its bucket, and name the bucket.
-
-    The window holds the buckets of one searched interval: bounded by the number of buckets, or
-    on the last level by the distinct values of one narrow bucket.
-    """
-    order = Window.partitionBy(*within).orderBy(bucket)
-    running = counts.withColumn("upto", F.sum("c").over(order)).withColumn(
-        "from", F.col("upto") - F.col("c")
+    counts = _in_spans(rows, bounds, keys, ["least", "most"]).groupBy(*span, "least", "most").agg(
+        F.count_if(F.col("v") < F.col("least")).alias("below"),
+        F.count_if(F.col("v").between(F.col("least"), F.col("most"))).alias("between"),
     )
-    place = F.col("rank") - F.col("before")
-    return (
-        wanted.join(running, within)
-        .filter((place >= F.col("from")) & (place < F.col("upto")))
-        .withColumn("before", F.col("before") + F.col("from"))
-        .drop("c", "upto", "from")
+    joined = bounds.join(counts, [*span, "least", "most"])
+    good = (rank >= F.col("below")) & (rank < F.col("below") + F.col("between"))
+    return joined.select(
+        *keys, "prob", "place", "rank",
+        F.when(good, F.col("least")).otherwise(F.col("low")).alias("low"),
+        F.when(good, F.col("most")).otherwise(F.col("high")).alias("high"),
+        F.when(good, F.col("between")).otherwise(n).alias("inside"),
+        (F.col("before") + F.when(good, F.col("below")).otherwise(F.lit(0))).alias("before"),
     )
 
 
@@ -391,7 +409,7 @@ def latency_report(
     ranks = exact_percentiles(log, keys, latency_col, list(probs))
     wide = ranks.groupBy(*keys).agg(
         *[
-            F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(f"p{round(p * 100)}")
+            F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(f"p{p * 100:g}")
             for p in probs
         ]
     )

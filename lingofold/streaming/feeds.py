@@ -190,7 +190,7 @@ def stream_latency(
     return grouped.select(
         F.col("window.start").alias("window_start"),
         *keys, "n", "mean", "max",
-        *[F.get("ranks", F.lit(i)).alias(f"p{round(p * 100)}") for i, p in enumerate(probs)],
+        *[F.get("ranks", F.lit(i)).alias(f"p{p * 100:g}") for i, p in enumerate(probs)],
     )
 
 

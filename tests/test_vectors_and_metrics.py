@@ -193,17 +193,36 @@ def test_means(spark):
     assert tuple(metrics.mean_over_groups(langs, scores).first()) == (2.0, 2, "b")
 
 
-def test_exact_percentiles_of_a_skewed_group(spark):
+@pytest.mark.parametrize("small, size", [(200_000, 4096), (20, 64), (300, 200)])
+def test_exact_percentiles_of_a_skewed_group(spark, small, size):
     rng = np.random.default_rng(1)
-    values = np.concatenate([rng.lognormal(0, 2, 3000), np.full(1500, 7.0), [1e9]])
-    df = spark.createDataFrame([("big", float(v)) for v in values] + [("one", 5.0)], "k string, v double")
-    got = {(r.k, r.prob): r.value for r in
-           metrics.exact_percentiles(df, ["k"], "v", [0.5, 0.9, 0.99], buckets=32).collect()}
-    for p in (0.5, 0.9, 0.99):
-        assert got["big", p] == pytest.approx(np.quantile(values, p), rel=1e-9)
+    heavy = np.concatenate([rng.lognormal(0, 2, 3000), np.full(1500, 7.0), [1e9]])
+    dense = np.concatenate([5 + 1e-9 * rng.random(5000), [-1e3, 1e6], rng.normal(size=40)])
+    rows = [("heavy", float(v)) for v in heavy] + [("dense", float(v)) for v in dense]
+    df = spark.createDataFrame(rows + [("one", 5.0), ("none", None)], "k string, v double")
+    probs = [0.0, 0.5, 0.9, 0.99, 0.999, 1.0]
+    got = {(r.k, r.prob): r.value for r in metrics.exact_percentiles(
+        df, ["k"], "v", probs, sketch_size=size, small=small, error=0.1 if size < 300 else 0.0026).collect()}
+    assert len(got) == 18
+    for p in probs:
+        assert got["heavy", p] == pytest.approx(np.quantile(heavy, p), rel=1e-9)
+        assert got["dense", p] == pytest.approx(np.quantile(dense, p), rel=1e-12)
         assert got["one", p] == 5.0
 
 
+def test_spans_get_narrow_whatever_the_distribution(spark):
+    """99 of 100 values in a hundred-millionth of the range: no task orders more than its share."""
+    rng = np.random.default_rng(2)
+    values = np.concatenate([1 + 1e-8 * rng.random(19_800), 1e3 * rng.random(200)])
+    rows = spark.createDataFrame([("a", float(v)) for v in values], "k string, v double")
+    wide = spark.createDataFrame(
+        [("a", float(values.min()), float(values.max()), 20_000, 0.5, 9999.5, 9999, 0)],
+        "k string, low double, high double, inside long, prob double, place double, rank long, before long")
+    closer = metrics._closer(rows, wide, ["k"], 4096, 0.0026).first()
+    assert closer.inside < 0.01 * len(values) and 1 < closer.low < closer.high < 1 + 1e-8
+    assert closer.before == (values < closer.low).sum() and closer.before <= 9999 < closer.before + closer.inside
+
+
 def skewed_tokens(spark):
     """A third of the rows has one token, another third has no entry, some have none."""
     token = (
