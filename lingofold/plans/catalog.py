@@ -174,6 +174,27 @@ def s5_aligned_pairs(spark, sf_dir):
     return rows.select("side", "idx", _digest("text").alias("text_md5"))
 
 
+def s6_golden_segments(spark, sf_dir):
+    """The documents as golden cases, up to 50 in an object, cut after every full stop and blank."""
+
+    def make() -> str:
+        path = shared_path(spark, "golden")
+        case = F.struct(
+            F.col("doc_id").cast("string").alias("title"), "text", F.split("text", r"(?<=\.) ").alias("target")
+        )
+        (
+            _documents(spark, sf_dir).groupBy("lang", F.floor(F.col("doc_id") / 50)).agg(F.collect_list(case).alias("cases"))
+            .select(F.to_json(F.create_map("lang", "cases")).alias("value")).write.text(path)
+        )
+        return path
+
+    rows = corpora.read_golden_segments(spark, _once(spark, sf_dir, "golden", make), whole_files=False)
+    return rows.select(
+        "lang", "title", _digest("text").alias("text_md5"), F.size("target").alias("n_target"),
+        F.md5(F.array_join("target", "\u0002")).alias("target_md5"),
+    )
+
+
 def _checked_lengths(spark, sf_dir) -> DataFrame:
     tokens = F.size(txt.words(F.col("text")))
     return _documents(spark, sf_dir).select(

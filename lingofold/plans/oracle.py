@@ -465,6 +465,10 @@ ORACLE_SQL = {
     "s5_aligned_pairs": """WITH p AS (SELECT a.conv_id * 1000 + a.turn AS idx, a.text AS s1, b.text AS s2
   FROM conversations a JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1)
 SELECT 1 AS side, idx, md5(s1) AS text_md5 FROM p UNION ALL SELECT 2, idx, md5(s2) FROM p""",
+    "s6_golden_segments": """WITH g AS (SELECT lang, doc_id, text, string_split(replace(text, '. ', '.' || chr(2)), chr(2)) AS t
+  FROM documents)
+SELECT lang, doc_id::VARCHAR AS title, md5(text) AS text_md5, len(t)::INTEGER AS n_target,
+  md5(array_to_string(t, chr(2))) AS target_md5 FROM g""",
     "s7_write_results": f"""SELECT doc_id, CASE WHEN {n_words('text')} > 512 THEN 'error' ELSE 'ok' END AS status
   FROM documents""",
     "p1_with_options": """WITH e AS (SELECT event_id, CAST(props->>'k' AS INTEGER) AS k FROM events)

@@ -57,9 +57,12 @@ def read_aligned_pairs(
 GOLDEN_TYPE = "map<string,array<struct<title:string,text:string,target:array<string>>>>"
 
 
-def read_golden_segments(spark: SparkSession, path: str) -> DataFrame:
-    """``{"en": [{title, text, target}]}`` files -> (lang, case_id, title, text, target)."""
-    files = spark.read.text(path, wholetext=True)
+def read_golden_segments(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """``{"en": [{title, text, target}]}`` files -> (lang, case_id, title, text, target).
+
+    Large collections hold one such object per line: without ``whole_files`` Spark splits the files.
+    """
+    files = spark.read.text(path, wholetext=whole_files)
     cases = files.select(F.explode(F.from_json("value", GOLDEN_TYPE)).alias("lang", "cases"))
     return cases.select("lang", F.posexplode("cases").alias("case_id", "c")).select(
         "lang", "case_id", "c.title", "c.text", "c.target"
