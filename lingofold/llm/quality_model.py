@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lingofold.llm.common import CACHED_WORDS, labelled, map_batches
+from lingofold.llm.common import CACHED_WORDS, ROWS_PER_STEP, labelled, map_batches
 from lingofold.session import ship_package
 
 BITS = 18
@@ -219,7 +219,9 @@ def accepted(docs: DataFrame, model: QualityModel, text_col: str = "text") -> Da
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            yield batch.filter(pa.array([state.value.score(indicators(t, codes)) >= THRESHOLD for t in texts], pa.bool_()))
+            for start in range(0, batch.num_rows, ROWS_PER_STEP):
+                part = batch.slice(start, ROWS_PER_STEP)
+                scores = [state.value.score(indicators(t, codes)) for t in part.column(at).to_pylist()]
+                yield part.filter(pa.array([s >= THRESHOLD for s in scores], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
