@@ -264,6 +264,31 @@ def test_quality_model_on_held_out_rows(spark, make_docs, odd_rows):
     assert quality_model.score_quality(make_docs([]), empty).count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_descent_reaches_the_direct_solution(seed):
+    random = np.random.default_rng(seed)
+    rows = [np.sort(random.choice(40, int(random.integers(2, 9)), replace=False)) for _ in range(60)]
+    good = np.array([(r < 14).mean() + 0.3 * random.normal() > 0.4 for r in rows])
+    ratio = random.normal(size=40)
+    weights, bias = quality_model.descend(rows, good, ratio)
+    x = np.zeros((60, 41))
+    for i, r in enumerate(rows):
+        x[i, r] = ratio[r] / np.sqrt((ratio[r] ** 2).sum())
+    x[:, 40] = 1
+    sign = np.where(good, 1.0, -1.0)
+    cost = quality_model.COST * 60 / (2 * np.where(good, good.sum(), (~good).sum()))
+    inner = (x * sign[:, None]) @ (x * sign[:, None]).T
+    dual, step = np.zeros(60), 1 / np.linalg.norm(inner, 2)
+    for _ in range(20_000):  # projected gradient on the whole dual problem
+        dual = np.clip(dual + step * (1 - inner @ dual), 0, cost)
+
+    def objective(w):
+        return 0.5 * w @ w + (cost * np.maximum(0, 1 - sign * (x @ w))).sum()
+
+    best = objective((dual * sign) @ x)
+    assert best <= objective(np.append(weights / ratio, bias)) + 1e-9 <= 1.02 * best
+
+
 def test_main_text(spark):
     page = ("<html><head><title>t</title></head><body><nav><ul><li><a href=x>Home</a></li></ul></nav>"
             "<div class='ad'>buy <b>now</b></div><article><h1>Head &amp; more</h1><script>var a='</p>';</script>"
