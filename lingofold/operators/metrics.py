@@ -63,6 +63,21 @@ def golden_fraction(df: DataFrame, pred: str = "sentences", target: str = "targe
     )
 
 
+def _ranked_from_last(labels: DataFrame) -> DataFrame:
+    """(label, n_later): how many labels come after each, by ranges and their offsets."""
+    parts = int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stage_table(
+        labels.repartitionByRange(parts, F.desc("label")).select("label", F.spark_partition_id().alias("range")),
+        "label-ranges",
+    )
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select(
+        "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
+    )
+    inside = F.row_number().over(Window.partitionBy("range").orderBy(F.desc("label"))) - 1
+    return ranged.join(F.broadcast(offsets), "range").select("label", (F.col("offset") + inside).alias("n_later"))
+
+
 def topk_accuracy(
     probs: DataFrame, truth: DataFrame, labels: DataFrame, ks=(1, 5), refused: DataFrame | None = None
 ) -> DataFrame:
@@ -76,9 +91,7 @@ def topk_accuracy(
     if refused is not None:
         missed = truth.join(refused.select("query_id"), "query_id", "left_semi")
         truth = truth.join(refused.select("query_id"), "query_id", "left_anti")
-    order = labels.select("label").distinct().select(
-        "label", (F.row_number().over(Window.orderBy(F.desc("label"))) - 1).alias("n_later")
-    )
+    order = _ranked_from_last(labels.select("label").distinct())
     marked = lookup_join(
         truth.select("query_id", F.col("label").alias("truth")),
         order.withColumnRenamed("label", "truth"),
