@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from lingofold.operators import images
 from lingofold.operators.inference import predict_batches
-from lingofold.plans import jobs
+from lingofold.plans import catalog, jobs
 from lingofold.sources import corpora, requests
 from lingofold.sources.images import read_image_dir
 from lingofold.streaming import feeds
@@ -277,3 +277,15 @@ def test_streams_of_embedding_equal_batches(spark, tmp_path):
     feeds.stream_job(stream, jobs.embed_text_job, sink, str(tmp_path / "cp")).awaitTermination()
     got = {r.doc_id: r.embedding for r in spark.read.parquet(str(tmp_path / "ok")).collect()}
     assert got == {r.doc_id: r.embedding for r in jobs.embed_text_job(docs).collect()} and len(got) == 12
+
+
+def test_streams_read_tables_of_one_file_and_of_many(spark, tmp_path):
+    rows = [(i, "one two " * (300 if i % 4 == 0 else 3), "en", f"src{i}", 9) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(str(tmp_path / "many" / "documents.parquet"))
+    (tmp_path / "one").mkdir()
+    docs.toPandas().to_parquet(tmp_path / "one" / "documents.parquet")
+    for layout in ("many", "one"):
+        found = catalog.t3_split_sink(spark, str(tmp_path / layout))
+        assert Counter(r.status for r in found.collect()) == {"ok": 9, "error": 3}
+        assert catalog.t2_stream_segment(spark, str(tmp_path / layout)).count() == 12
