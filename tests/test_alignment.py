@@ -114,3 +114,22 @@ def test_failed_languages_are_listed_and_have_no_score(spark):
     assert rows["fra"].with_src == rows["fra"].without_src == pytest.approx(100)
     assert rows["deu"].with_src is None and rows["deu"].without_src == pytest.approx(100)
     assert rows[None].failed == "with: deu,tlh; without: tlh" and rows[None].with_src == pytest.approx(100)
+
+
+def test_links_move_as_numbers(spark):
+    rows = [("fra", "eng", f"le chat{i % 7} dort, «{i}»", f"the cat{i % 7} sleeps {i}") for i in range(60)]
+    rows += [("fra", "eng", None, "x"), ("fra", "eng", "x", None), ("fra", "eng", "...", "x"), ("fra", "eng", "", "")]
+    parts = alignment.aligned_parts(spark.createDataFrame(rows, PAIRS))
+    tokens = alignment.numbered_tokens(parts)
+    ids = {r.token: r.id for r in tokens.collect()}
+    assert sorted(ids.values()) == list(range(len(ids))) and tokens.count() == len(ids)
+    encoded = alignment._encoded(parts, tokens)
+    kept = {r.row: r for r in parts.collect()}
+    assert encoded.count() == len(kept) == 60
+    expected = set()
+    for r in encoded.collect():
+        assert r.source == [ids[t] for t in kept[r.row].source] and r.target == [ids[t] for t in kept[r.row].target]
+        expected |= {(r.row, p, (s << alignment.ID_BITS) | t) for p, t in enumerate(r.target) for s in r.source}
+    alignment.ship_package(spark)
+    links = encoded.mapInArrow(alignment._every_link, "row long, place int, weight long, link long").collect()
+    assert {(r.row, r.place, r.link) for r in links} == expected
