@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -464,3 +465,13 @@ def test_refused_items_are_misses_of_few_shot(spark):
     assert {r.query_id for r in probs.collect() if r.error} == {8, 9}
     row = accuracy.first()
     assert row.n == 3 and row.top1 == row.top5 == pytest.approx(1 / 3)
+
+
+def test_vectors_of_a_text_are_summed_before_they_move():
+    keys = pa.array([7, None, 7, 3, 7, None])
+    vectors = pa.array([[1.0, 2.0], [10.0, 0.0], [3.0, 4.0], [5.0, 5.0], [1.0, 1.0], [1.0, 1.0]])
+    batch = pa.RecordBatch.from_arrays([keys, vectors], names=["key", "vector"])
+    empty = batch.slice(0, 0)
+    (out,) = embed._sums_by_key(iter([empty, batch]))
+    got = {r["key"]: (r["n"], r["total"]) for r in out.to_pylist()}
+    assert got == {7: (3, [5.0, 7.0]), None: (2, [11.0, 1.0]), 3: (1, [5.0, 5.0])}
