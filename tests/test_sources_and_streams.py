@@ -289,3 +289,11 @@ def test_streams_read_tables_of_one_file_and_of_many(spark, tmp_path):
         found = catalog.t3_split_sink(spark, str(tmp_path / layout))
         assert Counter(r.status for r in found.collect()) == {"ok": 9, "error": 3}
         assert catalog.t2_stream_segment(spark, str(tmp_path / layout)).count() == 12
+
+
+def test_stream_detection_reads_a_table_of_many_files(spark, tmp_path):
+    rows = [(i, "the cat sat on the mat" if i % 2 else "le chat est sur la table", "en" if i % 2 else "fr", "src0", 9) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r.lang for r in catalog.t2_stream_detect(spark, str(tmp_path)).collect()}
+    assert found == {i: "eng" if i % 2 else "fra" for i in range(12)}
