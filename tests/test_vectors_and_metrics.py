@@ -475,3 +475,29 @@ def test_vectors_of_a_text_are_summed_before_they_move():
     (out,) = embed._sums_by_key(iter([empty, batch]))
     got = {r["key"]: (r["n"], r["total"]) for r in out.to_pylist()}
     assert got == {7: (3, [5.0, 7.0]), None: (2, [11.0, 1.0]), 3: (1, [5.0, 5.0])}
+
+
+def test_best_in_parts_equals_brute_force(monkeypatch):
+    monkeypatch.setattr(vs, "TILE", (5, 16))
+    rng = np.random.default_rng(2)
+    for trial in range(12):
+        right = rng.normal(size=(120, 6)) if trial % 2 else rng.integers(-1, 2, (120, 6)).astype(float)
+        right[40:90] = right[3]
+        left, ids = rng.normal(size=(13, 6)), np.arange(120) // (3 if trial % 3 == 0 else 1)
+        best = vs._Best(left, 4)
+        for part in (slice(60, 120), slice(0, 60)):
+            best.add(ids[part], right[part])
+        got = set(zip(*(x.tolist() for x in best.rows()[:2])))
+        scores = np.round(left @ right.T, 9)
+        want = set()
+        for q in range(13):
+            each = {i: scores[q, ids == i].max() for i in set(ids.tolist())}
+            want |= {(q, i) for i in sorted(each, key=lambda i: (-each[i], i))[:4]}
+        assert got == want
+
+
+def test_exact_search_gives_every_core_pairs_of_blocks():
+    for rows, cores in ((40_000, 8), (100_000, 12)):
+        assert (rows / vs._even_block(64, rows, rows, cores)) ** 2 >= 0.9 * vs.BLOCK_PAIRS * cores
+    most = vs._even_block(64, 10**7, 10**7, 12)
+    assert most * 64 * 8 <= vs.BLOCK_BYTES
