@@ -27,6 +27,9 @@ BATCH_SIZES = {
     "seamlessm4t_text2text": 36,
 }
 
+#: Rows whose inputs and results a worker holds as Python objects, whatever the size of an Arrow batch.
+HELD_ROWS = 480
+
 #: Models that a worker keeps; the one that was used longest ago goes first.
 KEPT_MODELS = 4
 
@@ -91,9 +94,11 @@ def predict_batches(
     arrow_value, arrow_error = to_arrow_type(value_type), to_arrow_type(error_type)
     token = "\n".join(model) if model else uuid.uuid4().hex
 
+    held = batch_size * max(1, HELD_ROWS // batch_size)
+
     def run(batches):
         fn = None
-        for batch in batches:
+        for batch in (b.slice(at, held) for b in batches for at in range(0, max(b.num_rows, 1), held)):
             columns = {c: batch.column(c) for c in keep}
             given = list(zip(*[columns[c].to_pylist() for c in inputs])) if batch.num_rows else []
             errors = batch.column("error").to_pylist() if had_error else [None] * batch.num_rows

@@ -142,3 +142,13 @@ def test_require_language_source_first(spark):
     assert "source language tlh" in got[2].message and "__eng__, __fra__" in got[2].message
     assert "target language xyz" in got[3].message
     assert "source" in got[4].message
+
+
+def test_grams_of_many_blocks_are_counted_together():
+    from lingofold.operators import ngrams
+
+    text = "abc " * (ngrams.BLOCK // 2)
+    blocks = list(ngrams.count_grams([text, None, "abc"], 3))
+    assert len(blocks) == 1
+    found = dict(zip(*blocks[0]))
+    assert found["abc"] == ngrams.BLOCK // 2 + 1 and found["bc "] == found["abc"]

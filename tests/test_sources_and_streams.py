@@ -297,3 +297,24 @@ def test_stream_detection_reads_a_table_of_many_files(spark, tmp_path):
     docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
     found = {r.doc_id: r.lang for r in catalog.t2_stream_detect(spark, str(tmp_path)).collect()}
     assert found == {i: "eng" if i % 2 else "fra" for i in range(12)}
+
+
+def test_a_large_arrow_batch_is_worked_off_in_parts(spark, monkeypatch):
+    import pyarrow as pa
+
+    from lingofold.operators import embed
+
+    df = spark.range(1).select(F.col("id").alias("n"))
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, function, schema: function)
+    run = predict_batches(df, ["n"], lambda: lambda rows: [[float(r["n"])] for r in rows], "v", "array<float>", 60)
+    batch = pa.RecordBatch.from_pydict({"n": pa.array(range(3001), pa.int64())})
+    found = list(run([batch, batch.slice(0, 0)]))
+    assert max(b.num_rows for b in found) <= 480
+    assert [v for b in found for v in b.column("v").to_pylist()] == [[float(n)] for n in range(3001)]
+
+    sizes, pool = [], embed._pool
+    monkeypatch.setattr(embed, "_pool", lambda votes, encoder: sizes.append(len(votes)) or pool(votes, encoder))
+    votes = pa.array([[1, 2]] * 1200 + [None], pa.list_(pa.int32()))
+    one = embed.CAPTION_ENCODER
+    vectors = embed._pooler({one.name: one}).func(votes, pa.array([one.name] * 1201))
+    assert len(vectors) == 1201 and vectors.null_count == 1 and max(sizes) <= 500
