@@ -133,3 +133,24 @@ def test_links_move_as_numbers(spark):
     alignment.ship_package(spark)
     links = encoded.mapInArrow(alignment._every_link, "row long, place int, weight long, link long").collect()
     assert {(r.row, r.place, r.link) for r in links} == expected
+
+
+def test_links_are_made_in_turns(spark, monkeypatch):
+    rows, _ = planted(60, 300)
+    rows += rows[:20]
+    df = spark.createDataFrame(rows, PAIRS)
+    made, write = [], alignment.stage_table
+
+    def watched(table, name):
+        made.append((name, write(table, name)))
+        return made[-1][1]
+
+    monkeypatch.setattr(alignment, "stage_table", watched)
+    found = alignment.train_translation_table(df, 3, floor=0.01, least_links=2, least_association=0.05).collect()
+    want = direct_table(rows, 3, 0.01, 2, 0.05)
+    got = {(r.token, r.translation): r.prob for r in found}
+    assert got.keys() == want.keys() and len(got) == len(found)
+    assert all(got[k] == pytest.approx(p, rel=1e-9) for k, p in want.items())
+    for name in ("link-counts", "links"):
+        turns = [{r.link >> alignment.ID_BITS for r in t.collect()} for n, t in made if n == name]
+        assert len(turns) > 1 and sum(map(len, turns)) == len(set().union(*turns))
