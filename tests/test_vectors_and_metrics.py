@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -278,6 +280,43 @@ def test_vocabulary_and_tokens(spark):
     assert got[4].error.message == "missing text"
 
 
+def test_tokens_meet_the_vocabulary_once_per_block(spark, monkeypatch):
+    monkeypatch.setattr(embed, "BLOCK_BYTES", 400)
+    texts = {i: " ".join(f"W{(i * j) % 7}" for j in range(12)) + "\f\tde \u00c9t\u00e9\x0b" for i in range(60)}
+    rows = [*texts.items(), (60, None), (61, " \n"), (62, "w " * 21), (63, "w?")]
+    df = spark.createDataFrame(rows, "doc_id int, text string").coalesce(2)
+    vocab = embed.build_vocabulary(df)
+    want = {}
+    for _, text in rows:
+        for t in re.findall("[^ \t\n\r\f]+", (text or "").lower()):
+            want[t] = want.get(t, 0) + 1
+    assert {r.token: r.n for r in vocab.collect()} == want
+    id_of = {r.token: r.token_id for r in vocab.where("token != 'w3'").collect()}
+    assert len(id_of) == len(want) - 1
+    assert "\u00e9t\u00e9\x0b" in id_of
+    joined, join = [], embed.lookup_join
+
+    def watched(rows, *args, **options):
+        joined.append(rows.count())
+        return join(rows, *args, **options)
+
+    monkeypatch.setattr(embed, "lookup_join", watched)
+    twice = df.union(spark.createDataFrame([(5, "w0 w1"), (None, "de"), (None, None)], "doc_id int, text string"))
+    found = embed.tokenize(twice, vocab.where("token != 'w3'"), "doc_id", max_len=20).collect()
+    got = {r.doc_id: r for r in found}
+    assert len(found) == len(got) == 65
+    for i, text in texts.items():
+        ids = [id_of.get(t, embed.UNKNOWN_ID) for t in re.findall("[^ \t\n\r\f]+", text.lower())]
+        if i == 5:  # rows that share a key are one row, by place
+            both = sorted([*enumerate(ids), (0, id_of["w0"]), (1, id_of["w1"])])
+            ids = [t for _, t in both]
+        assert got[i].ids == ids + [1] * (20 - len(ids)) and got[i].error is None
+    assert got[60].error.message == "missing text" and got[60].ids is None and got[60].n_tokens is None
+    assert got[61].ids == [1] * 20 and got[61].n_tokens == 0
+    assert got[62].ids is None and "21 tokens, the maximum is 20" in got[62].error.message
+    assert sum(len(t.split()) for t in texts.values()) > 3 * joined[0]  # tokens of a block, not of its texts
+
+
 def test_masked_mean(spark):
     table = spark.createDataFrame([(5, [1.0, 0.0]), (9, [0.0, 1.0])], "token_id bigint, vector array<double>")
     df = spark.createDataFrame([(1, [5, 9, 1, 1]), (2, [1, 1])], "doc_id int, ids array<bigint>")
