@@ -542,7 +542,8 @@ def encode_and_verify(
     model_path: str = DEFAULT_MODEL, alpha: float = ALPHA, seed: int = 0,
 ) -> DataFrame:
     """``encode_samples`` with each sample decoded again where it was made: key, sample, n_pieces,
-    log_prob, log_inclusion, ids_xxh64 (hex) and round_trip (whether the whole text came back).
+    log_prob, log_inclusion, ids_xxh64 (hex), round_trip (whether the whole text came back) and
+    ids, the piece ids as little-endian 32-bit numbers behind each other, of which ids_xxh64 is the hash.
 
     Null and empty texts give one sample without pieces. Rows with a null key are seeded alike, rows
     that repeat a key and a text get equal samples, and an empty table gives no rows.
@@ -553,15 +554,16 @@ def encode_and_verify(
         rows = []
         keys, texts = batch[key_col], batch[text_col]
         for i, number, ids, log_prob, inclusion in sampler.run(keys, texts):
-            digest = xxhash.xxh64_hexdigest(ids.astype("<i4").tobytes())
+            packed = ids.astype("<i4").tobytes()
+            digest = xxhash.xxh64_hexdigest(packed)
             same = sampler.lattices.vocabulary.decode(ids) == (texts[i] or "")
-            rows.append((keys[i], number, len(ids), log_prob, inclusion, digest, same))
-        names = [key_col, "sample", "n_pieces", "log_prob", "log_inclusion", "ids_xxh64", "round_trip"]
+            rows.append((keys[i], number, len(ids), log_prob, inclusion, digest, same, packed))
+        names = [key_col, "sample", "n_pieces", "log_prob", "log_inclusion", "ids_xxh64", "round_trip", "ids"]
         return {n: [r[j] for r in rows] for j, n in enumerate(names)}
 
     kind = docs.schema[key_col].dataType.simpleString()
     schema = (
         f"`{key_col}` {kind}, sample int, n_pieces int, log_prob double, log_inclusion double, "
-        "ids_xxh64 string, round_trip boolean"
+        "ids_xxh64 string, round_trip boolean, ids binary"
     )
     return map_batches(docs.select(key_col, text_col), encode, schema)

@@ -17,6 +17,7 @@ from lingofold.llm import (
     piece_sampling,
     quality_model,
     quality_rules,
+    queries,
     suffix_dedup,
     url_filter,
 )
@@ -490,3 +491,14 @@ def test_encoding_round_trip(make_docs, odd_rows):
     first = {(r.doc_id, r.sample): r.log_prob for r in encoded.collect()}
     assert first == {(r.doc_id, r.sample): r.log_prob for r in again}
     assert piece_sampling.encode_samples(make_docs([])).count() == 0
+
+
+def test_sentencepiece_query_gives_its_pieces(spark, make_docs, odd_rows, tmp_path):
+    make_docs(odd_rows).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = queries.QUERIES["op9_sentencepiece"](spark, str(tmp_path)).collect()
+    samples = piece_sampling.encode_samples(make_docs(odd_rows)).collect()
+    ids_of = {(r.doc_id, r.sample): r.ids for r in samples}
+    assert len(rows) == len(samples)
+    for r in rows:
+        ids = np.frombuffer(r.ids, "<i4")
+        assert ids.tolist() == ids_of[r.doc_id, r.sample] and len(ids) == r.n_pieces
