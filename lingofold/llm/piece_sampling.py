@@ -30,6 +30,10 @@ STEP_BITS = 1
 ALPHA = 1.0
 KEPT_EDGES = 12_000_000
 BATCH_CHARS = 1_200_000
+#: So many choices of a path are looked at before it is known how many more can matter.
+LEADING = 64
+#: No noise of ``uniform`` lifts a value by more than this (36.74 at the most).
+MOST_NOISE = 37.0
 #: No piece reaches over two of these, so chunks can be segmented one by one.
 CHUNK = re.compile(r" *[^ \n]+| +|\n")
 
@@ -58,15 +62,12 @@ class Vocabulary:
         self.ids = {model.id_to_piece(i).replace("▁", " "): i for i in kept}
         if any(len(CHUNK.findall(piece)) > 1 for piece in self.ids):
             raise ValueError("a piece reaches over the end of a chunk")
-        self.bytes = [b""] * count
+        self.bytes = np.full(count, b"", dtype=object)
         for piece, i in self.ids.items():
             self.bytes[i] = piece.encode()
         self.byte_ids = np.array([model.piece_to_id(f"<0x{b:02X}>") for b in range(256)], dtype=np.int32)
         for b, i in enumerate(self.byte_ids.tolist()):
             self.bytes[i] = bytes([b])
-        sizes = np.fromiter(map(len, self.bytes), dtype=np.int64, count=count)
-        self.byte_size, self.byte_start = sizes, np.cumsum(sizes) - sizes
-        self.byte_text = np.frombuffer(b"".join(self.bytes), dtype=np.uint8)
         self.log_weight = np.full(count + 1, -alpha * math.log(count))  # the last is that of byte pieces
         self.log_weight[sorted(kept)] = -alpha * np.log(np.arange(1, len(kept) + 1))
         heads = {p[:n]: -1 for p in self.ids for n in range(1, len(p) + 1)} | self.ids
@@ -100,21 +101,13 @@ class Vocabulary:
         return known, self.slot_id[at[known]]
 
     def decode(self, ids: np.ndarray | list[int]) -> str:
-        ids = np.asarray(ids, dtype=np.int64)
-        sizes = self.byte_size[ids]
-        ends = np.cumsum(sizes)
-        raw = self.byte_text[np.repeat(self.byte_start[ids] - ends + sizes, sizes) + np.arange(sizes.sum())]
-        return raw[1:].tobytes().decode("utf-8", "surrogatepass")
+        return b"".join(self.bytes[ids].tolist())[1:].decode("utf-8", "surrogatepass") if len(ids) else ""
 
     def expand(self, ids: np.ndarray) -> np.ndarray:
-        """Piece ids with characters outside the vocabulary as byte pieces."""
+        """Piece ids with characters of several bytes outside the vocabulary as byte pieces."""
         if not len(ids) or ids.min() >= 0:
             return ids
-        low = np.flatnonzero((ids < 0) & (ids >= -128))
-        ids[low] = self.byte_ids[-1 - ids[low]]
         wide = np.flatnonzero(ids < 0)
-        if not len(wide):
-            return ids
         raw = [chr(-1 - i).encode("utf-8", "surrogatepass") for i in ids[wide].tolist()]
         sizes = np.ones(len(ids), dtype=np.int64)
         sizes[wide] = [len(b) for b in raw]
@@ -129,8 +122,10 @@ class Lattices:
     A node stands for a position in a chunk (``base`` has the last one); its edges are the pieces
     that end there, chosen with the share of mass that comes through them. ``log_share`` has the log
     of that share and ``above`` the shares of the edges that follow at the node, so alternatives to
-    a nearly certain edge keep their weight. The edge with the largest share comes first. What is
-    kept of a chunk does not depend on the other chunks. The table is emptied when it is full.
+    a nearly certain edge keep their weight. The edge with the largest share comes first. ``hop``
+    has, side by side for the walk, the first edge of the node where an edge starts (-1 at the start of
+    the chunk) and, in ``above``, the bits of a float. What is kept of a chunk does not depend on the
+    other chunks, but for the places in the table. The table is emptied when it is full.
     """
 
     def __init__(self, vocabulary: Vocabulary, kept_edges: int = KEPT_EDGES):
@@ -142,14 +137,20 @@ class Lattices:
         self.nodes = self.edges = 0
         self.first = np.zeros(1, dtype=np.int64)
         self.start, self.piece = (np.zeros(0, dtype=np.int32) for _ in range(2))
-        self.log_share, self.above = (np.zeros(0, dtype=np.float32) for _ in range(2))
+        self.log_share, self.hop = np.zeros(0, dtype=np.float32), np.zeros(0, dtype=np.int64)
+
+    @property
+    def above(self) -> np.ndarray:
+        return self.hop.view(np.float32)[1::2]
 
     def _room(self, nodes: int, edges: int) -> None:
         if self.nodes + nodes + 1 > len(self.first):
-            self.first = np.resize(self.first, 2 * (self.nodes + nodes + 1))
+            new = np.zeros(2 * (self.nodes + nodes + 1), dtype=np.int64)
+            new[: self.nodes + 1] = self.first[: self.nodes + 1]
+            self.first = new
         if self.edges + edges > len(self.start):
             size = max(self.kept_edges // 4, self.edges * 3 // 2) + edges
-            for name in ("start", "piece", "log_share", "above"):
+            for name in ("start", "piece", "log_share", "hop"):
                 old = getattr(self, name)
                 new = np.empty(size, dtype=old.dtype)
                 new[: self.edges] = old[: self.edges]
@@ -181,9 +182,13 @@ class Lattices:
         heads = np.cumsum(counts) - counts
         self._largest_first(heads, counts, start, piece, log_share)
         part = slice(self.edges, self.edges + len(start))
-        self.start[part], self.piece[part] = start + self.nodes, piece
-        self.log_share[part], self.above[part] = log_share, self._following(heads, counts, np.exp(log_share))
+        low = np.flatnonzero((piece < 0) & (piece >= -128))  # characters of one byte
+        piece[low] = self.vocabulary.byte_ids[-1 - piece[low]]
+        self.start[part], self.piece[part], self.log_share[part] = start + self.nodes, piece, log_share
         self.first[self.nodes : self.nodes + total + 1] = self.edges + edge_at
+        hop = self.hop[part].view(np.int32)
+        hop[::2] = np.where(edge_at[start + 1] > edge_at[start], self.edges + edge_at[start], -1)
+        hop[1::2].view(np.float32)[:] = self._following(heads, counts, np.exp(log_share))
         self.base.update(zip(new, (begin[1:] - 1 + self.nodes).tolist(), strict=True))
         self.nodes += total
         self.edges += len(start)
@@ -299,7 +304,10 @@ def truncated(location: np.ndarray, top: np.ndarray, u: np.ndarray) -> np.ndarra
 
 @dataclass
 class Path:
-    """One segmentation: its edges in the order of choice, and the sets split off along them."""
+    """One segmentation: its edges in the order of choice, and the sets split off along them.
+
+    ``rest`` has the values of those sets, from ``fresh`` on and as far as ``leading_rests`` goes.
+    """
 
     edges: np.ndarray
     chunks: np.ndarray
@@ -318,22 +326,25 @@ def walk(lat: Lattices, node: np.ndarray, keys: np.ndarray):
     starts to be chosen; a node without edges is the start of its chunk. ``keys`` seed the choices.
     """
     n = len(node)
-    active = np.flatnonzero(lat.first[node + 1] > lat.first[node])
-    node = node[active]
+    edge = lat.first[node]
+    active = np.flatnonzero(lat.first[node + 1] > edge)
+    edge = edge[active]
     steps, whose, count, k = [], [], np.zeros(n, dtype=np.int64), 0
     while len(active):
         u = uniform(keys[active], k)
-        edge = lat.first[node]
-        late = np.flatnonzero(u <= lat.above[edge])
-        while len(late):
-            edge[late] += 1
-            late = late[u[late] <= lat.above[edge[late]]]
+        hop = lat.hop[edge].view(np.int32)
+        late = np.flatnonzero(u <= hop[1::2].view(np.float32))
+        if len(late):
+            again = late
+            while len(late):
+                edge[late] += 1
+                late = late[u[late] <= lat.above[edge[late]]]
+            hop[2 * again] = lat.hop[edge[again]].view(np.int32)[::2]
         steps.append(edge)
         whose.append(active)
         count[active] += 1
-        node = lat.start[edge]
-        go = lat.first[node + 1] > lat.first[node]
-        active, node, k = active[go], node[go], k + 1
+        go = np.flatnonzero(hop[::2] >= 0)
+        active, edge, k = active[go], hop[::2][go].astype(np.int64), k + 1
     offset = np.concatenate([[0], np.cumsum(count)])
     edges = np.zeros(offset[-1], dtype=np.int64)
     for step, (edge, index) in enumerate(zip(steps, whose, strict=True)):
@@ -341,6 +352,43 @@ def walk(lat: Lattices, node: np.ndarray, keys: np.ndarray):
     return edges, np.repeat(np.arange(n), count), offset
 
 
+def leading_rests(lat: Lattices, paths: list[tuple], k: int) -> list[np.ndarray]:
+    """Per path, given as (key, before, edges, log shares, value, fresh), the values of the sets split off
+    at its first choices. Those left out lie below the k largest ones, so k rounds never reach them: the
+    probability falls along a path, and noise lifts a value by ``MOST_NOISE`` at the most.
+    """
+    if not paths:
+        return []
+    keys, values = np.array([p[0] for p in paths], dtype=np.uint64), np.array([p[4] for p in paths])
+
+    def rests(low: list[int], high: list[int]) -> list[np.ndarray]:
+        before, edges, shares = (
+            np.concatenate([p[j][lo:hi] for p, lo, hi in zip(paths, low, high, strict=True)]) for j in (1, 2, 3)
+        )
+        index = np.concatenate([np.arange(p[5] + lo, p[5] + hi) for p, lo, hi in zip(paths, low, high, strict=True)])
+        sizes = np.subtract(high, low)
+        with np.errstate(divide="ignore"):
+            left = np.log(lat.above[edges].astype(np.float64))
+        small = np.flatnonzero(shares <= LOG_HALF)  # a likely edge stands first: what is left is the others' sum
+        left[small] = np.log1p(-np.exp(shares[small]))
+        out = truncated(before + left, np.repeat(values, sizes), uniform(np.repeat(keys, sizes), index))
+        ends = np.cumsum(sizes).tolist()
+        return [out[end - size : end] for end, size in zip(ends, sizes.tolist(), strict=True)]
+
+    lead = max(LEADING, k)
+    near = [min(len(p[1]), lead) for p in paths]
+    out, far = rests([0] * len(paths), near), []
+    for path, rest, n in zip(paths, out, near, strict=True):
+        before = path[1]
+        if n < len(before):
+            open_at = np.flatnonzero(before >= np.partition(rest, n - k)[n - k] - MOST_NOISE)
+            n = max(n, int(open_at[-1]) + 1)
+        far.append(n)
+    if far == near:
+        return out
+    return [np.concatenate([a, b]) for a, b in zip(out, rests(near, far), strict=True)]
+
+
 def sample_batch(texts: list[str | None], seeds: list[int], lat: Lattices, k: int) -> tuple[list[list[Path]], list[float]]:
     """Per text up to k segmentations in falling order of their noisy value, and the next value.
 
@@ -357,41 +405,35 @@ def sample_batch(texts: list[str | None], seeds: list[int], lat: Lattices, k: in
     def logs(edges):
         return lat.log_share[edges].astype(np.float64)
 
-    def log_rest(edges, shares):
-        """Log of what is left at the node: of a likely edge, which stands first, the others' sum."""
-        with np.errstate(divide="ignore"):
-            rest = np.log(lat.above[edges].astype(np.float64))
-        small = np.flatnonzero(shares <= LOG_HALF)
-        rest[small] = np.log1p(-np.exp(shares[small]))
-        return rest
-
-    def finish(key, edges, chunks, head_edges, head_chunks, head_before, value, fresh):
-        """A path from the choices of its parent before the split and the fresh ones behind it."""
-        own = logs(edges)
+    def finish(key, edges, own, chunks, head_edges, head_chunks, head_before, value, fresh):
+        """A path from the choices of its parent before the split and the fresh ones behind it; its
+        rest comes later."""
+        before = np.zeros(len(edges))
+        start = 0.0
+        if len(head_edges):
+            start = head_before[-1] + logs(head_edges[-1])
+        total = start
         if len(edges):
-            start = head_before[-1] + logs(head_edges[-1]) if len(head_edges) else 0.0
             sums = np.cumsum(own)
-            before = start + np.concatenate([[0.0], sums[:-1]])
+            before[0], before[1:] = start, start + sums[:-1]
             total = start + sums[-1]
-        else:
-            before, total = np.zeros(0), head_before[-1] + logs(head_edges[-1])
-        index = np.arange(fresh, fresh + len(edges))
-        rest = truncated(before + log_rest(edges, own), np.float64(value), uniform(key, index))
-        if not len(head_edges):
-            return Path(edges, chunks, before, float(total), float(value), fresh, rest)
-        return Path(
-            np.concatenate([head_edges, edges]), np.concatenate([head_chunks, chunks]),
-            np.concatenate([head_before, before]), float(total), float(value), fresh, rest,
-        )
+        fresh_ones.append((key, before, edges, own, float(value), fresh))
+        if len(head_edges):
+            edges, chunks = np.concatenate([head_edges, edges]), np.concatenate([head_chunks, chunks])
+            before = np.concatenate([head_before, before])
+        return Path(edges, chunks, before, float(total), float(value), fresh, none_f)
 
     none_i, none_f = np.zeros(0, dtype=np.int64), np.zeros(0)
     found: list[list[Path]] = [[] for _ in texts]
     edges, owner, offset = walk(lat, end, mixed_on(np.repeat(mixed(0, seed), sizes), ordinal << STEP_BITS))
     keys = mixed(seed, 0)
     values = -np.log(-np.log(uniform(keys, 1 << 41)))
-    for doc in np.flatnonzero(sizes).tolist():
+    own, fresh_ones, having = logs(edges), [], np.flatnonzero(sizes).tolist()
+    for doc in having:
         part = slice(offset[bounds[doc]], offset[bounds[doc + 1]])
-        found[doc].append(finish(keys[doc], edges[part], owner[part] - bounds[doc], none_i, none_i, none_f, values[doc], 0))
+        found[doc].append(finish(keys[doc], edges[part], own[part], owner[part] - bounds[doc], none_i, none_i, none_f, values[doc], 0))
+    for doc, rest in zip(having, leading_rests(lat, fresh_ones, k), strict=True):
+        found[doc][-1].rest = rest
     for number in range(1, k):
         todo = []
         keys = mixed(seed, number)
@@ -435,12 +477,15 @@ def sample_batch(texts: list[str | None], seeds: list[int], lat: Lattices, k: in
         edges, owner, offset = walk(
             lat, np.concatenate(nodes), mixed_on(np.concatenate(keys_at), (order << STEP_BITS) | np.concatenate(steps))
         )
+        own, fresh_ones = logs(edges), []
         for (doc, parent, at, pick, value), lo, hi in zip(todo, cuts[:-1], cuts[1:], strict=True):
             part = slice(offset[lo], offset[hi])
             head_edges = np.append(parent.edges[:at], pick)
             found[doc].append(finish(
-                keys[doc], edges[part], order[owner[part]], head_edges, parent.chunks[: at + 1], parent.before[: at + 1], value, at + 1,
+                keys[doc], edges[part], own[part], order[owner[part]], head_edges, parent.chunks[: at + 1], parent.before[: at + 1], value, at + 1,
             ))
+        for (doc, *_), rest in zip(todo, leading_rests(lat, fresh_ones, k), strict=True):
+            found[doc][-1].rest = rest
     return found, [max((p.rest.max(initial=-np.inf) for p in paths), default=-np.inf) for paths in found]
 
 

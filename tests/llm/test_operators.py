@@ -502,3 +502,32 @@ def test_sentencepiece_query_gives_its_pieces(spark, make_docs, odd_rows, tmp_pa
     for r in rows:
         ids = np.frombuffer(r.ids, "<i4")
         assert ids.tolist() == ids_of[r.doc_id, r.sample] and len(ids) == r.n_pieces
+
+
+def test_noise_is_drawn_where_it_can_matter_only(monkeypatch):
+    vocabulary = piece_sampling.Vocabulary(piece_sampling.DEFAULT_MODEL)
+    random = np.random.default_rng(3)
+    letters = np.array(list("abcdeghinorstuv"))
+    texts = [" ".join("".join(random.choice(letters, 8)) for _ in range(n)) for n in (1, 60, 400, 0, 900)]
+    drawn = []
+
+    def samples(leading):
+        monkeypatch.setattr(piece_sampling, "LEADING", leading)
+        monkeypatch.setattr(piece_sampling, "truncated", lambda *a: drawn.append(np.size(a[0])) or truncated(*a))
+        found, thresholds = piece_sampling.sample_batch(texts, [5] * len(texts), piece_sampling.Lattices(vocabulary), 4)
+        return [[(p.edges.tolist(), p.log_prob, p.value) for p in paths] for paths in found], thresholds
+
+    truncated = piece_sampling.truncated
+    whole = samples(1 << 40)
+    all_drawn = sum(drawn)
+    drawn.clear()
+    assert samples(64) == whole
+    assert sum(drawn) < all_drawn / 2
+    assert samples(1) == whole
+
+
+def test_single_bytes_outside_the_vocabulary_are_byte_pieces():
+    lattices = piece_sampling.Lattices(piece_sampling.Vocabulary(piece_sampling.DEFAULT_MODEL))
+    (paths,), _ = piece_sampling.sample_batch(["a\x01\nb\x7f"], [1], lattices, 1)
+    ids = piece_sampling.pieces_in_order(paths[0], lattices)
+    assert ids.min() >= 0 and lattices.vocabulary.decode(ids) == "a\x01\nb\x7f"
