@@ -70,15 +70,24 @@ def whole_rows(docs: DataFrame, **columns: Column) -> DataFrame:
     return docs.select(F.expr("struct(*)").alias("row"), *[c.alias(name) for name, c in columns.items()])
 
 
-def map_batches(rows: DataFrame, fn, schema: str) -> DataFrame:
-    """Apply ``fn(dict of python lists) -> dict of lists`` to Arrow batches, in place (no shuffle)."""
+def given_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what Arrow held of earlier ones goes back to the system, as workers live on."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
+def map_batches(rows: DataFrame, fn, schema: str, step: int = ROWS_PER_STEP) -> DataFrame:
+    """Apply ``fn(dict of python lists) -> dict of lists`` to ``step`` rows of an Arrow batch at a time,
+    in place (no shuffle)."""
     ship_package(rows.sparkSession)
     target = to_arrow_schema(T._parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, ROWS_PER_STEP):
-                part = batch.slice(start, ROWS_PER_STEP)
+        for batch in given_back(batches):
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
                 out = fn(part.to_pydict())
                 arrays = [pa.array(out[f.name], f.type) for f in target]
                 yield pa.RecordBatch.from_arrays(arrays, schema=target)

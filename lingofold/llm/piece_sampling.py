@@ -25,6 +25,8 @@ from lingofold.llm.common import map_batches
 #: Public vocabulary file; any path that all executors can read.
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
+#: Rows whose samples are held at once.
+SAMPLED_ROWS = 250
 LOG_HALF = math.log(0.5)
 STEP_BITS = 1
 ALPHA = 1.0
@@ -564,7 +566,7 @@ def encode_samples(
 
     kind = docs.schema[key_col].dataType.simpleString()
     schema = f"`{key_col}` {kind}, sample int, ids array<int>, log_prob double, log_inclusion double"
-    return map_batches(docs.select(key_col, text_col), encode, schema)
+    return map_batches(docs.select(key_col, text_col), encode, schema, SAMPLED_ROWS)
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", text_col: str = "text", model_path: str = DEFAULT_MODEL) -> DataFrame:

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lingofold.llm.common import CACHED_WORDS, ROWS_PER_STEP, labelled, map_batches
+from lingofold.llm.common import CACHED_WORDS, ROWS_PER_STEP, given_back, labelled, map_batches
 from lingofold.session import ship_package
 
 BITS = 18
@@ -218,7 +218,7 @@ def accepted(docs: DataFrame, model: QualityModel, text_col: str = "text") -> Da
     at = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in given_back(batches):
             for start in range(0, batch.num_rows, ROWS_PER_STEP):
                 part = batch.slice(start, ROWS_PER_STEP)
                 scores = [state.value.score(indicators(t, codes)) for t in part.column(at).to_pylist()]

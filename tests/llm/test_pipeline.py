@@ -56,3 +56,15 @@ def test_stages_on_odd_rows_and_empty_tables(spark, make_docs, odd_rows, empty):
             assert kept == ([1, 3, 4, 6, 7, 9, 10] if number == 1 else [1, 2, 3, 4, 7])
         if empty:
             docs = out if number < 4 else docs
+
+
+def test_workers_get_small_batches(spark, make_docs, odd_rows, tmp_path, monkeypatch):
+    make_docs(odd_rows).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    conf, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(conf)
+    write = corpus_pipeline.stage_table
+    monkeypatch.setattr(corpus_pipeline, "stage_table", lambda df, name: seen.append(spark.conf.get(conf)) or write(df, name))
+    corpus_pipeline.run(spark, str(tmp_path))
+    assert [int(n) for n in seen] == [1000] * 5
+    assert spark.conf.get(conf) == before
