@@ -1,6 +1,7 @@
 """Learned lexicon against a planted dictionary, by hand and on odd rows."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +155,36 @@ def test_links_are_made_in_turns(spark, monkeypatch):
     for name in ("link-counts", "links"):
         turns = [{r.link >> alignment.ID_BITS for r in t.collect()} for n, t in made if n == name]
         assert len(turns) > 1 and sum(map(len, turns)) == len(set().union(*turns))
+
+
+def test_long_pairs_are_linked_as_a_whole(spark, monkeypatch):
+    rows, _ = planted(40, 25, length=120)
+    fill = [" ".join(f"u{i}v{j}" for j in range(60)) for i in range(3)]
+    rows += [("fra", "eng", f"far {own}", f"{own} away") for own in fill]
+    rows += rows[:5]
+    monkeypatch.setattr(alignment, "KEPT_LINKS", 100)
+    found = alignment.train_translation_table(
+        spark.createDataFrame(rows, PAIRS), 3, floor=0.001, least_links=2, least_association=0.05).collect()
+    want = direct_table(rows, 3, 0.001, 2, 0.05)
+    got = {(r.token, r.translation): r.prob for r in found}
+    assert got.keys() == want.keys() and len(got) == len(found) and ("far", "away") in got
+    assert all(got[k] == pytest.approx(p, rel=1e-9) for k, p in want.items())
+
+
+def test_steps_are_small_and_whole():
+    lists = [([5, 5, 7, 9], [1, 2, 1]), ([3], [4]), (list(range(40)), list(range(40, 90)))]
+    batch = pa.RecordBatch.from_pydict(
+        {"row": [10, 11, 12], "weight": [1, 2, 1], "source": [s for s, _ in lists], "target": [t for _, t in lists]},
+        pa.schema([("row", pa.int64()), ("weight", pa.int64()), ("source", pa.list_(pa.int64())), ("target", pa.list_(pa.int64()))]))
+    whole = alignment.STEP_LINKS
+    try:
+        alignment.STEP_LINKS = 100
+        made = [b for b in alignment._every_link([batch])]
+    finally:
+        alignment.STEP_LINKS = whole
+    assert max(b.num_rows for b in made) <= 100
+    got = sorted(tuple(r.values()) for b in made for r in b.to_pylist())
+    want = sorted(
+        (10 + i, t.index(b), (1, 2, 1)[i] * t.count(b), (a << alignment.ID_BITS) | b)
+        for i, (s, t) in enumerate(lists) for a in s for b in set(t))
+    assert got == want
