@@ -318,3 +318,68 @@ def test_a_large_arrow_batch_is_worked_off_in_parts(spark, monkeypatch):
     one = embed.CAPTION_ENCODER
     vectors = embed._pooler({one.name: one}).func(votes, pa.array([one.name] * 1201))
     assert len(vectors) == 1201 and vectors.null_count == 1 and max(sizes) <= 500
+
+
+class _State:
+    """One group's state, with the clock and the watermark of the test."""
+
+    def __init__(self):
+        self.held, self.now, self.watermark, self.hasTimedOut, self.due = None, 0, 0, False, None
+
+    exists = property(lambda self: self.held is not None)
+    get = property(lambda self: self.held)
+
+    def update(self, held):
+        self.held = held
+
+    def remove(self):
+        self.held = self.due = None
+
+    def setTimeoutDuration(self, ms):
+        self.due = self.now + ms
+
+    def getCurrentProcessingTimeMs(self):
+        return self.now
+
+    def getCurrentWatermarkMs(self):
+        return self.watermark
+
+
+def test_requests_of_a_group_are_looked_up_together():
+    import pandas as pd
+
+    fields = T._parse_datatype_string("id string, n long, ts timestamp").fields
+    run, state = feeds._guard(fields, "ts", 1000), _State()
+
+    def batch(*frames):
+        made = [pd.DataFrame({"id": [r[0] for r in f], "n": [r[1] for r in f], feeds.KEY: [r[0] for r in f],
+                              "ts": pd.to_datetime([r[2] for r in f], unit="ms")}) for f in frames]
+        return [tuple(r) for out in run((0,), iter(made), state) for r in out[["id", "n", "late"]].values.tolist()]
+
+    assert batch([("a", 1, 5000), ("b", 2, 9000), ("a", 3, 4000)], [], [("b", 4, 9000), ("c", 5, 100)]) == [
+        ("b", 2, False), ("a", 3, False), ("c", 5, False)]
+    state.now, state.watermark = 500, 4500
+    assert batch([("a", 6, 8000), ("d", 7, 100), ("d", 8, 200), ("e", 9, 100), ("e", 10, 6000)]) == [("d", 7, True), ("e", 10, False)]
+    assert batch([("d", 11, 300), ("c", 12, 100)]) == [("d", 11, True)]  # a late one is not remembered, c has passed
+    state.now, state.watermark, state.hasTimedOut = 1200, 8000, True
+    assert batch() == []  # a and c are forgotten, b is not behind the watermark
+    state.hasTimedOut = False
+    assert batch([("a", 13, 9000), ("b", 14, 9000), ("c", 15, 100)]) == [("a", 13, False), ("c", 15, True)]
+    state.now, state.watermark, state.hasTimedOut = 90000, 90000, True
+    assert batch() == [] and not state.exists
+
+
+def test_requests_with_many_ids_need_few_calls(spark, tmp_path):
+    rows = spark.range(6000).select(
+        F.when(F.col("id") > 2, F.col("id") % 3000).alias("request"), F.lit("a").alias("part"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 7).alias("ts"))
+    rows.repartition(2).write.parquet(str(tmp_path / "in"))
+    stream = feeds.stream_table(spark, str(tmp_path / "in"), rows.schema)
+    guarded = feeds.guard_requests(stream, ["request", "part"], "ts", "5 minutes")
+    plan = guarded._jdf.queryExecution().analyzed().toString()
+    assert "__group" in plan and feeds.GUARD_GROUPS < 3000
+    sink = feeds.split_sink(str(tmp_path / "ok"), str(tmp_path / "err"))
+    feeds.stream_job(guarded, lambda d: d, sink, str(tmp_path / "cp"), idle_batches=False).awaitTermination()
+    ok = spark.read.parquet(str(tmp_path / "ok"))
+    assert ok.count() == 3001 and ok.select("request").distinct().count() == 3001  # ids 0 to 2 come once more, null once
+    assert spark.read.parquet(str(tmp_path / "err")).count() == 0
